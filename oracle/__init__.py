@@ -1,0 +1 @@
+"""DuckDB SQL that states each registered query directly over the test tables."""
