@@ -199,7 +199,7 @@ def _test_report() -> str:
 
 
 def _summary() -> str:
-    sizes = [("fact_orders", 10, "f_ord"), ("fact_order_items", 9, "f_item"), ("fact_transactions", 11, "ord"),
+    sizes = [("fact_orders", 10, "f_ord"), ("fact_order_items", 10, "f_item"), ("fact_transactions", 11, "ord"),
              ("dim_customers", 11, "d_cust"), ("dim_products", 9, "prod"), ("dim_categories", 5, "cat"),
              ("dim_date", 11, "spine"), ("bridge_product_categories", 2, "link")]
     return " UNION ALL ".join(

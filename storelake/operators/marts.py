@@ -18,12 +18,12 @@ NO_ORDERS_SEGMENT = "Dormant"
 LOW_STOCK = 10
 
 
-def fact_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
+def fact_orders(orders: DataFrame, counts: DataFrame) -> DataFrame:
     """Orders in dollars with their line count, 0 for an order without lines.
 
-    Lines are counted before the join, so a huge order meets it as one row.
+    ``counts`` holds one row per order: lines are counted before the join, so a huge order meets it
+    as one row.
     """
-    counts = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("item_count"))
     return orders.join(counts, "order_id", "left").select(
         "order_id", "customer_id", dollars(F.col("amount")).alias("amount_usd"), "currency", "status",
         F.to_date("created_at").alias("order_date"), "created_at", "updated_at",

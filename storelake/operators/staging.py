@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from storelake.functions.documents import ref_id, string_list
 from storelake.functions.money import dollars
 
-_ITEM = "array<struct<id string, product string, variant string, quantity string>>"
+# Only ids are read from a populated relation, so the parser skips the rest of it.
+_ITEM = "array<struct<id string, product struct<id string>, variant struct<id string>, quantity string>>"
+_ITEM_BARE = "array<struct<id string, product string, variant string, quantity string>>"
 
 
 def _stamps() -> list[Column]:
@@ -24,15 +26,26 @@ def stg_orders(orders: DataFrame, accept_bare: bool = False) -> DataFrame:
 
 def stg_order_items(orders: DataFrame, accept_bare: bool = False) -> DataFrame:
     """One row per element of the items list; a NULL or empty list gives none."""
-    lines = orders.select(F.col("id").alias("order_id"), F.explode(F.from_json("items", _ITEM)).alias("item"))
+    items = F.from_json("items", _ITEM_BARE if accept_bare else _ITEM)
+    lines = orders.select(F.col("id").alias("order_id"), F.explode(items).alias("item"))
+
+    def reference(name: str) -> Column:
+        relation = F.col(f"item.{name}")
+        return ref_id(relation, True) if accept_bare else relation["id"].try_cast("bigint")
+
     return lines.select(
         F.col("item.id").alias("order_item_id"), "order_id",
-        ref_id(F.col("item.product"), accept_bare).alias("product_id"),
-        ref_id(F.col("item.variant"), accept_bare).alias("variant_id"),
+        reference("product").alias("product_id"), reference("variant").alias("variant_id"),
         F.col("item.quantity").try_cast("int").alias("quantity"),
     )
 
 
+def line_counts(orders: DataFrame) -> DataFrame:
+    """``order_id, item_count`` of the items lists, measured without parsing their elements."""
+    lines = F.coalesce(F.json_array_length("items"), F.lit(0))
+    return orders.groupBy(F.col("id").alias("order_id")).agg(F.sum(lines).cast("bigint").alias("item_count"))
+
+
 def stg_transactions(transactions: DataFrame, accept_bare: bool = False) -> DataFrame:
     return transactions.select(
         F.col("id").alias("transaction_id"), ref_id(F.col("order"), accept_bare).alias("order_id"),

@@ -43,12 +43,12 @@ class Mart:
 
 
 MARTS = {m.name: m for m in (
-    Mart("fact_orders", lambda l: marts.fact_orders(l.staged("stg_orders"), l.staged("stg_order_items")),
+    Mart("fact_orders", lambda l: marts.fact_orders(l.staged("stg_orders"), staging.line_counts(l.raw["order_fragments"])),
          unique_key="order_id", watermark=("orders",), on_schema_change="sync",
          month_of="order_date"),
     Mart("fact_order_items", lambda l: marts.fact_order_items(
             l.staged("stg_order_items"), l.staged("stg_orders"), l.staged("stg_variants"), l.staged("stg_products")),
-         unique_key="order_item_id", watermark=("orders",), on_schema_change="sync"),
+         unique_key="order_item_id", watermark=("orders",), on_schema_change="sync", month_of="created_at"),
     Mart("fact_transactions", lambda l: marts.fact_transactions(l.staged("stg_transactions")),
          unique_key="transaction_id", watermark=("transactions",), on_schema_change="sync",
          month_of="transaction_date"),

@@ -66,9 +66,9 @@ def top_selling_units(items: DataFrame, products: DataFrame, limit: int = 10) ->
     ).orderBy(F.desc("revenue"), "product_name").limit(limit)
 
 
-def top_products_catalog_price(stg_items: DataFrame, stg_products: DataFrame, limit: int = 10) -> DataFrame:
+def top_products_catalog_price(items: DataFrame, stg_products: DataFrame, limit: int = 10) -> DataFrame:
     """Revenue at the product's catalogue price, whatever variant was sold."""
-    per_product = stg_items.groupBy("product_id").agg(
+    per_product = items.groupBy("product_id").agg(
         F.count("order_item_id").alias("order_count"), F.sum("quantity").alias("units_sold"))
     priced = per_product.join(stg_products.select("product_id", "title", "price_usd"), "product_id")
     revenue = (F.col("units_sold").cast("decimal(20,0)") * F.col("price_usd")).cast("decimal(28,2)")

@@ -250,7 +250,7 @@ QUERIES: dict[str, Query] = {
     "test_not_null": lambda w: quality.test_not_null(w.lake.staged("stg_carts"), "customer_id").select("cart_id"),
     "test_accepted_values": lambda w: quality.test_accepted_values(w.raw["orders"], "status", ["completed", "refunded"]),
     "test_relationships": lambda w: quality.test_relationships(
-        w.lake.staged("stg_order_items"), "variant_id", w.lake.staged("stg_variants"), "variant_id"),
+        w.lake.table("fact_order_items"), "variant_id", w.lake.staged("stg_variants"), "variant_id"),
     "test_accepted_range": lambda w: quality.test_accepted_range(
         w.lake.table("fact_orders"), "amount_usd", 10000, 400000).select("order_id", "amount_usd"),
     "test_singular": lambda w: quality.test_singular(
@@ -294,14 +294,14 @@ QUERIES: dict[str, Query] = {
     "top_selling_units": _over(products.top_selling_units, _ITEMS, "dim_products"),
     "repeat_customers": _over(customers.repeat_customers, "fact_orders"),
     # distribution checks
-    "pareto_share": _over(distribution.pareto_share, "stg_order_items"),
+    "pareto_share": _over(distribution.pareto_share, _ITEMS),
     "cart_abandonment": _over(distribution.cart_abandonment, "stg_carts"),
     "order_count_segments": _over(customers.order_count_segments, "stg_orders"),
-    "top_products_catalog_price": _over(products.top_products_catalog_price, "stg_order_items", "stg_products"),
+    "top_products_catalog_price": _over(products.top_products_catalog_price, _ITEMS, "stg_products"),
     "customer_lifetime_value": _over(customers.customer_lifetime_value, "users", "stg_orders"),
     "conversion_funnel": _over(distribution.conversion_funnel, "stg_carts"),
     "weekly_seasonality": _over(sales.weekly_seasonality, "stg_orders", start=SEASON[0], end=SEASON[1]),
-    "popularity_mix": _over(distribution.popularity_mix, "stg_order_items"),
+    "popularity_mix": _over(distribution.popularity_mix, _ITEMS),
     # collection queries
     "where": _where,
     "sort": _on_raw(docs.sort, "products", spec="Price: High to low", columns=("id", "title", "priceInUSD")),
