@@ -17,9 +17,10 @@ def left_join_optional(left: DataFrame, right: DataFrame, key: str, row_key: str
     """Left join on a reference that is often NULL.
 
     NULLs match nothing, but they all hash to one partition when the join shuffles. A second key
-    column spreads them by ``row_key``; rows with a reference keep 0 and find their match.
+    column spreads them by ``row_key``; rows with a reference keep 0 and find their match. On the
+    right the 0 is computed from the key, since the optimizer drops a constant from the join keys.
     """
     spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(row_key), F.lit(_SPREAD))).otherwise(F.lit(0))
     keyed = left.withColumn("_spread", spread.cast("bigint"))
-    matched = keyed.join(right.withColumn("_spread", F.lit(0).cast("bigint")), [key, "_spread"], "left")
-    return matched.drop("_spread")
+    zero = F.pmod(F.col(key), F.lit(1)).cast("bigint")
+    return keyed.join(right.withColumn("_spread", zero), [key, "_spread"], "left").drop("_spread")

@@ -18,13 +18,14 @@ NO_ORDERS_SEGMENT = "Dormant"
 LOW_STOCK = 10
 
 
-def fact_orders(orders: DataFrame, counts: DataFrame) -> DataFrame:
+def fact_orders(orders: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Orders in dollars with their line count, 0 for an order without lines.
 
     ``counts`` holds one row per order: lines are counted before the join, so a huge order meets it
-    as one row.
+    as one row. Without it the orders carry ``item_count`` themselves and nothing shuffles.
     """
-    return orders.join(counts, "order_id", "left").select(
+    counted = orders if counts is None else orders.join(counts, "order_id", "left")
+    return counted.select(
         "order_id", "customer_id", dollars(F.col("amount")).alias("amount_usd"), "currency", "status",
         F.to_date("created_at").alias("order_date"), "created_at", "updated_at",
         F.coalesce("item_count", F.lit(0)).cast("bigint").alias("item_count"),
@@ -32,14 +33,17 @@ def fact_orders(orders: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def fact_order_items(
-    items: DataFrame, orders: DataFrame, variants: DataFrame, products: DataFrame,
+    items: DataFrame, orders: DataFrame | None, variants: DataFrame, products: DataFrame,
 ) -> DataFrame:
-    """Lines priced at the variant's current price, else the product's, else zero."""
-    dated = items.join(orders.select("order_id", "created_at", "updated_at"), "order_id")
+    """Lines priced at the variant's current price, else the product's, else zero.
+
+    ``orders`` gives the times of lines staged without them.
+    """
+    dated = items if orders is None else items.join(orders.select("order_id", "created_at", "updated_at"), "order_id")
     variant_price = variants.select("variant_id", F.col("price_usd").alias("variant_price"))
     product_price = products.select("product_id", F.col("price_usd").alias("product_price"))
     priced = left_join_optional(dated, variant_price, "variant_id", "order_item_id")
-    priced = left_join_optional(priced, product_price, "product_id", "order_item_id")
+    priced = priced.join(product_price, "product_id", "left")
     unit = F.coalesce("variant_price", "product_price", F.lit(0).cast(MONEY))
     return priced.select(
         "order_item_id", "order_id", "product_id", "variant_id", "quantity",

@@ -17,17 +17,27 @@ def _stamps() -> list[Column]:
     return [F.col("createdAt").alias("created_at"), F.col("updatedAt").alias("updated_at")]
 
 
-def stg_orders(orders: DataFrame, accept_bare: bool = False) -> DataFrame:
+def _line_count() -> Column:
+    """Length of the items list, measured without parsing its elements."""
+    return F.coalesce(F.json_array_length("items"), F.lit(0)).cast("bigint")
+
+
+def stg_orders(orders: DataFrame, accept_bare: bool = False, count_lines: bool = False) -> DataFrame:
+    """``count_lines`` adds ``item_count``, for documents that hold all lines of their order."""
     return orders.select(
         F.col("id").alias("order_id"), ref_id(F.col("customer"), accept_bare).alias("customer_id"),
-        "amount", "currency", "status", *_stamps(),
+        "amount", "currency", "status", *_stamps(), *([_line_count().alias("item_count")] if count_lines else []),
     )
 
 
-def stg_order_items(orders: DataFrame, accept_bare: bool = False) -> DataFrame:
-    """One row per element of the items list; a NULL or empty list gives none."""
+def stg_order_items(orders: DataFrame, accept_bare: bool = False, keep_stamps: bool = False) -> DataFrame:
+    """One row per element of the items list; a NULL or empty list gives none.
+
+    ``keep_stamps`` carries the order's own times along, which spares a join back to the order.
+    """
     items = F.from_json("items", _ITEM_BARE if accept_bare else _ITEM)
-    lines = orders.select(F.col("id").alias("order_id"), F.explode(items).alias("item"))
+    stamps = _stamps() if keep_stamps else []
+    lines = orders.select(F.col("id").alias("order_id"), *stamps, F.explode(items).alias("item"))
 
     def reference(name: str) -> Column:
         relation = F.col(f"item.{name}")
@@ -36,14 +46,13 @@ def stg_order_items(orders: DataFrame, accept_bare: bool = False) -> DataFrame:
     return lines.select(
         F.col("item.id").alias("order_item_id"), "order_id",
         reference("product").alias("product_id"), reference("variant").alias("variant_id"),
-        F.col("item.quantity").try_cast("int").alias("quantity"),
+        F.col("item.quantity").try_cast("int").alias("quantity"), *(["created_at", "updated_at"] if keep_stamps else []),
     )
 
 
-def line_counts(orders: DataFrame) -> DataFrame:
-    """``order_id, item_count`` of the items lists, measured without parsing their elements."""
-    lines = F.coalesce(F.json_array_length("items"), F.lit(0))
-    return orders.groupBy(F.col("id").alias("order_id")).agg(F.sum(lines).cast("bigint").alias("item_count"))
+def line_counts(fragments: DataFrame) -> DataFrame:
+    """``order_id, item_count`` over documents that hold some lines of an order each."""
+    return fragments.groupBy(F.col("id").alias("order_id")).agg(F.sum(_line_count()).alias("item_count"))
 
 
 def stg_transactions(transactions: DataFrame, accept_bare: bool = False) -> DataFrame:

@@ -27,6 +27,13 @@ MIN_SUPPORT, TOP = 3, 20
 ORDINARY_BASKET = 100
 # Order ids that may be broadcast: 8 MB. The number is counted before.
 BROADCAST_IDS = 1_000_000
+SALTS = 64
+
+
+def baskets(items: DataFrame) -> DataFrame:
+    """Distinct (order, product) pairs, reduced before any join so that a hot product spreads out."""
+    lines = items.select("order_id", "product_id")
+    return lines.filter(F.col("order_id").isNotNull() & F.col("product_id").isNotNull()).distinct()
 
 
 def _paired(lines: DataFrame) -> DataFrame:
@@ -36,6 +43,17 @@ def _paired(lines: DataFrame) -> DataFrame:
     return together.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _split(lines: DataFrame, ids: DataFrame, few: bool) -> tuple[DataFrame, DataFrame]:
+    """Lines of ordinary and of huge orders. Too many ids to broadcast meet salted lines instead."""
+    if few:
+        small, huge = F.broadcast(ids), F.broadcast(ids)
+        return lines.join(small, "order_id", "left_anti"), lines.join(huge, "order_id", "left_semi")
+    salted = lines.withColumn("salt", F.pmod(F.xxhash64("product_id"), F.lit(SALTS)).cast("int"))
+    copies = ids.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    keys = ["order_id", "salt"]
+    return (salted.join(copies, keys, "left_anti").drop("salt"), salted.join(copies, keys, "left_semi").drop("salt"))
+
+
 def _left_out(huge: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
     """Each product's last ``most`` huge orders; the rank limit applies before the shuffle too."""
     last = Window.partitionBy("product_id").orderBy(F.desc("item_count"), F.desc("order_id"))
@@ -54,22 +72,18 @@ def _late(found: DataFrame, left_out: DataFrame, huge: DataFrame) -> DataFrame:
     return hits[0].unionAll(hits[1]).distinct().select("a", "b", F.lit(1).cast("bigint").alias("n"))
 
 
-def pair_support(items: DataFrame, orders: DataFrame, min_support: int = MIN_SUPPORT,
-                 ordinary: int = ORDINARY_BASKET) -> DataFrame:
-    """``a, b, n``: product pairs in at least ``min_support`` orders.
+def pair_support(lines: DataFrame, orders: DataFrame, min_support: int = MIN_SUPPORT,
+                 ordinary: int = ORDINARY_BASKET, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """``a, b, n``: product pairs in at least ``min_support`` orders, from distinct basket lines.
 
     Counts the huge orders first, one narrow column scan, to choose the plan.
     """
-    lines = items.filter(F.col("product_id").isNotNull()).select("order_id", "product_id")
     sizes = orders.filter(F.col("item_count") > ordinary).select("order_id", "item_count")
     n_huge = sizes.count()
     if n_huge == 0:
-        return _paired(lines.distinct()).filter(F.col("n") >= min_support)
+        return _paired(lines).filter(F.col("n") >= min_support)
 
-    sizes = F.broadcast(sizes) if n_huge <= BROADCAST_IDS else sizes
-    ids = sizes.select("order_id")
-    small = lines.join(ids, "order_id", "left_anti").distinct()
-    huge = lines.join(ids, "order_id", "left_semi").distinct()
+    small, huge = _split(lines, sizes.select("order_id"), few=n_huge <= broadcast_ids)
     left_out = _left_out(huge, sizes, min_support - 1)
     kept = huge.join(left_out, ["order_id", "product_id"], "left_anti")
     found = _paired(small.unionByName(kept))
@@ -80,7 +94,7 @@ def pair_support(items: DataFrame, orders: DataFrame, min_support: int = MIN_SUP
 def product_affinity(items: DataFrame, orders: DataFrame, products: DataFrame, min_support: int = MIN_SUPPORT,
                      limit: int = TOP, ordinary: int = ORDINARY_BASKET) -> DataFrame:
     """Most frequent pairs with their share of all orders. Names join the few rows that remain."""
-    known = items.join(products.select("product_id"), "product_id", "left_semi")
+    known = baskets(items).join(products.select("product_id"), "product_id", "left_semi")
     best = pair_support(known, orders, min_support, ordinary).orderBy(F.desc("n"), "a", "b").limit(limit)
     names = products.select("product_id", "product_name")
     named = best.join(names.toDF("a", "product_a"), "a").join(names.toDF("b", "product_b"), "b")

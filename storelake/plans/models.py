@@ -42,12 +42,24 @@ class Mart:
     month_of: str | None = None
 
 
+def _fact_orders(lake: "Lake") -> DataFrame:
+    if lake.whole_documents:
+        return marts.fact_orders(staging.stg_orders(lake.raw["orders"], count_lines=True))
+    return marts.fact_orders(lake.staged("stg_orders"), staging.line_counts(lake.raw["order_fragments"]))
+
+
+def _fact_order_items(lake: "Lake") -> DataFrame:
+    prices = lake.staged("stg_variants"), lake.staged("stg_products")
+    if lake.whole_documents:
+        return marts.fact_order_items(staging.stg_order_items(lake.raw["orders"], keep_stamps=True), None, *prices)
+    return marts.fact_order_items(lake.staged("stg_order_items"), lake.staged("stg_orders"), *prices)
+
+
 MARTS = {m.name: m for m in (
-    Mart("fact_orders", lambda l: marts.fact_orders(l.staged("stg_orders"), staging.line_counts(l.raw["order_fragments"])),
+    Mart("fact_orders", _fact_orders,
          unique_key="order_id", watermark=("orders",), on_schema_change="sync",
          month_of="order_date"),
-    Mart("fact_order_items", lambda l: marts.fact_order_items(
-            l.staged("stg_order_items"), l.staged("stg_orders"), l.staged("stg_variants"), l.staged("stg_products")),
+    Mart("fact_order_items", _fact_order_items,
          unique_key="order_item_id", watermark=("orders",), on_schema_change="sync", month_of="created_at"),
     Mart("fact_transactions", lambda l: marts.fact_transactions(l.staged("stg_transactions")),
          unique_key="transaction_id", watermark=("transactions",), on_schema_change="sync",
@@ -66,7 +78,9 @@ class Lake:
 
     def __init__(self, raw: Mapping[str, DataFrame], store: TableStore, as_of: dt.date,
                  spine: tuple[dt.date, dt.date] = marts.SPINE, target: str = "dev"):
-        self.raw = {"order_fragments": raw["orders"], **raw} if "orders" in raw else dict(raw)
+        # An order document holds all its lines, unless the lines come apart as order fragments.
+        self.whole_documents = "order_fragments" not in raw
+        self.raw = {"order_fragments": raw["orders"], **raw} if self.whole_documents else dict(raw)
         self.store, self.as_of, self.spine, self.target = store, as_of, spine, target
         self.spark = store.spark
 
@@ -93,9 +107,9 @@ class Lake:
         for name in collections:
             raw[name] = raw[name].filter(newer)
         if "orders" in collections:
-            parts = raw["order_fragments"]
-            raw["order_fragments"] = parts.filter(newer) if CURSOR in parts.columns else parts.join(
-                raw["orders"].select("id"), "id", "left_semi")
+            parts = raw.pop("order_fragments")
+            if not self.whole_documents:
+                raw["order_fragments"] = parts.join(raw["orders"].select("id"), "id", "left_semi")
         return Lake(raw, self.store, self.as_of, self.spine, self.target)
 
     def run_models(self, select: str | None = None, full_refresh: bool = False, strict: bool = False) -> dict[str, int | None]:
