@@ -9,6 +9,8 @@ never paired in full; they are handled exactly by prefix filtering:
   those is not among the last ``s - 1`` orders of either product. So pairs found after leaving out
   each product's last ``s - 1`` huge orders include every pair that can qualify.
 * The left-out orders, at most ``s - 1`` per product, are then checked for the pairs found.
+* A top list needs only its best pairs, so ``s`` rises to a support they are sure to reach. The more
+  the huge baskets overlap, the higher it gets, and the fewer of their pairs are formed.
 
 One order that holds a third of all lines is the last order of each of its products, so with ``s > 1``
 it is left out everywhere and only looked up.
@@ -28,6 +30,8 @@ ORDINARY_BASKET = 100
 # Order ids that may be broadcast: 8 MB. The number is counted before.
 BROADCAST_IDS = 1_000_000
 SALTS = 64
+# Most ordered products whose pairs set the support floor of a top list.
+PROBES = 64
 
 
 def baskets(items: DataFrame) -> DataFrame:
@@ -61,9 +65,16 @@ def _left_out(huge: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
     return ranked.filter(F.col("rank") <= most).select("order_id", "product_id")
 
 
-def _late(found: DataFrame, left_out: DataFrame, huge: DataFrame) -> DataFrame:
-    """Left-out orders that hold both products of a found pair."""
-    pairs = found.select("a", "b")
+def _reachable(found: DataFrame, huge: DataFrame, support: int) -> DataFrame:
+    """Pairs that can still reach the support; ``reach`` bounds the huge orders they may share."""
+    held = huge.groupBy("product_id").agg(F.count(F.lit(1)).alias("held"))
+    bounded = found.join(held.toDF("a", "held_a"), "a", "left").join(held.toDF("b", "held_b"), "b", "left")
+    reach = F.least(F.coalesce("held_a", F.lit(0)), F.coalesce("held_b", F.lit(0)))
+    return bounded.select("a", "b", "n", reach.alias("reach")).filter(F.col("n") + F.col("reach") >= support)
+
+
+def _late(pairs: DataFrame, left_out: DataFrame, huge: DataFrame) -> DataFrame:
+    """Left-out orders that hold both products of a pair."""
     hits = []
     for mine, other in (("a", "b"), ("b", "a")):
         candidates = pairs.join(left_out.withColumnRenamed("product_id", mine), mine)
@@ -72,30 +83,46 @@ def _late(found: DataFrame, left_out: DataFrame, huge: DataFrame) -> DataFrame:
     return hits[0].unionAll(hits[1]).distinct().select("a", "b", F.lit(1).cast("bigint").alias("n"))
 
 
-def pair_support(lines: DataFrame, orders: DataFrame, min_support: int = MIN_SUPPORT,
+def _support_floor(lines: DataFrame, support: int, best: int) -> int:
+    """A support the ``best`` most frequent pairs are sure to reach.
+
+    The pairs among a few dozen of the most ordered products are counted exactly. If ``best`` of them
+    qualify, no pair below the last of them can be among the overall best.
+    """
+    ordered = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+    probe = ordered.orderBy(F.desc("n"), "product_id").limit(PROBES).select("product_id")
+    pairs = _paired(lines.join(F.broadcast(probe), "product_id", "left_semi")).filter(F.col("n") >= support)
+    last = pairs.orderBy(F.desc("n")).limit(best).agg(F.count(F.lit(1)), F.min("n")).first()
+    return last[1] if last[0] == best else support
+
+
+def pair_support(lines: DataFrame, orders: DataFrame, min_support: int = MIN_SUPPORT, best: int | None = None,
                  ordinary: int = ORDINARY_BASKET, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """``a, b, n``: product pairs in at least ``min_support`` orders, from distinct basket lines.
 
-    Counts the huge orders first, one narrow column scan, to choose the plan.
+    With ``best`` only pairs that may be among that many highest are sure to be included, which lets
+    huge orders raise the support. Counts the huge orders first, one narrow column scan.
     """
     sizes = orders.filter(F.col("item_count") > ordinary).select("order_id", "item_count")
     n_huge = sizes.count()
     if n_huge == 0:
         return _paired(lines).filter(F.col("n") >= min_support)
 
+    support = _support_floor(lines, min_support, best) if best else min_support
     small, huge = _split(lines, sizes.select("order_id"), few=n_huge <= broadcast_ids)
-    left_out = _left_out(huge, sizes, min_support - 1)
+    left_out = _left_out(huge, sizes, support - 1)
     kept = huge.join(left_out, ["order_id", "product_id"], "left_anti")
-    found = _paired(small.unionByName(kept))
-    total = found.unionAll(_late(found, left_out, huge)).groupBy("a", "b").agg(F.sum("n").alias("n"))
-    return total.filter(F.col("n") >= min_support)
+    found = _reachable(_paired(small.unionByName(kept)), huge, support)
+    late = _late(found.filter("reach > 0").select("a", "b"), left_out, huge)
+    total = found.select("a", "b", "n").unionAll(late).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return total.filter(F.col("n") >= support)
 
 
 def product_affinity(items: DataFrame, orders: DataFrame, products: DataFrame, min_support: int = MIN_SUPPORT,
                      limit: int = TOP, ordinary: int = ORDINARY_BASKET) -> DataFrame:
     """Most frequent pairs with their share of all orders. Names join the few rows that remain."""
     known = baskets(items).join(products.select("product_id"), "product_id", "left_semi")
-    best = pair_support(known, orders, min_support, ordinary).orderBy(F.desc("n"), "a", "b").limit(limit)
+    best = pair_support(known, orders, min_support, limit, ordinary).orderBy(F.desc("n"), "a", "b").limit(limit)
     names = products.select("product_id", "product_name")
     named = best.join(names.toDF("a", "product_a"), "a").join(names.toDF("b", "product_b"), "b")
     all_orders = orders.agg(F.count("order_id")).scalar()
