@@ -365,6 +365,12 @@ _QUERIES = {
     "write_replace": f"{PLAIN_ORDERS} WHERE made >= {CUTOFF}",
     "write_merge": f"""SELECT id, CASE WHEN made >= {CUTOFF} THEN cents + 2 ELSE cents END AS amount, status,
         made AS "createdAt", CASE WHEN made >= {CUTOFF} THEN made + INTERVAL 2 HOUR ELSE made END AS "updatedAt" FROM ord""",
+    "create_if_missing": PLAIN_ORDERS,
+    "incremental_load": f"""SELECT id, CASE WHEN made >= {CUTOFF} THEN cents + 2 ELSE cents END AS amount, status,
+        made AS "createdAt", CASE WHEN made >= {CUTOFF} THEN made + INTERVAL 2 HOUR ELSE made END AS "updatedAt"
+        FROM ord""",
+    "preview": f"""SELECT id AS transaction_id, {usd('cents')} AS amount_usd, paid AS status FROM ord
+        ORDER BY id LIMIT 5""",
     "write_skip": f"{PLAIN_ORDERS} WHERE made < {CUTOFF}",
     "time_travel_read": PLAIN_ORDERS,
     "align_to_schema": "SELECT id, status, CAST(cents AS DOUBLE) AS amount, CAST(NULL AS DOUBLE) AS discount FROM ord",

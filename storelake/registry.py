@@ -17,6 +17,7 @@ from storelake.plans import (
 )
 from storelake.plans.models import MARTS, STAGING, Lake
 from storelake.sources import inspect, pages, types
+from storelake.sources.load import load, raw_tables
 from storelake.sources.schemas import COLLECTIONS, collection_schema
 from storelake.streaming.upsert import read_page_stream, stream_upsert
 from storelake.workspace import AS_OF, SPINE, Workspace, name_id, workspace
@@ -85,6 +86,20 @@ def _write_skip(w: Workspace) -> DataFrame:
     return store.read("orders")
 
 
+def _create_if_missing(w: Workspace) -> DataFrame:
+    store = w.fresh_store()
+    store.append(_plain_orders(w), "orders")
+    return store.read("orders")
+
+
+def _incremental_load(w: Workspace) -> DataFrame:
+    """Two loads: the older orders, then everything from the saved cursor on, with changed amounts."""
+    store, (older, newer) = w.fresh_store(), _older_newer(w)
+    load({"orders": older}, store, initial=dt.datetime(1995, 1, 1))
+    load({"orders": older.unionAll(_changed(newer))}, store)
+    return raw_tables(store)["orders"]
+
+
 def _read_collection_pages(w: Workspace) -> DataFrame:
     return pages.read_collection_pages(w.spark, w.landed("users") + "/users", collection_schema("users", zoned=False))
 
@@ -232,11 +247,15 @@ QUERIES: dict[str, Query] = {
     "write_merge": lambda w: _merged(w).read("orders").drop("month"),
     "write_skip": _write_skip,
     "time_travel_read": lambda w: _merged(w).read("orders", version=1).drop("month"),
+    "create_if_missing": _create_if_missing,
+    "incremental_load": _incremental_load,
     "align_to_schema": _align,
     "map_types": _map_types,
     "table_summary": lambda w: inspect.table_summary(_stored_marts(w)),
     "layer_counts": _layer_counts,
     "freshness": _freshness,
+    "preview": lambda w: inspect.preview(w.lake.table("fact_transactions"), 5, "transaction_id").select(
+        "transaction_id", "amount_usd", "status"),
     "stream_upsert": _stream_upsert,
     # staging
     **{name: _over(lambda df: df, name) for name in STAGING},

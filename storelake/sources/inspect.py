@@ -37,5 +37,6 @@ def describe_table(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "position int, column_name string, data_type string")
 
 
-def preview(df: DataFrame, rows: int = 5) -> DataFrame:
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 5, by: str | None = None) -> DataFrame:
+    """A few rows; the first ones by a column when they must be the same every time."""
+    return (df.orderBy(by) if by else df).limit(rows)

@@ -145,6 +145,9 @@ class TableStore:
             self._fs.delete(self._path(path), True)
         return gone
 
+    def drop_layer(self, layer: str) -> list[str]:
+        return [path for name in self.list_tables(layer) for path in self.drop(name)]
+
     # --- internals ----------------------------------------------------------------------------
 
     def _home(self, name: str) -> str:

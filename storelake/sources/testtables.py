@@ -59,6 +59,15 @@ def _orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def _use_all_cores(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that gives fewer tasks than there are cores, as a file of one row group does.
+
+    Large inputs have more splits than the cluster has cores and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def _order_fragments(lineitem: DataFrame) -> DataFrame:
     item_id = F.concat_ws(
         "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -70,7 +79,9 @@ def _order_fragments(lineitem: DataFrame) -> DataFrame:
         F.when(odd, F.struct((F.col("l_partkey") * 10 + 1).alias("id"))).alias("variant"),
         F.col("l_quantity").cast("int").alias("quantity"),
     )
-    return lineitem.select(F.col("l_orderkey").alias("id"), F.to_json(F.array(item)).alias("items"))
+    used = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    lines = _use_all_cores(lineitem.select(*used), *used[:3])
+    return lines.select(F.col("l_orderkey").alias("id"), F.to_json(F.array(item)).alias("items"))
 
 
 def _transactions(orders: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from storelake.plans.models import MARTS, Lake
 from storelake.sources import inspect, pages, types
+from storelake.sources.load import cursors, load, raw_tables, reset_cursors
 from storelake.sources.schemas import COLLECTIONS, collection_schema
 from storelake.sources.tables import TableStore
 from storelake.streaming.upsert import read_page_stream, stream_upsert
@@ -121,6 +122,38 @@ def test_cursor(spark):
     assert pages.advance_cursor(since.limit(0), stamp(4)).first()[0] == stamp(4)
 
 
+def orders(spark, rows):
+    return spark.createDataFrame([(i, a, stamp(1), stamp(d)) for i, a, d in rows],
+                                 "id int, amount int, createdAt timestamp_ntz, updatedAt timestamp_ntz")
+
+
+def test_merge_load_follows_its_cursor(spark, store):
+    amounts = lambda: {r["id"]: r["amount"] for r in raw_tables(store)["orders"].collect()}
+    load({"orders": orders(spark, [(1, 10, 2), (2, 20, 5), (9, 90, 1)])}, store, initial=stamp(2))
+    assert amounts() == {1: 10, 2: 20} and cursors(store) == {"orders": stamp(5)}
+    # The initial timestamp no longer counts, rows before the cursor are not read, ties are.
+    load({"orders": orders(spark, [(1, 11, 4), (2, 21, 5), (3, 30, 7)])}, store, initial=stamp(1))
+    assert amounts() == {1: 10, 2: 21, 3: 30} and cursors(store) == {"orders": stamp(7)}
+    load({"orders": orders(spark, [])}, store)
+    assert cursors(store) == {"orders": stamp(7)} and amounts() == {1: 10, 2: 21, 3: 30}
+    reset_cursors(store)
+    load({"orders": orders(spark, [(1, 12, 4)])}, store, initial=stamp(1))
+    assert amounts() == {1: 12, 2: 21, 3: 30}
+    assert dict(store.read("raw/orders").dtypes)["amount"] == "bigint"
+
+
+def test_other_dispositions(spark, store):
+    docs = {"products": orders(spark, [(1, 10, 2)]), "users": orders(spark, [(5, 1, 1)])}
+    assert load(docs, store, "replace") == {"products": 1, "users": 1}
+    assert load(docs, store, "skip") == {"products": None, "users": None}
+    assert load(docs, store, "append") == {"products": 2, "users": 2}
+    assert load(docs, store, "replace")["products"] == 3
+    assert raw_tables(store)["products"].count() == 1
+    with pytest.raises(ValueError):
+        load(docs, store, "upsert")
+    assert store.drop_layer("raw") and store.list_tables("raw") == []
+
+
 def write_page(folder, name, docs, pretty=False):
     folder.mkdir(parents=True, exist_ok=True)
     (folder / name).write_text(json.dumps({"docs": docs, "totalDocs": len(docs), "page": 1}, indent=2 if pretty else None))
