@@ -301,7 +301,7 @@ _ANALYTICS = {
         WHEN orders < 7 THEN '4-6 orders' WHEN orders < 10 THEN '7-9 orders' ELSE '10+ orders' END""", "frequency_bucket"),
     "monetary_distribution": _distribution("""CASE WHEN cents < 50000 THEN '$0-499' WHEN cents < 100000 THEN '$500-999'
         WHEN cents < 200000 THEN '$1000-1999' WHEN cents < 500000 THEN '$2000-4999' ELSE '$5000+' END""", "monetary_bucket"),
-    "active_customers": f"SELECT customer_id, {usd('cents')} AS revenue_usd FROM active",
+    "active_customers": f"SELECT customer_id, 1 AS distinct_customers, {usd('cents')} AS revenue_usd FROM active",
     "spend_tiers": f"""SELECT customer_id, {usd('cents')} AS revenue_usd, CASE WHEN cents < 50000 THEN 'Low'
         WHEN cents <= 200000 THEN 'Medium' ELSE 'High' END AS spend_tier, cents > 500000 AS is_vip FROM active""",
     "category_gap": f"""SELECT customer_id, {usd('cents')} AS revenue_usd FROM active WHERE customer_id NOT IN

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def whole_months(start: Column, end: Column) -> Column:
@@ -26,6 +27,23 @@ def year_month(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM")
 
 
+def moment(value: dt.datetime | str, kind: T.DataType) -> Column:
+    """A point in time as a literal of a column's type.
+
+    A wall-clock time for a column without a zone must not pass through the session's zone.
+    """
+    if isinstance(value, dt.datetime) and isinstance(kind, T.TimestampNTZType):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    return F.lit(value).cast(kind)
+
+
+def moment_text(column: Column, kind: T.DataType) -> Column:
+    """A time as text that ``moment`` turns back into exactly that time in any session."""
+    if isinstance(kind, T.TimestampType):
+        return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    return column.cast("string")
+
+
 def days_before(as_of: dt.date, days: int) -> dt.date:
     return as_of - dt.timedelta(days=days)
 

@@ -45,7 +45,7 @@ def active_customers(orders: DataFrame, as_of: dt.date, days: int = 90, status:
     """Customers with a completed order in the previous ``days`` whole days, with their revenue."""
     recent = between_days(orders, as_of, days, 0).filter(F.col("status") == status)
     revenue = recent.filter(F.col("customer_id").isNotNull()).groupBy("customer_id")
-    return revenue.agg(F.sum("amount_usd").alias("revenue_usd"))
+    return revenue.agg(F.lit(1).alias("distinct_customers"), F.sum("amount_usd").alias("revenue_usd"))
 
 
 def spend_tiers(active: DataFrame) -> DataFrame:
@@ -59,7 +59,7 @@ def category_gap(active: DataFrame, orders: DataFrame, items: DataFrame, bridge:
     in_category = bridge.filter(F.col("category_id") == category_id).select("product_id").distinct()
     with_category = items.join(in_category, "product_id", "left_semi").select("order_id").distinct()
     buyers = orders.join(with_category, "order_id", "left_semi").select("customer_id").distinct()
-    return active.join(buyers, "customer_id", "left_anti")
+    return active.join(buyers, "customer_id", "left_anti").select("customer_id", "revenue_usd")
 
 
 def lapsed_customers(orders: DataFrame, as_of: dt.date, recent: int = 90, before: int = 180,

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storelake.functions.dates import moment
 from storelake.operators import marts, staging
 from storelake.sources.schemas import CURSOR
 from storelake.sources.tables import TableStore
@@ -97,15 +98,15 @@ class Lake:
             self.run_models(mart)
         return self.store.read(self.location(mart))
 
-    def changed_since(self, mark, collections: tuple[str, ...], strict: bool = False) -> "Lake":
+    def changed_since(self, mark: str, collections: tuple[str, ...], strict: bool = False) -> "Lake":
         """The same lake restricted to documents changed since a mark.
 
         Ties at the mark are read again unless ``strict``: the keyed merge makes that harmless.
         """
         raw = dict(self.raw)
-        newer = F.col(CURSOR) > F.lit(mark) if strict else F.col(CURSOR) >= F.lit(mark)
         for name in collections:
-            raw[name] = raw[name].filter(newer)
+            start = moment(mark, raw[name].schema[CURSOR].dataType)
+            raw[name] = raw[name].filter(F.col(CURSOR) > start if strict else F.col(CURSOR) >= start)
         if "orders" in collections:
             parts = raw.pop("order_fragments")
             if not self.whole_documents:

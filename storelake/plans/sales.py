@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelake.functions.dates import year_month
+from storelake.functions.dates import moment, year_month
 from storelake.functions.money import half_up_ratio
 from storelake.plans.periods import between_days
 
@@ -74,7 +74,7 @@ def weekly_seasonality(stg_orders: DataFrame, start: dt.datetime, end: dt.dateti
     """Orders and revenue per ISO week (Monday start) in a time range, both ends included."""
     kind = stg_orders.schema["created_at"].dataType
     created = F.col("created_at")
-    within = stg_orders.filter((created >= F.lit(start).cast(kind)) & (created <= F.lit(end).cast(kind)))
+    within = stg_orders.filter((created >= moment(start, kind)) & (created <= moment(end, kind)))
     return within.groupBy(F.trunc(F.to_date("created_at"), "week").alias("week")).agg(
         F.count(F.lit(1)).alias("orders"),
         (F.sum(F.col("amount").cast("decimal(18,0)")) / 100).cast("decimal(28,2)").alias("revenue"),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelake.functions.dates import moment
 from storelake.functions.documents import id_list
 from storelake.operators import collections as docs
 from storelake.operators import marts, quality
@@ -42,7 +43,7 @@ def _plain_orders(w: Workspace) -> DataFrame:
 
 def _older_newer(w: Workspace) -> tuple[DataFrame, DataFrame]:
     orders = _plain_orders(w)
-    late = F.col("updatedAt") >= F.lit(CUTOFF).cast("timestamp_ntz")
+    late = F.col("updatedAt") >= moment(CUTOFF, T.TimestampNTZType())
     return orders.filter(~late), orders.filter(late)
 
 
@@ -169,7 +170,7 @@ def _incremental_build(name: str) -> Query:
     def run(w: Workspace) -> DataFrame:
         store = w.fresh_store()
         early = dict(w.raw)
-        early["orders"] = w.raw["orders"].filter(F.col("updatedAt") < F.lit(CUTOFF).cast("timestamp_ntz"))
+        early["orders"] = w.raw["orders"].filter(F.col("updatedAt") < moment(CUTOFF, T.TimestampNTZType()))
         Lake(early, store, AS_OF, SPINE).run_models(name)
         Lake(w.raw, store, AS_OF, SPINE).run_models(name)
         return store.read(f"dev_marts/{name}").drop("order_month")

@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storelake.functions.dates import moment_text
 from storelake.sources.pages import advance_cursor, incremental_extract
 from storelake.sources.schemas import CURSOR, INITIAL_TIMESTAMP, PRIMARY_KEY
 from storelake.sources.tables import TableStore
@@ -24,8 +25,8 @@ MONTH = "created_month"
 _STATE = "state/cursors"
 
 
-def cursors(store: TableStore) -> dict[str, dt.datetime]:
-    """Saved cursor per collection; one row each."""
+def cursors(store: TableStore) -> dict[str, str]:
+    """Saved cursor per collection, as text; one row each."""
     if not store.exists(_STATE):
         return {}
     return {r["collection"]: r["cursor"] for r in store.read(_STATE).collect()}
@@ -36,8 +37,8 @@ def reset_cursors(store: TableStore) -> None:
     store.drop(_STATE)
 
 
-def _save_cursor(store: TableStore, collection: str, value: dt.datetime) -> None:
-    row = store.spark.createDataFrame([(collection, value)], "collection string, cursor timestamp_ntz")
+def _save_cursor(store: TableStore, collection: str, value: str) -> None:
+    row = store.spark.createDataFrame([(collection, value)], "collection string, cursor string")
     store.merge(row, _STATE, ["collection"], None)
 
 
@@ -59,7 +60,8 @@ def load(collections: Mapping[str, DataFrame], store: TableStore, disposition: s
             versions[name] = getattr(store, disposition)(stored, table, parts)
             continue
         versions[name] = store.merge(stored, table, [PRIMARY_KEY], CURSOR, parts)
-        latest = advance_cursor(rows, saved.get(name)).first()["cursor"]
+        latest = advance_cursor(rows, saved.get(name)).select(
+            moment_text(F.col("cursor"), rows.schema[CURSOR].dataType)).first()[0]
         if latest is not None:
             _save_cursor(store, name, latest)
     return versions

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelake.functions.dates import moment
 from storelake.sources.schemas import (
     COLLECTIONS, CURSOR, INITIAL_TIMESTAMP, collection_schema, page_schema,
 )
@@ -43,17 +44,17 @@ def incremental_extract(
     cursor_column: str = CURSOR,
 ) -> DataFrame:
     """Documents changed at or after the saved cursor; ``initial`` serves the first run only."""
-    start = F.lit(initial if cursor is None else cursor)
-    return documents.filter(F.col(cursor_column) >= start.cast(documents.schema[cursor_column].dataType))
+    start = moment(initial if cursor is None else cursor, documents.schema[cursor_column].dataType)
+    return documents.filter(F.col(cursor_column) >= start)
 
 
 def advance_cursor(
-    extracted: DataFrame, cursor: dt.datetime | None = None, cursor_column: str = CURSOR,
+    extracted: DataFrame, cursor: dt.datetime | str | None = None, cursor_column: str = CURSOR,
 ) -> DataFrame:
     """One row with the cursor to save; an empty extract keeps the previous one."""
     kind = extracted.schema[cursor_column].dataType
-    latest = F.max(cursor_column)
-    return extracted.agg(F.coalesce(latest, F.lit(cursor).cast(kind)).alias("cursor"))
+    previous = F.lit(None).cast(kind) if cursor is None else moment(cursor, kind)
+    return extracted.agg(F.coalesce(F.max(cursor_column), previous).alias("cursor"))
 
 
 def debug_sample(

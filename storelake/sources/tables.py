@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelake.functions.dates import moment_text
 from storelake.sources.types import align_to_schema
 
 _LOAD = "load_id"
@@ -132,9 +133,12 @@ class TableStore:
             batch = batch.select(*[c for c in stored.names], *[c for c in batch.columns if c not in stored.names])
         return self._commit(batch, name, parts, keep=[d for d in dirs if d not in touched])
 
-    def high_water(self, name: str, column: str):
-        """Largest stored value of a column, NULL for an empty or missing table."""
-        return self.read(name).agg(F.max(column)).first()[0] if self.exists(name) else None
+    def high_water(self, name: str, column: str) -> str | None:
+        """Largest stored time of a column as text, None for an empty or missing table."""
+        if not self.exists(name):
+            return None
+        stored = self.read(name)
+        return stored.agg(moment_text(F.max(column), stored.schema[column].dataType)).first()[0]
 
     def drop(self, name: str) -> list[str]:
         """Delete what the manifests of a table list, and nothing else."""

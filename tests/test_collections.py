@@ -71,6 +71,20 @@ def test_access_rules(spark):
         docs.visible_rows(rows, "other")
 
 
+def test_product_search(spark):
+    rows = spark.createDataFrame([
+        (1, "Ring", "gold", "published", '[{"id":3}]'), (2, "Bolt", "for a ring", "published", "[3, 4]"),
+        (3, "Ring", "tin", "draft", "[3]"), (4, "Nut", None, "published", None),
+    ], "id long, title string, description string, _status string, categories string").selectExpr(
+        "*", "concat('s', id) as slug", "id * 100 as priceInUSD")
+    ids = lambda **args: [r["id"] for r in docs.product_search(rows, **args).collect()]
+    admin = {"id": 1, "roles": ["admin"]}
+    assert ids() == [2, 4, 1] and ids(user=admin) == [2, 4, 1, 3]
+    assert ids(text="RING") == [2, 1] == ids(text="ring", user=admin)
+    assert ids(category=4) == [2] and ids(text="gold", category=4) == [] and ids(text="gold", category=3) == [1]
+    assert ids(by="Price: High to low") == [4, 2, 1]
+
+
 def test_order_lookup_needs_an_owner(spark):
     rows = spark.createDataFrame([(1, '{"id":5}', "e@x")], "id long, customer string, customerEmail string")
     count = lambda **who: docs.order_lookup(rows, 1, **who).count()

@@ -130,18 +130,32 @@ def orders(spark, rows):
 def test_merge_load_follows_its_cursor(spark, store):
     amounts = lambda: {r["id"]: r["amount"] for r in raw_tables(store)["orders"].collect()}
     load({"orders": orders(spark, [(1, 10, 2), (2, 20, 5), (9, 90, 1)])}, store, initial=stamp(2))
-    assert amounts() == {1: 10, 2: 20} and cursors(store) == {"orders": stamp(5)}
+    assert amounts() == {1: 10, 2: 20} and cursors(store) == {"orders": "2024-01-05 00:00:00"}
     # The initial timestamp no longer counts, rows before the cursor are not read, ties are.
     load({"orders": orders(spark, [(1, 11, 4), (2, 21, 5), (3, 30, 7)])}, store, initial=stamp(1))
-    assert amounts() == {1: 10, 2: 21, 3: 30} and cursors(store) == {"orders": stamp(7)}
+    assert amounts() == {1: 10, 2: 21, 3: 30} and cursors(store) == {"orders": "2024-01-07 00:00:00"}
     load({"orders": orders(spark, [])}, store)
-    assert cursors(store) == {"orders": stamp(7)} and amounts() == {1: 10, 2: 21, 3: 30}
+    assert cursors(store) == {"orders": "2024-01-07 00:00:00"} and amounts() == {1: 10, 2: 21, 3: 30}
     reset_cursors(store)
     load({"orders": orders(spark, [(1, 12, 4)])}, store, initial=stamp(1))
     assert amounts() == {1: 12, 2: 21, 3: 30}
     assert dict(store.read("raw/orders").dtypes)["amount"] == "bigint"
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_cursor_and_mark_survive_a_change_of_session_zone(spark, store, kind):
+    docs = orders(spark, [(1, 10, 2), (2, 20, 5)]).withColumns({c: F.col(c).cast(kind) for c in ("createdAt", "updatedAt")})
+    load({"users": docs}, store, initial="2024-01-01T00:00:00Z")
+    mark = store.high_water("raw/users", "updatedAt")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        for start in (mark, cursors(store)["users"]):
+            since = pages.incremental_extract(docs.withColumn("updatedAt", F.col("updatedAt")), start)
+            assert [r["id"] for r in since.select("id").collect()] == [2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_other_dispositions(spark, store):
     docs = {"products": orders(spark, [(1, 10, 2)]), "users": orders(spark, [(5, 1, 1)])}
     assert load(docs, store, "replace") == {"products": 1, "users": 1}
