@@ -1,11 +1,12 @@
 """Document filters (``{"field": {"operator": value}}``) as Spark predicates.
 
-Comparison operators become plain column predicates, so they reach the parquet scan.
+Comparisons of plain columns become plain predicates, so they reach the parquet scan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
+from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
@@ -13,27 +14,52 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelake.functions.documents import id_list, ref_id
 
-def _is_array(df: DataFrame, field: str) -> bool:
-    return isinstance(df.select(field).schema[0].dataType, T.ArrayType)
+
+@dataclass(frozen=True)
+class Fields:
+    """How a filter reads the columns of a collection.
+
+    ``relations`` are references stored as JSON and compare by id; ``lists`` are JSON lists of
+    references and compare by their ids.
+    """
+
+    df: DataFrame
+    relations: Collection[str] = ()
+    lists: Collection[str] = ()
+
+    def value(self, name: str) -> Column:
+        if name in self.relations:
+            return ref_id(F.col(name), accept_bare=True)
+        return id_list(F.col(name)) if name in self.lists else F.col(name)
+
+    def is_list(self, name: str) -> bool:
+        return name in self.lists or isinstance(self.df.schema[name].dataType, T.ArrayType)
 
 
 def _has_text(col: Column, text: str) -> Column:
     return F.contains(F.lower(col), F.lit(text.lower()))
 
 
-def _all_words(col: Column, text: str) -> Column:
-    return reduce(Column.__and__, [_has_text(col, w) for w in text.split()], F.lit(True))
+def _conjunction(parts: list[Column]) -> Column:
+    return reduce(Column.__and__, parts, F.lit(True))
 
 
 def _values(value: Any) -> list:
-    if isinstance(value, str):
-        return [v.strip() for v in value.split(",")]
-    return list(value)
+    return [v.strip() for v in value.split(",")] if isinstance(value, str) else list(value)
 
 
-def _condition(df: DataFrame, field: str, operator: str, value: Any) -> Column:
-    col, array = F.col(field), _is_array(df, field)
+def _holds(col: Column, value: Any) -> Column:
+    return F.exists(col, lambda e: e == F.lit(value))
+
+
+def _any_of(col: Column, value: Any, is_list: bool) -> Column:
+    wanted = _values(value)
+    return F.exists(col, lambda e: e.isin(wanted)) if is_list else col.isin(wanted)
+
+
+def _condition(col: Column, is_list: bool, operator: str, value: Any) -> Column:
     if operator == "equals":
         return col.isNull() if value is None else col == F.lit(value)
     if operator == "not_equals":
@@ -47,30 +73,28 @@ def _condition(df: DataFrame, field: str, operator: str, value: Any) -> Column:
     if operator == "less_than_equal":
         return col <= F.lit(value)
     if operator == "like":
-        return _all_words(col, value)
+        return _conjunction([_has_text(col, word) for word in value.split()])
     if operator == "contains":
-        return F.array_contains(col, F.lit(value)) if array else _has_text(col, value)
+        return _holds(col, value) if is_list else _has_text(col, value)
     if operator == "in":
-        wanted = F.array(*[F.lit(v) for v in _values(value)])
-        return F.arrays_overlap(col, wanted) if array else col.isin(_values(value))
+        return _any_of(col, value, is_list)
     if operator == "not_in":
-        return ~F.coalesce(_condition(df, field, "in", value), F.lit(False))
+        return ~F.coalesce(_any_of(col, value, is_list), F.lit(False))
     if operator == "all":
-        return reduce(Column.__and__, [F.array_contains(col, F.lit(v)) for v in _values(value)])
+        return _conjunction([_holds(col, v) for v in _values(value)])
     if operator == "exists":
         return col.isNotNull() if value in (True, "true") else col.isNull()
     raise ValueError(f"unknown where operator: {operator}")
 
 
-def where_column(df: DataFrame, spec: Mapping[str, Any]) -> Column:
+def where_column(fields: Fields, spec: Mapping[str, Any]) -> Column:
     """One predicate for a filter document; sibling entries are conjoined."""
     parts = []
     for key, body in spec.items():
         if key in ("and", "or"):
-            nested = [where_column(df, s) for s in body]
-            join = Column.__and__ if key == "and" else Column.__or__
+            nested = [where_column(fields, s) for s in body]
             if nested:
-                parts.append(reduce(join, nested))
+                parts.append(reduce(Column.__and__ if key == "and" else Column.__or__, nested))
         else:
-            parts += [_condition(df, key, op, value) for op, value in body.items()]
-    return reduce(Column.__and__, parts, F.lit(True))
+            parts += [_condition(fields.value(key), fields.is_list(key), op, value) for op, value in body.items()]
+    return _conjunction(parts)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelake.functions.documents import id_list, ref_id
-from storelake.functions.predicates import where_column
+from storelake.functions.predicates import Fields, where_column
 
 # The shop's named orderings and its stock notice limit.
 SORTS = {
@@ -19,8 +19,10 @@ SORTS = {
 STOCK_NOTICE = 10
 
 
-def where(df: DataFrame, spec: Mapping[str, Any]) -> DataFrame:
-    return df.filter(where_column(df, spec))
+def where(df: DataFrame, spec: Mapping[str, Any], relations: Collection[str] = (),
+          lists: Collection[str] = ()) -> DataFrame:
+    """Rows that meet a filter document; ``relations`` and ``lists`` name JSON reference columns."""
+    return df.filter(where_column(Fields(df, relations, lists), spec))
 
 
 def sort_columns(spec: str, tie_break: str | None = "id") -> list[Column]:
@@ -49,7 +51,10 @@ def select(df: DataFrame, fields: str | Sequence[str], key: str = "id") -> DataF
 
 
 def populate(df: DataFrame, references: Mapping[str, DataFrame], accept_bare: bool = True) -> DataFrame:
-    """Replace each reference column by the referenced row, NULL when it does not resolve."""
+    """Replace each reference column by the referenced row, NULL when it does not resolve.
+
+    For more depth, populate the referenced collection first.
+    """
     for name, target in references.items():
         order = df.columns
         found = target.select(F.col("id").alias("_ref"), F.struct(*target.columns).alias("_row"))
@@ -59,11 +64,6 @@ def populate(df: DataFrame, references: Mapping[str, DataFrame], accept_bare: bo
     return df
 
 
-def _in_categories(ids: Iterable[int]) -> Column:
-    wanted = F.array(*[F.lit(int(i)).cast("bigint") for i in ids])
-    return F.arrays_overlap(id_list(F.col("categories")), wanted)
-
-
 def product_search(products: DataFrame, text: str | None = None, category: int | None = None, by: str = "title",
                    user: Mapping[str, Any] | None = None) -> DataFrame:
     """Products whose title or description holds the words, within a category.
@@ -76,17 +76,21 @@ def product_search(products: DataFrame, text: str | None = None, category: int |
     if text:
         found = where(found, {"or": [{"title": {"like": text}}, {"description": {"like": text}}]})
     if category is not None:
-        found = found.filter(_in_categories([category]))
+        found = where(found, {"categories": {"contains": category}}, lists=["categories"])
     return sort(found, by).select("id", "title", "slug", "categories", "priceInUSD")
 
 
 def products_in_categories(products: DataFrame, ids: Sequence[int] = (), limit: int | None = None) -> DataFrame:
-    found = products.filter(_in_categories(ids)) if ids else products
+    found = where(products, {"categories": {"in": ids}}, lists=["categories"]) if ids else products
     return page(found, limit) if limit else found
 
 
+def _owned(rows: DataFrame, customer: int) -> DataFrame:
+    return where(rows, {"customer": {"equals": customer}}, relations=["customer"])
+
+
 def customer_orders(orders: DataFrame, customer: int, limit: int = 0) -> DataFrame:
-    return page(orders.filter(ref_id(F.col("customer"), True) == customer), limit, by="-createdAt")
+    return page(_owned(orders, customer), limit, by="-createdAt")
 
 
 def order_lookup(orders: DataFrame, order: int, customer: int | None = None, email: str | None = None) -> DataFrame:
@@ -95,7 +99,7 @@ def order_lookup(orders: DataFrame, order: int, customer: int | None = None, ema
         return orders.limit(0)
     found = orders.filter(F.col("id") == order)
     if customer is not None:
-        found = found.filter(ref_id(F.col("customer"), True) == customer)
+        found = _owned(found, customer)
     return found.filter(F.col("customerEmail") == email) if email else found
 
 
@@ -111,7 +115,7 @@ def visible_rows(df: DataFrame, rule: str, user: Mapping[str, Any] | None = None
     if rule == "admin" or not user or user.get("id") is None:
         return df.limit(0)
     if rule == "owner":
-        return df.filter(ref_id(F.col("customer"), True) == user["id"])
+        return _owned(df, user["id"])
     return df.filter(F.col("id") == user["id"])
 
 

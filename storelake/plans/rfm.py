@@ -17,6 +17,18 @@ MONETARY_CUTS = (5000, 2000, 1000, 500)
 RECENCY_LABELS = ("0-30 days", "31-60 days", "61-90 days", "91-180 days", "180+ days")
 FREQUENCY_LABELS = ("10+ orders", "7-9 orders", "4-6 orders", "2-3 orders", "1 order")
 MONETARY_LABELS = ("$5000+", "$2000-4999", "$1000-1999", "$500-999", "$0-499")
+# Segment, then the score ranges of recency, frequency and monetary value.
+SEGMENT_RULES = (
+    ("Champions", (4, 5), (4, 5), (4, 5)),
+    ("Loyal Customers", (3, 5), (3, 5), (3, 5)),
+    ("New Customers", (4, 5), (1, 2), (1, 2)),
+    ("At Risk", (1, 2), (3, 5), (3, 5)),
+    ("Cant Lose Them", (1, 2), (1, 2), (3, 5)),
+    ("Lost", (1, 2), (1, 2), (1, 2)),
+    ("Promising", (3, 5), (1, 2), (1, 2)),
+    ("Potential Loyalists", (3, 5), (1, 5), (3, 5)),
+)
+NO_SEGMENT = "Others"
 
 
 def _step(value: Column, cuts: Sequence[int], results: Sequence, below: bool) -> Column:
@@ -42,20 +54,11 @@ def rfm_table(customers: DataFrame, as_of: dt.date, limit: int = 20) -> DataFram
 
 
 def rfm_segment(r: Column, f: Column, m: Column) -> Column:
-    """The order of the cases matters: the first that applies names the segment."""
-    cases = (
-        ((r >= 4) & (f >= 4) & (m >= 4), "Champions"),
-        ((r >= 3) & (f >= 3) & (m >= 3), "Loyal Customers"),
-        ((r >= 4) & (f <= 2) & (m <= 2), "New Customers"),
-        ((r <= 2) & (f >= 3) & (m >= 3), "At Risk"),
-        ((r <= 2) & (f <= 2) & (m >= 3), "Cant Lose Them"),
-        ((r <= 2) & (f <= 2) & (m <= 2), "Lost"),
-        ((r >= 3) & (f <= 2) & (m <= 2), "Promising"),
-        ((r >= 3) & (m >= 3), "Potential Loyalists"),
-    )
-    segment = F.lit("Others")
-    for applies, name in reversed(cases):
-        segment = F.when(applies, name).otherwise(segment)
+    """The first rule whose ranges hold all three scores names the segment."""
+    segment = F.lit(NO_SEGMENT)
+    for name, *ranges in reversed(SEGMENT_RULES):
+        fits = [score.between(low, high) for score, (low, high) in zip((r, f, m), ranges)]
+        segment = F.when(fits[0] & fits[1] & fits[2], name).otherwise(segment)
     return segment
 
 

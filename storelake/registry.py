@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelake.functions.dates import moment
-from storelake.functions.documents import id_list
 from storelake.operators import collections as docs
 from storelake.operators import marts, quality
 from storelake.plans import (
@@ -206,15 +205,14 @@ def _category_gap(w: Workspace) -> DataFrame:
 
 
 def _where(w: Workspace) -> DataFrame:
-    listed = w.raw["products"].withColumn("categories", id_list(F.col("categories")))
-    found = docs.where(listed, {"or": [
+    found = docs.where(w.raw["products"], {"or": [
         {"and": [{"title": {"like": "RING small"}}, {"inventory": {"greater_than": 10, "less_than_equal": 45}}]},
         {"and": [{"description": {"contains": "promo"}}, {"_status": {"not_equals": "draft"}},
                  {"priceInUSD": {"greater_than_equal": 95000}}, {"inventory": {"not_in": [0, 7, 14]}}]},
         {"and": [{"categories": {"all": [SEARCH_CATEGORY, GAP_CATEGORY]}}, {"inventory": {"less_than": 30}}]},
         {"and": [{"categories": {"exists": False}}, {"slug": {"exists": True}}, {"enableVariants": {"equals": True}},
-                 {"inventory": {"in": "5, 10, 15, 20"}}]},
-    ]})
+                 {"inventory": {"in": [5, 10, 15, 20]}}]},
+    ]}, lists=["categories"])
     return found.select("id", "title", "inventory", "_status")
 
 

@@ -123,7 +123,7 @@ class TableStore:
 
         current = self.manifest(name)
         stored = T.StructType.fromJson(current["schema"])
-        batch = self._written(align_to_schema(batch, stored, on_schema_change), name)
+        batch, path = self._written(align_to_schema(batch, stored, on_schema_change), name)
         changed = batch.filter(~no_key).select(*keys)
         parts, dirs = current["partition_by"], current["dirs"]
         touched = self._touched(name, current, changed, keys) if parts else set(dirs)
@@ -131,7 +131,7 @@ class TableStore:
             scope = self._scan(name, {**current, "dirs": [d for d in dirs if d in touched]})
             batch = scope.join(changed, keys, "left_anti").unionByName(batch, allowMissingColumns=True)
             batch = batch.select(*[c for c in stored.names], *[c for c in batch.columns if c not in stored.names])
-        return self._commit(batch, name, parts, keep=[d for d in dirs if d not in touched])
+        return self._commit(batch, name, parts, keep=[d for d in dirs if d not in touched], batch=path)
 
     def high_water(self, name: str, column: str) -> str | None:
         """Largest stored time of a column as text, None for an empty or missing table."""
@@ -142,9 +142,10 @@ class TableStore:
 
     def drop(self, name: str) -> list[str]:
         """Delete what the manifests of a table list, and nothing else."""
-        files = [self._version_file(name, v) for v in self.versions(name)]
-        loads = {d for v in self.versions(name) for d in self.manifest(name, v)["dirs"]}
-        gone = sorted(f"{self._home(name)}/data/{d}" for d in loads) + files
+        home, versions = self._home(name), self.versions(name)
+        bodies = [self.manifest(name, v) for v in versions]
+        listed = {f"data/{d}" for b in bodies for d in b["dirs"]} | {b["batch"] for b in bodies if b["batch"]}
+        gone = sorted(f"{home}/{p}" for p in listed) + [self._version_file(name, v) for v in versions]
         for path in gone:
             self._fs.delete(self._path(path), True)
         return gone
@@ -176,22 +177,33 @@ class TableStore:
         return reader.parquet(*[f"{base}/{d}" for d in manifest["dirs"]]).select(*schema.names)
 
     def _touched(self, name: str, current: dict, changed: DataFrame, keys: list[str]) -> set[str]:
-        """Stored directories that hold a changed key: reads only the key columns."""
-        held = self._scan(name, current).select(*keys, F.input_file_name().alias("file"))
-        hit = held.join(changed, keys, "left_semi")
+        """Stored directories that hold a changed key.
+
+        Reads only the key columns, and of those only the row groups within the range of the changed
+        keys: the range is resolved first, so that it reaches the scan.
+        """
+        held = self._scan(name, current)
+        ranged = [k for k in keys if isinstance(held.schema[k].dataType, (T.IntegralType, T.StringType))]
+        if ranged:
+            ends = changed.agg(*[f(k) for k in ranged for f in (F.min, F.max)]).first()
+            if ends[0] is None:
+                return set()
+            for i, k in enumerate(ranged):
+                held = held.filter(F.col(k).between(F.lit(ends[2 * i]), F.lit(ends[2 * i + 1])))
+        hit = held.select(*keys, F.input_file_name().alias("file")).join(changed, keys, "left_semi")
         folder = F.regexp_extract("file", f"({_LOAD}=.*)/[^/]+$", 1)
         # One row per directory, and the manifest on the driver already lists them all.
         urls = hit.select(folder.alias("dir")).distinct().collect()
         found = {self._jvm.java.net.URI.create(r["dir"].replace(" ", "%20")).getPath() for r in urls}
         return {d for d in current["dirs"] if d in found}
 
-    def _written(self, df: DataFrame, name: str) -> DataFrame:
+    def _written(self, df: DataFrame, name: str) -> tuple[DataFrame, str]:
         """The batch as a written table, since the merge reads it several times."""
-        path = f"{self._home(name)}/batches/{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        folder = f"batches/{uuid.uuid4().hex}"
+        df.write.parquet(f"{self._home(name)}/{folder}")
+        return self.spark.read.schema(df.schema).parquet(f"{self._home(name)}/{folder}"), folder
 
-    def _commit(self, df: DataFrame, name: str, parts: list[str], keep: list[str]) -> int:
+    def _commit(self, df: DataFrame, name: str, parts: list[str], keep: list[str], batch: str | None = None) -> int:
         known = self.versions(name)
         version = known[-1] + 1 if known else 1
         load = f"{_LOAD}=v{version:08d}-{uuid.uuid4().hex[:8]}"
@@ -203,7 +215,7 @@ class TableStore:
         else:
             df.write.parquet(target)
             dirs = [load]
-        body = {"schema": df.schema.jsonValue(), "partition_by": parts, "dirs": keep + dirs}
+        body = {"schema": df.schema.jsonValue(), "partition_by": parts, "dirs": keep + dirs, "batch": batch}
         out = self._fs.create(self._path(self._version_file(name, version)), False)
         try:
             out.write(bytearray(json.dumps(body), "utf-8"))

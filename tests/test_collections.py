@@ -37,6 +37,17 @@ def test_where(products, spec, want):
     assert sorted(r["id"] for r in docs.where(products, spec).collect()) == want
 
 
+def test_where_on_references(spark):
+    rows = spark.createDataFrame([(1, '{"id":5}', '[{"id":3},4]'), (2, "5", "[3]"), (3, '{"id":6}', None), (4, None, "[]")],
+                                 "id long, customer string, categories string")
+    def ids(spec):
+        return sorted(r["id"] for r in docs.where(rows, spec, ["customer"], ["categories"]).collect())
+    assert ids({"customer": {"equals": 5}}) == [1, 2] and ids({"customer": {"not_in": [5]}}) == [3, 4]
+    assert ids({"customer": {"exists": False}}) == [4] and ids({"categories": {"contains": 3}}) == [1, 2]
+    assert ids({"categories": {"all": [3, 4]}}) == [1] and ids({"categories": {"in": [4, 9]}}) == [1]
+    assert ids({"categories": {"not_in": [4]}}) == [2, 3, 4]
+
+
 def test_where_reaches_the_scan(spark, tmp_path):
     path = f"{tmp_path}/t"
     spark.range(10).withColumn("v", F.col("id") * 2).write.parquet(path)
