@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelake.functions.money import average
@@ -17,15 +19,28 @@ def category_names(bridge: DataFrame, categories: DataFrame) -> DataFrame:
         F.array_join(F.array_sort(F.collect_list("category_name")), ", ").alias("category_names"))
 
 
+def _grouped(rows: DataFrame, key: str, *labels: str) -> tuple[DataFrame, DataFrame]:
+    """Number the distinct labels of a dimension by the smallest key that has them.
+
+    Gives ``key, group_id`` and ``group_id, labels``. Lines then shuffle on one number rather than on
+    label texts. Labels may be NULL.
+    """
+    groups = rows.groupBy(*labels).agg(F.min(key).alias("group_id"))
+    named = groups.toDF(*[f"_{c}" for c in labels], "group_id")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in labels])
+    return rows.join(named, same).select(key, "group_id"), groups
+
+
 def top_products(items: DataFrame, products: DataFrame, bridge: DataFrame, categories: DataFrame,
                  limit: int = 10) -> DataFrame:
     """Grouped by name, not by id: products that share a name and categories are one line."""
     named = products.select("product_id", "product_name").join(category_names(bridge, categories), "product_id", "left")
-    sold = items.join(named, "product_id").groupBy("product_name", "category_names").agg(
+    ids, groups = _grouped(named, "product_id", "product_name", "category_names")
+    sold = items.join(ids, "product_id").groupBy("group_id").agg(
         F.count_distinct("order_id").alias("times_ordered"), F.sum("quantity").alias("total_quantity_sold"),
         F.sum("line_total_usd").alias("total_revenue_usd"),
         average(F.col("unit_price_usd")).alias("avg_unit_price_usd"))
-    return sold.select(
+    return sold.join(groups, "group_id").select(
         "product_name", F.coalesce("category_names", F.lit(UNCATEGORIZED)).alias("categories"),
         "times_ordered", "total_quantity_sold", "total_revenue_usd", "avg_unit_price_usd",
     ).orderBy(F.desc("total_revenue_usd"), "product_name", "categories").limit(limit)
@@ -33,12 +48,14 @@ def top_products(items: DataFrame, products: DataFrame, bridge: DataFrame, categ
 
 def category_performance(items: DataFrame, bridge: DataFrame, categories: DataFrame) -> DataFrame:
     """A line of a product with several categories counts in each of them."""
-    named = bridge.join(categories.select("category_id", "category_name"), "category_id").select(
-        "product_id", "category_name")
-    return items.join(named, "product_id").groupBy("category_name").agg(
+    ids, groups = _grouped(categories, "category_id", "category_name")
+    linked = bridge.join(ids, "category_id").select("product_id", "group_id")
+    sold = items.join(linked, "product_id").groupBy("group_id").agg(
         F.count_distinct("order_id").alias("total_orders"), F.sum("quantity").alias("items_sold"),
         F.sum("line_total_usd").alias("total_revenue_usd"),
-        average(F.col("line_total_usd")).alias("avg_line_value_usd"),
+        average(F.col("line_total_usd")).alias("avg_line_value_usd"))
+    return sold.join(groups, "group_id").select(
+        "category_name", "total_orders", "items_sold", "total_revenue_usd", "avg_line_value_usd",
     ).orderBy(F.desc("total_revenue_usd"), "category_name")
 
 

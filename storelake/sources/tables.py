@@ -51,6 +51,7 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: str | None) -> D
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._frames: dict[tuple[str, int | None], DataFrame] = {}
         self._jvm = spark.sparkContext._jvm
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -86,8 +87,13 @@ class TableStore:
         return sorted(found)
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
-        """The table as of a version, the newest by default."""
-        return self._scan(name, self.manifest(name, version))
+        """The table as of a version, the newest by default. Versions never change, so each is listed once."""
+        if version is None:
+            known = self.versions(name)
+            version = known[-1] if known else None
+        if (name, version) not in self._frames:
+            self._frames[name, version] = self._scan(name, self.manifest(name, version))
+        return self._frames[name, version]
 
     # --- write modes --------------------------------------------------------------------------
 
@@ -146,6 +152,8 @@ class TableStore:
         bodies = [self.manifest(name, v) for v in versions]
         listed = {f"data/{d}" for b in bodies for d in b["dirs"]} | {b["batch"] for b in bodies if b["batch"]}
         gone = sorted(f"{home}/{p}" for p in listed) + [self._version_file(name, v) for v in versions]
+        for version in versions:
+            self._frames.pop((name, version), None)
         for path in gone:
             self._fs.delete(self._path(path), True)
         return gone
