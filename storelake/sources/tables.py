@@ -130,6 +130,8 @@ class TableStore:
         current = self.manifest(name)
         stored = T.StructType.fromJson(current["schema"])
         batch, path = self._written(align_to_schema(batch, stored, on_schema_change), name)
+        if set(batch.columns) <= set(stored.names) and batch.isEmpty():
+            return self.versions(name)[-1]
         changed = batch.filter(~no_key).select(*keys)
         parts, dirs = current["partition_by"], current["dirs"]
         touched = self._touched(name, current, changed, keys) if parts else set(dirs)

@@ -74,6 +74,33 @@ def test_merge_rewrites_only_touched_partitions(spark, store):
     assert rows(store.read("t", 1)) == [(0, "a"), (1, "a"), (2, "a"), (3, "a")]
 
 
+def test_empty_merge_changes_nothing(spark, store):
+    store.replace(batch(spark, [(1, "a", stamp(1))]), "t")
+    assert store.merge(batch(spark, []), "t") == 1 == store.versions("t")[-1]
+    assert store.merge(batch(spark, []), "new") == 1 and store.read("new").count() == 0
+
+
+def test_hot_partition_is_written_in_several_files(spark, store):
+    """Sixteen tasks hold rows of every partition; most partitions still come out as one file."""
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB"}
+    saved = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        month = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("m"), F.col("id") % 20))
+        rows = spark.range(0, n, 1, 16).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), month.alias("p"))
+        store.replace(rows, "t", ["p"])
+        named = store.read("t").withColumn("file", F.input_file_name())
+        files = named.groupBy("p").agg(F.count_distinct("file").alias("files"), F.count("*").alias("n"))
+        got = {r["p"]: (r["files"], r["n"]) for r in files.collect()}
+        others = sorted(f for p, (f, _) in got.items() if p != "hot")
+        assert got["hot"][0] > 1 and got["hot"][1] == n // 3 and others[len(others) // 2] == 1
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+
+
 def test_skip_and_missing_table(spark, store):
     assert store.skip(batch(spark, [(1, "a", stamp(1))]), "t") == 1
     assert store.skip(batch(spark, [(2, "b", stamp(1))]), "t") is None
