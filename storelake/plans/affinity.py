@@ -9,8 +9,10 @@ never paired in full; they are handled exactly by prefix filtering:
   those is not among the last ``s - 1`` orders of either product. So pairs found after leaving out
   each product's last ``s - 1`` huge orders include every pair that can qualify.
 * The left-out orders, at most ``s - 1`` per product, are then checked for the pairs found.
-* A top list needs only its best pairs, so ``s`` rises to a support they are sure to reach. The more
-  the huge baskets overlap, the higher it gets, and the fewer of their pairs are formed.
+
+A top list needs only its best pairs, so ``s`` first rises to a support they are sure to reach. The more
+unevenly products sell and the more huge baskets overlap, the higher it gets and the fewer pairs are
+formed.
 
 One order that holds a third of all lines is the last order of each of its products, so with ``s > 1``
 it is left out everywhere and only looked up.
@@ -30,7 +32,7 @@ ORDINARY_BASKET = 100
 # Order ids that may be broadcast: 8 MB. The number is counted before.
 BROADCAST_IDS = 1_000_000
 SALTS = 64
-# Most ordered products whose pairs set the support floor of a top list.
+# Products with the most lines, whose pairs set the support floor of a top list.
 PROBES = 64
 
 
@@ -83,32 +85,17 @@ def _late(pairs: DataFrame, left_out: DataFrame, huge: DataFrame) -> DataFrame:
     return hits[0].unionAll(hits[1]).distinct().select("a", "b", F.lit(1).cast("bigint").alias("n"))
 
 
-def _support_floor(lines: DataFrame, support: int, best: int) -> int:
-    """A support the ``best`` most frequent pairs are sure to reach.
-
-    The pairs among a few dozen of the most ordered products are counted exactly. If ``best`` of them
-    qualify, no pair below the last of them can be among the overall best.
-    """
-    ordered = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
-    probe = ordered.orderBy(F.desc("n"), "product_id").limit(PROBES).select("product_id")
-    pairs = _paired(lines.join(F.broadcast(probe), "product_id", "left_semi")).filter(F.col("n") >= support)
-    last = pairs.orderBy(F.desc("n")).limit(best).agg(F.count(F.lit(1)), F.min("n")).first()
-    return last[1] if last[0] == best else support
-
-
-def pair_support(lines: DataFrame, orders: DataFrame, min_support: int = MIN_SUPPORT, best: int | None = None,
-                 ordinary: int = ORDINARY_BASKET, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
-    """``a, b, n``: product pairs in at least ``min_support`` orders, from distinct basket lines.
+def pair_support(lines: DataFrame, orders: DataFrame, support: int = MIN_SUPPORT, ordinary: int = ORDINARY_BASKET,
+                 broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """``a, b, n``: product pairs in at least ``support`` orders, from distinct basket lines.
 
-    With ``best`` only pairs that may be among that many highest are sure to be included, which lets
-    huge orders raise the support. Counts the huge orders first, one narrow column scan.
+    Counts the huge orders first, one narrow column scan, to choose the plan.
     """
     sizes = orders.filter(F.col("item_count") > ordinary).select("order_id", "item_count")
     n_huge = sizes.count()
     if n_huge == 0:
-        return _paired(lines).filter(F.col("n") >= min_support)
+        return _paired(lines).filter(F.col("n") >= support)
 
-    support = _support_floor(lines, min_support, best) if best else min_support
     small, huge = _split(lines, sizes.select("order_id"), few=n_huge <= broadcast_ids)
     left_out = _left_out(huge, sizes, support - 1)
     kept = huge.join(left_out, ["order_id", "product_id"], "left_anti")
@@ -118,11 +105,32 @@ def pair_support(lines: DataFrame, orders: DataFrame, min_support: int = MIN_SUP
     return total.filter(F.col("n") >= support)
 
 
+def _support_floor(items: DataFrame, frequent: DataFrame, support: int, best: int) -> int:
+    """A support that at least ``best`` pairs reach, so that no rarer pair is among the best.
+
+    The pairs among a few dozen of the products with the most lines are counted exactly. Their ids go
+    into the scan as literals.
+    """
+    probe = [r[0] for r in frequent.orderBy(F.desc("lines"), "product_id").limit(PROBES).collect()]
+    pairs = _paired(baskets(items.filter(F.col("product_id").isin(probe)))).filter(F.col("n") >= support)
+    last = pairs.orderBy(F.desc("n")).limit(best).agg(F.count(F.lit(1)), F.min("n")).first()
+    return last[1] if last[0] == best else support
+
+
 def product_affinity(items: DataFrame, orders: DataFrame, products: DataFrame, min_support: int = MIN_SUPPORT,
                      limit: int = TOP, ordinary: int = ORDINARY_BASKET) -> DataFrame:
-    """Most frequent pairs with their share of all orders. Names join the few rows that remain."""
-    known = baskets(items).join(products.select("product_id"), "product_id", "left_semi")
-    best = pair_support(known, orders, min_support, limit, ordinary).orderBy(F.desc("n"), "a", "b").limit(limit)
+    """Most frequent pairs with their share of all orders. Names join the few rows that remain.
+
+    Two narrow passes over the lines find a support that the top list is sure to reach. A product with
+    fewer lines than that is in no pair of the list, and is left out before any pair is formed.
+    """
+    named_ids = products.select("product_id")
+    lines_of = items.groupBy("product_id").agg(F.count(F.lit(1)).alias("lines"))
+    frequent = lines_of.join(named_ids, "product_id", "left_semi")
+    support = _support_floor(items, frequent, min_support, limit)
+    wanted = frequent.filter(F.col("lines") >= support).select("product_id") if support > min_support else named_ids
+    known = baskets(items).join(wanted, "product_id", "left_semi")
+    best = pair_support(known, orders, support, ordinary).orderBy(F.desc("n"), "a", "b").limit(limit)
     names = products.select("product_id", "product_name")
     named = best.join(names.toDF("a", "product_a"), "a").join(names.toDF("b", "product_b"), "b")
     all_orders = orders.agg(F.count("order_id")).scalar()

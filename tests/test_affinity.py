@@ -10,6 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from storelake.plans import affinity
 from storelake.plans.affinity import _left_out, _split, baskets, pair_support, product_affinity
 
 
@@ -38,17 +39,21 @@ ROWS = st.lists(st.tuples(st.integers(1, 12), st.integers(1, 9)), min_size=1, ma
 @given(rows=ROWS, support=st.integers(1, 4), ordinary=st.integers(0, 8), few=st.booleans())
 def test_any_split_into_ordinary_and_huge_gives_all_pairs(spark, rows, support, ordinary, few):
     items, orders = frames(spark, rows)
-    found = pair_support(baskets(items), orders, support, None, ordinary, 10**6 if few else 0)
+    found = pair_support(baskets(items), orders, support, ordinary, 10**6 if few else 0)
     assert counted(found) == brute(rows, support)
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
-@given(rows=ROWS, best=st.integers(1, 5), ordinary=st.integers(0, 5))
-def test_best_pairs_survive_the_raised_support(spark, rows, best, ordinary):
+@given(rows=ROWS, limit=st.integers(1, 5), ordinary=st.integers(0, 5), probes=st.integers(2, 9))
+def test_best_pairs_survive_the_raised_support(spark, rows, limit, ordinary, probes):
     items, orders = frames(spark, rows)
-    found = counted(pair_support(baskets(items), orders, 2, best, ordinary))
-    rank = lambda pairs: sorted(pairs.items(), key=lambda p: (-p[1], p[0]))[:best]
-    assert rank(found) == rank(brute(rows, 2))
+    products = spark.createDataFrame([(p, f"p{p}") for p in range(1, 8)], "product_id long, product_name string")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(affinity, "PROBES", probes)
+        report = affinity.product_affinity(items, orders, products, 2, limit, ordinary).collect()
+    known = brute([r for r in rows if r[1] < 8], 2)
+    want = sorted(known.items(), key=lambda p: (-p[1], p[0]))[:limit]
+    assert [(r[0], r[1], r[2]) for r in report] == [(f"p{a}", f"p{b}", n) for (a, b), n in want]
 
 
 def test_one_order_with_a_third_of_all_lines(spark):
