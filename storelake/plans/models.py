@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -113,10 +114,12 @@ class Lake:
                 raw["order_fragments"] = parts.join(raw["orders"].select("id"), "id", "left_semi")
         return Lake(raw, self.store, self.as_of, self.spine, self.target)
 
-    def run_models(self, select: str | None = None, full_refresh: bool = False, strict: bool = False) -> dict[str, int | None]:
+    def run_models(self, select: str | None = None, full_refresh: bool = False, strict: bool = False,
+                   threads: int = 4) -> dict[str, int | None]:
         """Run everything, a layer (``staging``/``marts``) or one model; returns table versions.
 
-        Staging models are views: they register as temporary views and have no version.
+        Staging models are views: they register as temporary views and have no version. Up to
+        ``threads`` marts build at once, each after those it needs.
         """
         if select in (None, "staging") or select in STAGING:
             for name in STAGING if select in (None, "staging") else (select,):
@@ -125,8 +128,13 @@ class Lake:
             if select == "staging" or select in STAGING:
                 return {n: None for n in (STAGING if select == "staging" else (select,))}
             raise KeyError(f"no such model or layer: {select}")
-        chosen = [select] if select in MARTS else list(MARTS)
-        return {name: self._build(MARTS[name], full_refresh, strict) for name in chosen}
+        chosen = [MARTS[select]] if select in MARTS else list(MARTS.values())
+        versions: dict[str, int | None] = {}
+        with ThreadPoolExecutor(threads) as pool:
+            for wave in ([m for m in chosen if not m.needs], [m for m in chosen if m.needs]):
+                built = pool.map(lambda m: self._build(m, full_refresh, strict), wave)
+                versions.update(zip([m.name for m in wave], built))
+        return versions
 
     def _build(self, mart: Mart, full_refresh: bool, strict: bool) -> int:
         for need in mart.needs:
