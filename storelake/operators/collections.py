@@ -39,7 +39,11 @@ def sort(df: DataFrame, spec: str, tie_break: str | None = "id") -> DataFrame:
 
 
 def page(df: DataFrame, limit: int = 10, page: int = 1, by: str = "createdAt", tie_break: str = "id") -> DataFrame:
-    """Page ``page`` of ``limit`` rows; 0 means no limit. Planned as a top-k, not as a full sort."""
+    """Page ``page`` of ``limit`` rows; 0 means no limit.
+
+    Planned as a top-k of all rows up to the page's end, so it suits the first pages; to walk through
+    a whole collection, filter by the last key seen.
+    """
     ordered = sort(df, by, tie_break)
     return ordered if limit == 0 else ordered.offset((page - 1) * limit).limit(limit)
 
