@@ -121,7 +121,9 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hash_bits:
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m"))
     rows = texts.join(found.withColumnsRenamed({"doc_id": "d", "mark": "m"}), same)
     rows = stored(rows.select("doc_id", "text_sha256", "times", "level", "name"), "identities")
-    groups = rows.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.sum("times").alias("group_size"))
+    # Written, so that the join shuffles both sides for itself and a large group can be split.
+    groups = stored(rows.groupBy("level", "name").agg(
+        F.max("doc_id").alias("keep_id"), F.sum("times").alias("group_size")), "groups")
     copies = F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy")
     each = rows.join(groups, ["level", "name"]).select("*", copies)
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)

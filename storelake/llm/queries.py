@@ -6,32 +6,78 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from storelake.llm.chat_format import CONTROL, PROBE, format_digests, with_probe
+from storelake.llm.decontaminate import contamination
 from storelake.llm.exact_dedup import exact_duplicates
 from storelake.llm.language_id import languages
+from storelake.llm.mixing import mix_plan
+from storelake.llm.pii import personal_data, span_digests
+from storelake.llm.secrets import secret_digests
+from storelake.llm.sharding import shard_rows
 from storelake.llm.shared import UPPER, read_table, ship_package
 from storelake.llm.simhash_near import near_duplicates
+from storelake.llm.warc import MIN_REVISIT_BYTES, archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
+def _over(operator: Callable[..., DataFrame], *tables: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
-        return operator(read_table(spark, sf_dir, name))
+        return operator(*[read_table(spark, sf_dir, name) for name in tables])
     return run
 
 
 QUERIES: dict[str, Query] = {
-    "op4_language_id": _over("documents", languages),
-    "op8_exact_dedup": _over("documents", exact_duplicates),
-    "op9_simhash_near": _over("documents", near_duplicates),
+    "op1_secret_scan": _over(secret_digests, "documents"),
+    "op2_temperature_mix": _over(mix_plan, "documents"),
+    "op3_chat_format": _over(lambda c: format_digests(with_probe(c)), "conversations"),
+    "op4_language_id": _over(languages, "documents"),
+    "op5_bounded_ring_shards": _over(shard_rows, "documents"),
+    "op6_personal_data": _over(lambda d: span_digests(personal_data(d)), "documents"),
+    "op7_decontaminate": _over(contamination, "documents", "benchmark"),
+    "op8_exact_dedup": _over(exact_duplicates, "documents"),
+    "op9_simhash_near": _over(near_duplicates, "documents"),
+    "op10_warc": _over(archived_pages, "pages"),
 }
 
+_CONTROL = CONTROL.replace("\\[", "[[]").replace("\\]", "[]]")
+
 ORACLE: dict[str, str] = {
+    "op3_chat_format": f"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '{PROBE}' UNION ALL SELECT -1, 1, 'assistant', '{PROBE}'),
+        marked AS (
+            SELECT *, max(CASE WHEN regexp_matches(body, '{_CONTROL}') OR regexp_matches(role, '{_CONTROL}')
+                                 OR contains(role, chr(10)) THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS level
+            FROM rows),
+        sized AS (
+            SELECT *, CASE WHEN level = 0 THEN body ELSE regexp_replace(regexp_replace(replace(body, '&', '&amp;'),
+                               '<(/?s>|</?SYS>>)', '&lt;\1', 'g'), '[[](/?INST[]])', '&#91;\1', 'g') END AS safe,
+                   CASE WHEN level = 0 THEN role ELSE replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'),
+                               '[', '&#91;'), chr(10), '&#10;') END AS safe_role
+            FROM marked)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || body || chr(10), '' ORDER BY turn NULLS FIRST, role, body)) AS turns_sha256,
+               length(coalesce(string_agg(body, '') FILTER (WHERE role = 'assistant'), '')) AS loss_chars,
+               sha256(coalesce(string_agg(body, '' ORDER BY turn NULLS FIRST, role, body)
+                               FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(3 + sum(8 + length(safe_role) + length(safe)
+                            + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 17 ELSE 0 END) AS BIGINT) AS formatted_chars,
+               max(level) AS escape_level
+        FROM sized GROUP BY conv_id""",
     "op8_exact_dedup": f"""
         WITH texts AS (
             SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}') AS body FROM documents)
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
         FROM texts WINDOW same AS (PARTITION BY body)""",
+    "op10_warc": f"""
+        WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        ranked AS (SELECT *, octet_length(payload) AS size, max(page_id) OVER (PARTITION BY payload) AS last FROM payloads)
+        SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+               CASE WHEN size >= {MIN_REVISIT_BYTES} AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN size >= {MIN_REVISIT_BYTES} AND page_id < last THEN last END AS refers_to
+        FROM ranked""",
 }

@@ -80,6 +80,13 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(parts, ",")
 
 
+def count_kinds(spans: str, kinds: tuple[str, ...]) -> list[Column]:
+    """Columns n_<kind>: how many spans of an array column are of each kind."""
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == F.lit(kind))).cast("long").alias(f"n_{kind}")
+    return [count(kind) for kind in kinds]
+
+
 def slices(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Runs of neighbouring items whose lengths add up to at most ``limit``; a longer item is a run of its own."""
     first, total = 0, 0

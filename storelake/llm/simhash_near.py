@@ -259,7 +259,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, parts: i
     nodes = stored(prints.select("fp").distinct(), "nodes")
     roots = connected_components(near_links(nodes, distance, parts)).select(F.col("node").alias("fp"), "root")
     rooted = stored(prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
-    ids = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that the join shuffles both sides for itself and a large group can be split.
+    ids = stored(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "component-ids")
     return rooted.join(ids, "root").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
