@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from storelake.llm.decontaminate import keep_uncontaminated
 from storelake.llm.language_id import keep_identified
+from storelake.llm.mixing import Mix, mixed_documents
+from storelake.llm.sharding import shard_rows
 from storelake.llm.shared import read_table, scratch_path, ship_package
 from storelake.llm.simhash_near import keep_one
 
+SHARDS = 24
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose language cannot be told go: no letters, or no clear winner."""
@@ -21,12 +26,31 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return keep_one(docs, words=4, distance=4)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    ship_package(spark)
+    return keep_uncontaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of small sources come again, up to twice; none goes."""
+    return mixed_documents(docs, Mix())
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The shard and slot of every row."""
+    return shard_rows(docs, SHARDS)
+
+
 STAGES = [
     ("language_id", identify_language),
     ("simhash_near_dedup", drop_near_copies),
+    ("benchmark_decontamination", decontaminate),
+    ("source_mixing", mix_sources),
+    ("sharding", shard),
 ]
 
-ORACLE_SQL = None  # A trained classifier and SimHash groups are beyond SQL.
+ORACLE_SQL = None  # A trained classifier, SimHash groups and a ring are beyond SQL.
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

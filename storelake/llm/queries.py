@@ -54,7 +54,7 @@ ORACLE: dict[str, str] = {
             FROM rows),
         sized AS (
             SELECT *, CASE WHEN level = 0 THEN body ELSE regexp_replace(regexp_replace(replace(body, '&', '&amp;'),
-                               '<(/?s>|</?SYS>>)', '&lt;\1', 'g'), '[[](/?INST[]])', '&#91;\1', 'g') END AS safe,
+                               '<(/?s>|</?SYS>>)', '&lt;\\1', 'g'), '[[](/?INST[]])', '&#91;\\1', 'g') END AS safe,
                    CASE WHEN level = 0 THEN role ELSE replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'),
                                '[', '&#91;'), chr(10), '&#10;') END AS safe_role
             FROM marked)
