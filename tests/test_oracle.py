@@ -20,7 +20,7 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry_points.queries()) == set(QUERIES)
+    assert set(QUERIES) <= set(SQL) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
