@@ -1,0 +1,117 @@
+import random
+from itertools import product
+
+import numpy as np
+import pytest
+import xxhash
+
+from storelake.llm import simhash_near as sn
+from storelake.llm.components import connected_components
+from storelake.llm.shared import ship_package
+from tests.llm.tables import DOCS, by_id, clashing, documents, prose
+
+
+def brute_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(prints):
+    """Smallest index reachable over links of at most 4 bits."""
+    root = list(range(len(prints)))
+    changed = True
+    while changed:
+        changed = False
+        for a, b in product(range(len(prints)), repeat=2):
+            if (prints[a] ^ prints[b]).bit_count() <= 4 and root[b] < root[a]:
+                root[a], changed = root[b], True
+    return root
+
+
+def test_fingerprint():
+    for text in (None, "", " \t\n", "one", "A b c", "a b c d", "a B c d e f", "x " * 500, "É é ß\x0bq\x0cw e", prose(1, 3000)):
+        assert sn.fingerprint(text) == brute_fingerprint(text)
+    # A no-break space is no white space here.
+    assert sn.fingerprint("a b") == xxhash.xxh64_intdigest("a b".encode(), 42)
+
+
+def test_thresholds_add_up_and_cost_least():
+    costs = np.array([[0, 5, 50, 500, 900, 999], [0, 1, 10, 90, 300, 999], [0, 9, 11, 12, 400, 999.0]])
+    got = sn.allocate(costs, 4)
+    assert sum(got) == 4 - 3 + 1
+    best = min(sum(costs[i, t + 1] for i, t in enumerate(c)) for c in product(range(-1, 5), repeat=3) if sum(c) == 2)
+    assert sum(costs[i, t + 1] for i, t in enumerate(got)) == best
+
+
+def test_correlated_bits_share_a_partition():
+    corr = np.zeros((64, 64))
+    for a in (3, 40, 50):
+        for b in (3, 40, 50):
+            corr[a, b] = 1
+    groups = sn.group_bits(corr, 3)
+    assert sorted(b for g in groups for b in g) == list(range(64))
+    assert any({3, 40, 50} <= set(g) for g in groups)
+
+
+def test_distances_within_a_block_are_exact():
+    values = np.random.default_rng(1).integers(0, 1 << sn.HISTOGRAM_BITS, 200)
+    histogram = np.bincount(values, minlength=1 << sn.HISTOGRAM_BITS)
+    pairs = np.bitwise_count(values[:, None] ^ values[None, :]).ravel()
+    assert np.allclose(sn._distance_shares(histogram), np.bincount(pairs, minlength=sn.HISTOGRAM_BITS + 1) / len(pairs))
+
+
+@pytest.mark.parametrize("parts", [2, 3, 4])
+def test_links_lead_to_the_components_of_all_pairs(spark, parts):
+    ship_package(spark)
+    pick = random.Random(parts)
+    prints = {0, (1 << 64) - 1, 1 << 63}
+    for _ in range(12):  # Chains and clouds around centres.
+        centre = pick.getrandbits(64)
+        for _ in range(25):
+            value = centre
+            for _ in range(pick.randrange(7)):
+                value ^= 1 << pick.randrange(64)
+            prints.add(value)
+    prints = sorted(prints)
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    links = sn.near_links(spark.createDataFrame(signed, "fp long"), 4, parts)
+    assert all(((r.a ^ r.b) & (1 << 64) - 1).bit_count() <= 4 for r in links.collect())
+    roots = {r.node & (1 << 64) - 1: r.root & (1 << 64) - 1 for r in connected_components(links).collect()}
+    want = components(prints)
+    got = [roots.get(p, p) for p in prints]
+    assert len(set(zip(want, got))) == len(set(want)) == len(set(got))
+
+
+def test_documents(spark):
+    ship_package(spark)
+    long = prose(5, 3000)
+    rows = [(9, long), (4, long + " end"), (30, prose(6, 200)), (11, None), (12, ""), (2, "  "), (13, "one two"),
+            (13, "one two"), (None, long), (40, "ONE two"), (50, "three"), (None, "alone here now")]
+    got = sn.near_duplicates(clashing(documents(spark, rows))).collect()
+    assert len(got) == len(rows)
+    found = {(r.doc_id, r.fingerprint): r.component_id for r in got}
+    key = lambda t: f"{brute_fingerprint(t):016x}"
+    assert found[9, key(long)] == found[4, key(long + " end")] == found[None, key(long)] == 4
+    assert found[11, key("")] == found[12, key("")] == found[2, key("")] == 2
+    assert found[13, key("one two")] == found[40, key("one two")] == 13
+    assert found[50, key("three")] == 50 and found[None, key("alone here now")] is None
+    assert sn.near_duplicates(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_one_of_each_group_stays(spark):
+    ship_package(spark)
+    a, b = prose(1, 300), prose(2, 300)
+    docs = clashing(documents(spark, [(5, a), (3, a.upper()), (3, a.upper()), (8, b), (None, b), (9, "x y z")]))
+    kept = sn.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 3, 8, 9]
+    assert by_id(kept)[3].text == a.upper()
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (None, 3), (200, 41 + 160)]
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert all(got[i] == 0 for i in range(41)) and all(got[100 + i] == 100 for i in range(60)) and got[201] == 200
+    assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
