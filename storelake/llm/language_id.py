@@ -71,20 +71,22 @@ class LanguageModel:
         sums = np.zeros((len(texts), max(len(self.languages), 1)))
         seen = np.zeros(len(texts), bool)
         step = max(1, _CELLS // max(len(self.languages), 1))
-        rows = [g for g in map(lambda t: np.concatenate([*_grams(t), np.zeros(0, np.int64)]) if t else
-                               np.zeros(0, np.int64), (t if isinstance(t, str) else "" for t in texts))]
-        sizes = np.array([len(g) for g in rows])
-        for first, end in slices(sizes, step):
-            held = [i for i in range(first, end) if sizes[i]]
-            seen[held] = True
+        strings = [t if isinstance(t, str) else "" for t in texts]
+        # About three n-grams a character: texts are taken in runs whose n-grams are one step.
+        for first, end in slices(np.fromiter(map(len, strings), np.int64, len(strings)), step // 3):
+            rows = [np.concatenate([*_grams(t), np.zeros(0, np.int64)]) for t in strings[first:end]]
+            held = [i for i, own in enumerate(rows) if len(own)]
+            seen[[first + i for i in held]] = True
             if not held or not self.languages:
                 continue
             if len(held) == 1:  # May be longer than a step.
-                for at in range(0, len(rows[held[0]]), step):
-                    sums[held[0]] += self.weights[rows[held[0]][at:at + step]].sum(axis=0)
+                own = rows[held[0]]
+                for at in range(0, len(own), step):
+                    sums[first + held[0]] += self.weights[own[at:at + step]].sum(axis=0)
                 continue
             starts = np.cumsum([0, *[len(rows[i]) for i in held[:-1]]])
-            sums[held] = np.add.reduceat(self.weights[np.concatenate([rows[i] for i in held])], starts, axis=0)
+            gathered = self.weights[np.concatenate([rows[i] for i in held])]
+            sums[[first + i for i in held]] = np.add.reduceat(gathered, starts, axis=0)
         if not self.languages:
             return pd.DataFrame({"lang_pred": [UNDETERMINED] * len(texts), "score": 0.0})
         sums += self.prior
