@@ -84,7 +84,8 @@ _RUNS = re.compile(r"([0-9]+)|([^\W\d_]+)|(.)", re.S)
 
 
 def shape(word: str) -> str:
-    """Runs of digits as D and their length, of letters as a, A or Aa; repeated marks once. At most 40 runs count."""
+    """Runs of digits as D and their length, of letters as a, A or Aa, (at) and (dot) as
+    they are; repeated marks once. At most 40 runs count."""
     if word.isalpha():
         return "a" if word.islower() else "A" if word.isupper() else "Aa"
     out: list[str] = []
@@ -94,6 +95,8 @@ def shape(word: str) -> str:
             break
         if m[1]:
             out.append(f"D{min(len(m[1]), 20)}")
+        elif m[2] in ("at", "dot") and out and out[-1] in "([":
+            out.append(m[2])  # How addresses are spelled out.
         elif m[2]:
             out.append("a" if m[2].islower() else "A" if m[2].isupper() else "Aa")
         elif not out or out[-1] != m[3]:
