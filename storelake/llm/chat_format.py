@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelake.llm.secrets import running_sums
+from storelake.llm.shared import let
 
 # The template's control strings.
 OPEN, CLOSE = "<s>", "</s>"
@@ -75,23 +76,29 @@ def _render(pieces: Column, level: int) -> Column:
 
 def parse(formatted: Column) -> Column:
     """The turns (role, text) of a formatted text; null if it is none."""
+    def turn(chunk: Column, head: Column, escaped: Column) -> Column:
+        plain = lambda c: F.when(escaped, unescape(c)).otherwise(c)
+        return let(F.struct(
+            (F.startswith(chunk, F.lit(OPEN)) & F.contains(chunk, F.lit("\n"))).alias("opened"),
+            plain(F.substr(head, F.lit(len(OPEN) + 1))).alias("role"), F.substr(chunk, F.char_length(head) + 2).alias("body")),
+            lambda t: let(F.struct(_wrapper(t["role"], 0).alias("a"), _wrapper(t["role"], 1).alias("b")), lambda w: let(
+                F.substr(t["body"], F.char_length(w["a"]) + 1,
+                         F.char_length(t["body"]) - F.char_length(w["a"]) - F.char_length(w["b"])),
+                lambda raw: F.struct(
+                    (t["opened"] & F.startswith(t["body"], w["a"]) & F.endswith(t["body"], w["b"])
+                     & ~F.rlike(raw, F.lit(CONTROL))).alias("sound"),
+                    t["role"].alias("role"), plain(raw).alias("text")))))
+
+    def turns(chunks: Column, escaped: Column) -> Column:
+        own = F.transform(F.slice(chunks, 1, F.size(chunks) - 1), lambda c: let(
+            F.substring_index(c, "\n", 1), lambda head: turn(c, head, escaped)))
+        return let(own, lambda o: F.when(
+            (F.get(chunks, F.size(chunks) - 1) == "") & F.forall(o, lambda t: t["sound"]),
+            F.transform(o, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))))
+
     level = F.substring_index(formatted, "\n", 1)
     rest = F.substr(formatted, F.char_length(level) + 2)
-    chunks = F.split(rest, CLOSE, -1)
-    escaped = level != "#0"
-    plain = lambda c: F.when(escaped, unescape(c)).otherwise(c)
-    own = F.transform(F.slice(chunks, 1, F.size(chunks) - 1), lambda c: F.struct(
-        F.startswith(c, F.lit(OPEN)).alias("opened"), F.contains(c, F.lit("\n")).alias("lined"),
-        plain(F.substr(F.substring_index(c, "\n", 1), F.lit(len(OPEN) + 1))).alias("role"),
-        F.substr(c, F.char_length(F.substring_index(c, "\n", 1)) + 2).alias("body")))
-    own = F.transform(own, lambda t: F.struct(
-        (t["opened"] & t["lined"] & F.startswith(t["body"], _wrapper(t["role"], 0))
-         & F.endswith(t["body"], _wrapper(t["role"], 1))).alias("sound"), t["role"].alias("role"),
-        F.substr(t["body"], F.char_length(_wrapper(t["role"], 0)) + 1,
-                 F.char_length(t["body"]) - F.char_length(_wrapper(t["role"], 0))
-                 - F.char_length(_wrapper(t["role"], 1))).alias("raw")))
-    sound = (F.get(chunks, F.size(chunks) - 1) == "") & F.forall(own, lambda t: t["sound"] & ~F.rlike(t["raw"], F.lit(CONTROL)))
-    return F.when(sound, F.transform(own, lambda t: F.struct(t["role"].alias("role"), plain(t["raw"]).alias("text"))))
+    return let(F.split(rest, CLOSE, -1), lambda chunks: turns(chunks, level != "#0"))
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
@@ -120,10 +127,10 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
             _render(F.col("pieces"), level)))
     size = lambda p, *names: sum((F.char_length(p[n]) for n in names[1:]), F.char_length(p[names[0]])).cast("long")
     ends = running_sums(F.transform("pieces", lambda p: size(p, "before", "text", "after")))
-    spans = F.transform("pieces", lambda p, i: F.struct(
-        (F.get(ends, i) + 3 - size(p, "text", "after")).alias("start"), (F.get(ends, i) + 3 - size(p, "after")).alias("end"),
-        p["trained"].alias("trained")))
-    loss = F.transform(F.filter(spans, lambda s: s["trained"]), lambda s: F.struct(s["start"], s["end"]))
+    loss = let(ends, lambda e: F.filter(F.transform("pieces", lambda p, i: F.struct(
+        (F.get(e, i) + 3 - size(p, "text", "after")).alias("start"), (F.get(e, i) + 3 - size(p, "after")).alias("end"),
+        p["trained"].alias("trained"))), lambda s: s["trained"]))
+    loss = F.transform(loss, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
     return tried.select("conv_id", "formatted", F.col("level").alias("escape_level"), loss.alias("loss_spans"))
 
 

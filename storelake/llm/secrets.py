@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelake.llm.shared import count_kinds, spans_text
+from storelake.llm.shared import count_kinds, let, spans_text
 
 # The patterns of the base kinds, in their order.
 ASSIGN = "((?i:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -82,10 +82,9 @@ def _characters(text: Column) -> Column:
 
 def _steps(text: Column) -> Column:
     """The number of each pair of neighbouring characters."""
-    characters = _characters(text)
-    n = F.size(characters) - 1
-    return F.when(n > 0, F.zip_with(F.slice(characters, 1, n), F.slice(characters, 2, n),
-                                    lambda a, b: _symbol(a) * _SIZE + _symbol(b))).otherwise(F.array().cast("array<int>"))
+    return let(F.transform(_characters(text), _symbol), lambda s: F.when(F.size(s) > 1, F.zip_with(
+        F.slice(s, 1, F.size(s) - 1), F.slice(s, 2, F.size(s) - 1), lambda a, b: a * _SIZE + b)).otherwise(
+            F.array().cast("array<int>")))
 
 
 def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
@@ -110,8 +109,8 @@ def mean_ratio(word: Column, ratios: list[float]) -> Column:
     """Mean log-likelihood ratio per step of a word; null for fewer than two characters."""
     # Folded into one literal, so that a lookup is an array access.
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratios)), ",").cast("array<double>")
-    steps = F.transform(_steps(word), lambda s: F.element_at(table, s + 1))
-    return F.aggregate(steps, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(steps), F.lit(0))
+    ratio = F.transform(_steps(word), lambda s: F.element_at(table, s + 1))
+    return let(ratio, lambda r: F.aggregate(r, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(r), F.lit(0)))
 
 
 # --- spans ------------------------------------------------------------------------------------
@@ -120,29 +119,44 @@ def mean_ratio(word: Column, ratios: list[float]) -> Column:
 def running_sums(steps: Column) -> Column:
     """Inclusive running sums of an array of long, in chunks, so that work does not grow with its square."""
     zero = F.lit(0).cast("long")
-    chunks = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / _CHUNK).cast("int"))
-    totals = F.transform(chunks, lambda c: F.aggregate(F.slice(steps, c * _CHUNK + 1, F.lit(_CHUNK)), zero, lambda a, x: a + x))
-    start = F.struct(zero.alias("sum"), F.array().cast("array<bigint>").alias("before"))
-    before = F.aggregate(totals, start, lambda a, x: F.struct(
-        (a["sum"] + x).alias("sum"), F.concat(a["before"], F.array(a["sum"])).alias("before")))["before"]
-    within = lambda i: F.aggregate(F.slice(steps, F.floor(i / _CHUNK).cast("int") * _CHUNK + 1, i % _CHUNK + 1),
-                                   zero, lambda a, x: a + x)
-    summed = F.transform(steps, lambda _, i: F.element_at(before, F.floor(i / _CHUNK).cast("int") + 1) + within(i))
-    return F.when(F.size(steps) > 0, summed).otherwise(F.array().cast("array<bigint>"))
+
+    def add(values: Column) -> Column:
+        return F.aggregate(values, zero, lambda a, x: a + x)
+
+    def before_chunks(steps: Column) -> Column:
+        chunks = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / _CHUNK).cast("int"))
+        totals = F.transform(chunks, lambda c: add(F.slice(steps, c * _CHUNK + 1, F.lit(_CHUNK))))
+        start = F.struct(zero.alias("sum"), F.array().cast("array<bigint>").alias("before"))
+        return F.aggregate(totals, start, lambda a, x: F.struct(
+            (a["sum"] + x).alias("sum"), F.concat(a["before"], F.array(a["sum"])).alias("before")))["before"]
+
+    def sums(steps: Column) -> Column:
+        chunk = lambda i: F.floor(i / _CHUNK).cast("int")
+        return let(before_chunks(steps), lambda before: F.transform(steps, lambda _, i: (
+            F.get(before, chunk(i)) + add(F.slice(steps, chunk(i) * _CHUNK + 1, i % _CHUNK + 1)))))
+
+    return let(steps, lambda s: F.when(F.size(s) > 0, sums(s)).otherwise(F.array().cast("array<bigint>")))
 
 
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """All matches as (start, end, word, value) in code points: the gaps between them tell where they are."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    steps = F.transform(found, lambda m, i: (
-        F.char_length(F.element_at(gaps, i + 1))
-        + F.when(i > 0, F.char_length(F.get(found, i - 1))).otherwise(0)).cast("long"))
-    starts = running_sums(steps)
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
-    return F.transform(found, lambda m, i: F.struct(
-        F.get(starts, i).alias("start"), (F.get(starts, i) + F.char_length(m)).alias("end"), m.alias("word"),
-        F.get(values, i).alias("value")))
+    def places(found: Column, gaps: Column) -> Column:
+        steps = F.transform(found, lambda m, i: (
+            F.char_length(F.get(gaps, i))
+            + F.when(i > 0, F.char_length(F.get(found, i - 1))).otherwise(0)).cast("long"))
+        return running_sums(steps)
+
+    def rows(found: Column, starts: Column, values: Column) -> Column:
+        return F.transform(found, lambda m, i: F.struct(
+            F.get(starts, i).alias("start"), (F.get(starts, i) + F.char_length(m)).alias("end"), m.alias("word"),
+            F.get(values, i).alias("value")))
+
+    def located(found: Column) -> Column:
+        starts = let(F.split(text, pattern, -1), lambda gaps: places(found, gaps))
+        values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
+        return let(starts, lambda s: let(values, lambda v: rows(found, s, v)))
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), located)
 
 
 _SPAN = "struct<start:bigint,rank:int,kind:string,end:bigint>"
