@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from storelake.llm.shared import stored
 
 BLOCKS = 4096  # Blocks of a source.
-SECTIONS = 32  # Exponents tried in each round of the search.
+SECTIONS = 32  # Parts of the interval that a round of the search tells apart.
+PRECISION = 1e-7  # Of the exponent.
 
 
 @dataclass(frozen=True)
@@ -63,21 +64,17 @@ def _bisect(totals: DataFrame, mix: Mix) -> float:
     log_share = F.log(F.col("tokens") / F.lit(float(ends["most"])))
 
     def good(exponents: list[float]) -> list[bool]:
-        columns = []
-        for i, a in enumerate(exponents):
-            power = F.exp(log_share * a)
-            columns += [F.sum(power).alias(f"z{i}"), F.sum(power * log_share).alias(f"l{i}")]
-        row = totals.agg(F.log(F.count("*")).alias("equal"), *columns).first()
-        out = []
-        for i, a in enumerate(exponents):
-            z, mean = row[f"z{i}"], row[f"l{i}"] / row[f"z{i}"]
-            out.append(bool(math.log(z) - a * mean >= mix.entropy * row["equal"]))
-        return out
+        tried = totals.select(log_share.alias("log"), F.posexplode(F.array(*map(F.lit, exponents))).alias("i", "a"))
+        power = F.exp(F.col("log") * F.col("a"))
+        sums = {r["i"]: r for r in tried.groupBy("i").agg(
+            F.sum(power).alias("z"), F.sum(power * F.col("log")).alias("l")).collect()}
+        return [math.log(sums[i]["z"]) - a * sums[i]["l"] / sums[i]["z"] >= mix.entropy * math.log(ends["n"])
+                for i, a in enumerate(exponents)]
 
     low, high = 0.0, 1.0  # Entropy falls as the exponent grows; 0 reaches any target.
     if good([1.0])[0]:
         low = 1.0
-    while high - low > 1e-9:
+    while high - low > PRECISION:
         tried = [low + (high - low) * k / SECTIONS for k in range(1, SECTIONS)]
         reached = good(tried)
         last = max((k for k, ok in enumerate(reached) if ok), default=-1)
