@@ -70,7 +70,7 @@ RELATIONS = {
     "cart": """SELECT event_id AS id, CASE WHEN event_id % 3 <> 0 THEN user_id END AS customer_id,
         CAST(round(value * 100) AS BIGINT) AS cents, CASE WHEN event_type = 'purchase' THEN ts END AS bought, ts AS made,
         CAST(json_extract_string(props, '$.k') AS BIGINT) AS product_id, event_id % 2 = 1 AS with_variant,
-        event_id % 25 + 1 AS quantity FROM events WHERE event_type IN ('view', 'click', 'purchase')""",
+        event_id % 25 + 1 AS quantity FROM events""",
     # marts
     "f_ord": """SELECT ord.*, coalesce(n.n, 0) AS items FROM ord
         LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) n ON n.l_orderkey = ord.id""",
@@ -381,6 +381,16 @@ _QUERIES = {
     "table_summary": _summary(),
     "layer_counts": """SELECT layer, (SELECT count(*) FROM ord) AS records
         FROM (VALUES ('raw'), ('staging'), ('marts')) t(layer)""",
+    "list_tables": """SELECT layer, (SELECT count(*) FROM ord) AS records
+        FROM (VALUES ('fact_orders'), ('fact_transactions')) t(layer)""",
+    "on_schema_change": f"SELECT id, CASE WHEN made >= {CUTOFF} THEN 'web' END AS channel FROM ord",
+    "run_models": """SELECT layer, CASE layer WHEN 'fact_order_items' THEN (SELECT count(*) FROM item)
+            WHEN 'dim_products' THEN (SELECT count(*) FROM prod) WHEN 'dim_customers' THEN (SELECT count(*) FROM cust WHERE NOT admin)
+            ELSE (SELECT count(*) FROM ord) END AS records
+        FROM (VALUES ('fact_orders'), ('fact_order_items'), ('fact_transactions'), ('dim_customers'), ('dim_products')) t(layer)""",
+    "duplicate_loads": f"""SELECT status, count(DISTINCT id) AS orders, {usd('sum(cents)')} AS amount_usd,
+            CAST(coalesce(sum(n), 0) AS BIGINT) AS items
+        FROM ord LEFT JOIN (SELECT order_id, count(*) AS n FROM item GROUP BY 1) ON order_id = id GROUP BY status""",
     "freshness": """SELECT 'raw_created' AS source, CAST(max(made) AS VARCHAR) AS latest FROM ord
         UNION ALL SELECT 'raw_updated', CAST(max(made) AS VARCHAR) FROM ord
         UNION ALL SELECT 'marts', CAST(max(day) AS VARCHAR) FROM ord""",

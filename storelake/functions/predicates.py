@@ -59,7 +59,11 @@ def _any_of(col: Column, value: Any, is_list: bool) -> Column:
     return F.exists(col, lambda e: e.isin(wanted)) if is_list else col.isin(wanted)
 
 
-def _condition(col: Column, is_list: bool, operator: str, value: Any) -> Column:
+def _condition(col: Column, is_list: bool, operator: str, value: Any, is_relation: bool = False) -> Column:
+    """One test of a field. A list equals a value if any element does; a relation contains only its own id."""
+    if is_list and operator in ("equals", "not_equals") and value is not None:
+        held = F.coalesce(_holds(col, value), F.lit(False))
+        return held if operator == "equals" else ~held
     if operator == "equals":
         return col.isNull() if value is None else col == F.lit(value)
     if operator == "not_equals":
@@ -75,6 +79,8 @@ def _condition(col: Column, is_list: bool, operator: str, value: Any) -> Column:
     if operator == "like":
         return _conjunction([_has_text(col, word) for word in value.split()])
     if operator == "contains":
+        if is_relation and not is_list:
+            return col == F.lit(value).try_cast("bigint")
         return _holds(col, value) if is_list else _has_text(col, value)
     if operator == "in":
         return _any_of(col, value, is_list)
@@ -96,5 +102,5 @@ def where_column(fields: Fields, spec: Mapping[str, Any]) -> Column:
             if nested:
                 parts.append(reduce(Column.__and__ if key == "and" else Column.__or__, nested))
         else:
-            parts += [_condition(fields.value(key), fields.is_list(key), op, value) for op, value in body.items()]
+            parts += [_condition(fields.value(key), fields.is_list(key), op, value, key in fields.relations) for op, value in body.items()]
     return _conjunction(parts)

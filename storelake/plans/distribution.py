@@ -50,11 +50,12 @@ def pareto_share(items: DataFrame, top: float = 0.2) -> DataFrame:
 
 
 def popularity_mix(items: DataFrame) -> DataFrame:
-    """Order lines per popularity tier."""
+    """Order lines per popularity tier; lines without a product have none and do not count."""
     tier = F.lit(REST)
     for end, name in reversed(TIERS):
         tier = F.when(F.col("percentile") <= end, name).otherwise(tier)
-    return units_percent_rank(items).groupBy(tier.alias("popularity")).agg(F.sum("lines").alias("items_sold"))
+    sold = items.filter(F.col("product_id").isNotNull())
+    return units_percent_rank(sold).groupBy(tier.alias("popularity")).agg(F.sum("lines").alias("items_sold"))
 
 
 def cart_abandonment(carts: DataFrame) -> DataFrame:

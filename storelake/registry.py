@@ -146,6 +146,43 @@ def _freshness(w: Workspace) -> DataFrame:
         "marts": (w.lake.table("fact_orders"), "order_date")})
 
 
+def _duplicate_loads(w: Workspace) -> DataFrame:
+    """Facts built from raw orders that were appended twice: each order must count once."""
+    store = w.fresh_store()
+    for _ in range(2):
+        store.append(w.raw["orders"], "raw/orders")
+    lake = Lake({**w.raw, "orders": store.read("raw/orders")}, store, AS_OF, SPINE)
+    lake.run_models("fact_orders")
+    return lake.table("fact_orders").groupBy("status").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("amount_usd").alias("amount_usd"), F.sum("item_count").alias("items"))
+
+
+def _run_models(w: Workspace) -> DataFrame:
+    """Rows of every fact and of the product and customer dimensions after one build in an empty store."""
+    store = w.fresh_store()
+    lake = Lake(w.raw, store, AS_OF, SPINE)
+    lake.run_models("marts")
+    names = ("fact_orders", "fact_order_items", "fact_transactions", "dim_customers", "dim_products")
+    return inspect.layer_counts({name: lake.table(name) for name in names})
+
+
+def _list_tables(w: Workspace) -> DataFrame:
+    """The stored marts by name, with their rows."""
+    w.lake.table("fact_orders"), w.lake.table("fact_transactions")
+    store = w.fresh_store()
+    for name in ("fact_orders", "fact_transactions"):
+        store.replace(w.lake.table(name), f"marts/{name}")
+    return inspect.layer_counts({name.split("/")[1]: store.read(name) for name in store.list_tables("marts")})
+
+
+def _schema_change(w: Workspace) -> DataFrame:
+    """A later batch with a new column: the stored table widens, older rows have none."""
+    store, (older, newer) = w.fresh_store(), _older_newer(w)
+    store.replace(older, "orders")
+    store.merge(newer.withColumn("channel", F.lit("web")), "orders", on_schema_change="sync")
+    return store.read("orders").select("id", "channel")
+
+
 def _stream_upsert(w: Workspace) -> DataFrame:
     store, folder = w.fresh_store(), w.landed("carts")
     documents = read_page_stream(w.spark, f"{folder}/carts", collection_schema("carts", zoned=False))
@@ -252,6 +289,10 @@ QUERIES: dict[str, Query] = {
     "map_types": _map_types,
     "table_summary": lambda w: inspect.table_summary(_stored_marts(w)),
     "layer_counts": _layer_counts,
+    "list_tables": _list_tables,
+    "on_schema_change": _schema_change,
+    "run_models": _run_models,
+    "duplicate_loads": _duplicate_loads,
     "freshness": _freshness,
     "preview": lambda w: inspect.preview(w.lake.table("fact_transactions"), 5, "transaction_id").select(
         "transaction_id", "amount_usd", "status"),

@@ -43,8 +43,13 @@ def _save_cursor(store: TableStore, collection: str, value: str) -> None:
 
 
 def load(collections: Mapping[str, DataFrame], store: TableStore, disposition: str = "merge",
-         initial: dt.datetime | str = INITIAL_TIMESTAMP, layer: str = "raw") -> dict[str, int | None]:
-    """Write each collection to ``layer/<name>``; returns the new version, None where skipped."""
+         initial: dt.datetime | str = INITIAL_TIMESTAMP, layer: str = "raw",
+         rejected: Mapping[str, DataFrame] | None = None) -> dict[str, int | None]:
+    """Write each collection to ``layer/<name>``; returns the new version, None where skipped.
+
+    A collection with ``rejected`` pages keeps its cursor: what they hold may be older than what was read,
+    and is read once the pages are mended. The keyed merge makes reading the others again harmless.
+    """
     if disposition not in DISPOSITIONS:
         raise ValueError(f"disposition must be one of {', '.join(DISPOSITIONS)}")
     saved, versions = cursors(store), {}
@@ -62,7 +67,7 @@ def load(collections: Mapping[str, DataFrame], store: TableStore, disposition: s
         versions[name] = store.merge(stored, table, [PRIMARY_KEY], CURSOR, parts)
         latest = advance_cursor(rows, saved.get(name)).select(
             moment_text(F.col("cursor"), rows.schema[CURSOR].dataType)).first()[0]
-        if latest is not None:
+        if latest is not None and not (rejected and name in rejected and not rejected[name].isEmpty()):
             _save_cursor(store, name, latest)
     return versions
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,25 +14,71 @@ from storelake.sources.schemas import (
     COLLECTIONS, CURSOR, INITIAL_TIMESTAMP, collection_schema, page_schema,
 )
 
+ON_BAD = ("fail", "reject")
+_BAD = "_unparsed_page"
+
 
 def read_collection_pages(
-    spark: SparkSession, path: str, documents: T.StructType, multi_line: bool = False,
+    spark: SparkSession, path: str, documents: T.StructType, multi_line: bool = False, on_bad: str = "fail",
 ) -> DataFrame:
     """One row per document from page files ``{"docs": [...], "page": n, ...}``.
 
     Pages are one JSON object per line (splittable) unless ``multi_line`` says a file holds a
-    single pretty-printed page. Nested values of a string field arrive as JSON text.
+    single pretty-printed page. Nested values of a string field arrive as JSON text. A page that does
+    not parse, holds a value of the wrong type, or has no ``docs`` fails the read; ``on_bad="reject"``
+    leaves such pages out whole, for ``read_rejected_pages`` to show.
     """
-    reader = spark.read.schema(page_schema(documents)).option("multiLine", multi_line)
-    return reader.json(path).selectExpr("inline(docs)")
+    if on_bad not in ON_BAD:
+        raise ValueError(f"on_bad must be one of {', '.join(ON_BAD)}")
+    if on_bad == "reject":
+        return _marked_pages(spark, path, documents, multi_line).filter(~_rejected()).select(F.inline("docs"))
+    reader = spark.read.schema(page_schema(documents)).option("multiLine", multi_line).option("mode", "FAILFAST")
+    return documents_of(reader.json(path))
+
+
+def documents_of(pages: DataFrame) -> DataFrame:
+    """The documents of parsed pages; a page without ``docs`` is an error, an empty list is none."""
+    lacking = F.raise_error(F.lit("a landed page has no docs")).cast(pages.schema["docs"].dataType)
+    return pages.select(F.inline(F.coalesce("docs", lacking)))
+
+
+def read_rejected_pages(
+    spark: SparkSession, path: str, documents: T.StructType, multi_line: bool = False,
+) -> DataFrame:
+    """(path, page): the file and text of every page that ``on_bad="reject"`` leaves out."""
+    marked = _marked_pages(spark, path, documents, multi_line).filter(_rejected())
+    return marked.select("path", F.coalesce(_BAD, F.lit("no docs")).alias("page"))
+
+
+def _rejected() -> Column:
+    return F.col(_BAD).isNotNull() | F.col("docs").isNull()
+
+
+def _marked_pages(spark: SparkSession, path: str, documents: T.StructType, multi_line: bool) -> DataFrame:
+    schema = T.StructType([*page_schema(documents).fields, T.StructField(_BAD, T.StringType())])
+    reader = spark.read.schema(schema).option("multiLine", multi_line).option("columnNameOfCorruptRecord", _BAD)
+    # Both columns are used in every plan: the parser skips what nobody asks for, and with it the errors.
+    return reader.json(path).select("docs", _BAD, F.input_file_name().alias("path"))
 
 
 def read_collections(
     spark: SparkSession, root: str, names: Iterable[str] = tuple(COLLECTIONS), zoned: bool = True,
+    multi_line: bool = False, on_bad: str = "fail",
 ) -> dict[str, DataFrame]:
     """The named collections below ``root/<collection>/``."""
     return {
-        name: read_collection_pages(spark, f"{root}/{name}", collection_schema(name, zoned))
+        name: read_collection_pages(spark, f"{root}/{name}", collection_schema(name, zoned), multi_line, on_bad)
+        for name in names
+    }
+
+
+def read_rejected(
+    spark: SparkSession, root: str, names: Iterable[str] = tuple(COLLECTIONS), zoned: bool = True,
+    multi_line: bool = False,
+) -> dict[str, DataFrame]:
+    """The rejected pages of the named collections."""
+    return {
+        name: read_rejected_pages(spark, f"{root}/{name}", collection_schema(name, zoned), multi_line)
         for name in names
     }
 

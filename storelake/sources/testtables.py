@@ -59,15 +59,6 @@ def _orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def _use_all_cores(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that gives fewer tasks than there are cores, as a file of one row group does.
-
-    Large inputs have more splits than the cluster has cores and are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def _order_fragments(lineitem: DataFrame) -> DataFrame:
     item_id = F.concat_ws(
         "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -80,8 +71,7 @@ def _order_fragments(lineitem: DataFrame) -> DataFrame:
         F.col("l_quantity").cast("int").alias("quantity"),
     )
     used = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    lines = _use_all_cores(lineitem.select(*used), *used[:3])
-    return lines.select(F.col("l_orderkey").alias("id"), F.to_json(F.array(item)).alias("items"))
+    return lineitem.select(*used).select(F.col("l_orderkey").alias("id"), F.to_json(F.array(item)).alias("items"))
 
 
 def _transactions(orders: DataFrame) -> DataFrame:
@@ -101,7 +91,7 @@ def _carts(events: DataFrame) -> DataFrame:
         (F.col("event_id") % 25 + 1).alias("quantity"),
     )
     ts = F.col("ts").cast("timestamp_ntz")
-    return events.filter(F.col("event_type").isin("view", "click", "purchase")).select(
+    return events.select(
         F.col("event_id").alias("id"),
         F.when(F.col("event_id") % 3 != 0, _ref(F.col("user_id"))).alias("customer"),
         F.to_json(F.array(item)).alias("items"), F.lit("USD").alias("currency"),

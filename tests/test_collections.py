@@ -215,3 +215,15 @@ def test_hot_key_of_a_join_is_split(spark):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+def test_lists_equal_any_of_their_elements_and_relations_contain_ids(spark):
+    df = spark.createDataFrame([(1, '[{"id":5},{"id":6}]', '{"id":1}'), (2, "[7]", '{"id":12}'), (3, None, None), (4, "[]", "1")],
+                               "id long, tags string, owner string")
+    def ids(spec):
+        return sorted(r["id"] for r in docs.where(df, spec, relations=["owner"], lists=["tags"]).collect())
+    assert ids({"tags": {"equals": 6}}) == [1]
+    assert ids({"tags": {"not_equals": 6}}) == [2, 3, 4]
+    assert ids({"tags": {"equals": None}}) == [3]
+    assert ids({"owner": {"contains": 1}}) == [1, 4] == ids({"owner": {"contains": "1"}})
+    assert ids({"owner": {"contains": "x"}}) == []

@@ -284,3 +284,64 @@ def test_dimension_schema_change_fails(spark, store, raw):
     with pytest.raises(types.SchemaChanged):
         lake.run_models("dim_customers")
     lake.run_models("dim_customers", full_refresh=True)
+
+
+def user_page(i, when="2024-01-01T00:00:00Z"):
+    return {"id": i, "name": "n", "email": "e", "roles": ["customer"], "createdAt": when, "updatedAt": when}
+
+
+def damaged_pages(folder):
+    write_page(folder, "good.json", [user_page(1, "2024-01-05T00:00:00Z"), user_page(2)])
+    write_page(folder, "pretty.json", [user_page(3)], pretty=True)
+    (folder / "cut.json").write_text(json.dumps({"docs": [user_page(4), user_page(5)]})[:150])
+    (folder / "id.json").write_text(json.dumps({"docs": [{**user_page(6), "id": "six"}, user_page(7)]}))
+    (folder / "empty.json").write_text(json.dumps({"docs": []}))
+    (folder / "other.json").write_text(json.dumps({"errors": ["unavailable"]}))
+
+
+@pytest.mark.parametrize("bad", ["cut.json", "id.json", "pretty.json", "other.json"])
+def test_a_bad_page_fails_the_read_and_the_stream(spark, store, tmp_path, bad):
+    damaged_pages(tmp_path / "all")
+    folder = tmp_path / "some"
+    folder.mkdir()
+    for name in ("good.json", "empty.json", bad):
+        (folder / name).write_text((tmp_path / "all" / name).read_text())
+    schema = collection_schema("users")
+    with pytest.raises(Exception):
+        pages.read_collection_pages(spark, str(folder), schema).collect()
+    with pytest.raises(Exception):
+        stream_upsert(read_page_stream(spark, str(folder), schema), store, "users", str(tmp_path / "cp")).awaitTermination()
+    assert not store.exists("users")
+
+
+def test_rejected_pages_are_shown_and_hold_the_cursor(spark, store, tmp_path):
+    damaged_pages(tmp_path / "users")
+    good = pages.read_collections(spark, str(tmp_path), ["users"], on_bad="reject")
+    bad = pages.read_rejected(spark, str(tmp_path), ["users"])
+    assert sorted(r["id"] for r in good["users"].collect()) == [1, 2]
+    files = {r["path"].split("/")[-1] for r in bad["users"].collect()}
+    assert files == {"pretty.json", "cut.json", "id.json", "other.json"}
+    load(good, store, initial="2023-01-01T00:00:00Z", rejected=bad)
+    assert "users" not in cursors(store) and store.read("raw/users").count() == 2
+    load(good, store, initial="2023-01-01T00:00:00Z")
+    assert cursors(store)["users"].startswith("2024-01-05")
+
+
+def test_pretty_pages_stream_too(spark, store, tmp_path):
+    write_page(tmp_path / "p", "1.json", [user_page(3)], pretty=True)
+    documents = read_page_stream(spark, str(tmp_path / "p"), collection_schema("users"), multi_line=True)
+    stream_upsert(documents, store, "users", str(tmp_path / "cp")).awaitTermination()
+    assert [r["id"] for r in store.read("users").collect()] == [3]
+
+
+def test_duplicate_documents_count_once_in_a_first_build(spark, store, raw):
+    """Full refresh, first build and incremental build agree on documents that were loaded twice."""
+    twice = {**raw, "orders": raw["orders"].unionByName(raw["orders"])}
+    lake = Lake(twice, store, AS_OF)
+    lake.run_models("fact_orders")
+    once = sorted(map(str, lake.table("fact_orders").collect()))
+    assert len({r["order_id"] for r in lake.table("fact_orders").collect()}) == len(once)
+    lake.run_models("fact_orders")
+    assert sorted(map(str, lake.table("fact_orders").collect())) == once
+    lake.run_models("fact_orders", full_refresh=True)
+    assert sorted(map(str, lake.table("fact_orders").collect())) == once
