@@ -442,6 +442,7 @@ _QUERIES = {
     "test_singular": "SELECT id AS order_id FROM f_ord WHERE items = 0",
     "run_tests": _test_report(),
     **_ANALYTICS,
+    "product_affinity_huge": _ANALYTICS["product_affinity"],
     "where": f"""SELECT id, title, inventory, state AS _status FROM prod WHERE
         (title ILIKE '%ring%' AND title ILIKE '%small%' AND inventory BETWEEN 11 AND 45)
         OR (description ILIKE '%promo%' AND state <> 'draft' AND cents >= 95000 AND inventory NOT IN (0, 7, 14))

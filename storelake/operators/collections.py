@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from storelake.functions.documents import id_list, ref_id
 from storelake.functions.predicates import Fields, where_column
+from storelake.operators.joins import left_join_optional
 
 # The shop's named orderings and its stock notice limit.
 SORTS = {
@@ -38,13 +39,28 @@ def sort(df: DataFrame, spec: str, tie_break: str | None = "id") -> DataFrame:
     return df.orderBy(*sort_columns(spec, tie_break))
 
 
-def page(df: DataFrame, limit: int = 10, page: int = 1, by: str = "createdAt", tie_break: str = "id") -> DataFrame:
+def _after(spec: str, tie_break: str, last: Sequence[Any]) -> Column:
+    """Rows that come after one with these sort values, missing values last."""
+    names = [part.strip() for part in SORTS.get(spec, spec).split(",")] + [tie_break]
+    same, after = F.lit(True), F.lit(False)
+    for name, value in zip(names, last, strict=True):
+        col = F.col(name.lstrip("-"))
+        if value is not None:
+            beyond = col < F.lit(value) if name.startswith("-") else col > F.lit(value)
+            after = after | (same & (beyond | col.isNull()))
+        same = same & col.eqNullSafe(F.lit(value))
+    return after
+
+
+def page(df: DataFrame, limit: int = 10, page: int = 1, by: str = "createdAt", tie_break: str = "id",
+         after: Sequence[Any] | None = None) -> DataFrame:
     """Page ``page`` of ``limit`` rows; 0 means no limit.
 
-    Planned as a top-k of all rows up to the page's end, so it suits the first pages; to walk through
-    a whole collection, filter by the last key seen.
+    Planned as a top-k of all rows up to the page's end, so it suits the first pages. To walk through a whole
+    collection, give the sort values and the key of the last row seen as ``after`` and stay on page 1: each
+    page is then a top-k of its own rows only.
     """
-    ordered = sort(df, by, tie_break)
+    ordered = sort(df if after is None else df.filter(_after(by, tie_break, after)), by, tie_break)
     return ordered if limit == 0 else ordered.offset((page - 1) * limit).limit(limit)
 
 
@@ -63,7 +79,8 @@ def populate(df: DataFrame, references: Mapping[str, DataFrame], accept_bare: bo
         order = df.columns
         found = target.select(F.col("id").alias("_ref"), F.struct(*target.columns).alias("_row"))
         keyed = df.withColumn("_ref", ref_id(F.col(name), accept_bare))
-        joined = keyed.join(found, "_ref", "left").drop(name, "_ref")
+        row_key = "id" if "id" in order else order[0]
+        joined = left_join_optional(keyed, found, "_ref", row_key).drop(name, "_ref")
         df = joined.withColumnRenamed("_row", name).select(*order)
     return df
 

@@ -4,7 +4,7 @@ Pairs are counted by joining the lines of an order with each other. That is quad
 which is harmless for ordinary baskets and ruinous for a few huge ones. Huge baskets are therefore
 never paired in full; they are handled exactly by prefix filtering:
 
-* Put all orders in one sequence, ordinary ones first, then huge ones by size.
+* Put all orders in one sequence, ordinary ones first, then huge ones by size and a hash.
 * For a pair to reach support ``s`` the two products share at least ``s`` orders. The earliest of
   those is not among the last ``s - 1`` orders of either product. So pairs found after leaving out
   each product's last ``s - 1`` huge orders include every pair that can qualify.
@@ -32,6 +32,8 @@ ORDINARY_BASKET = 100
 # Order ids that may be broadcast: 8 MB. The number is counted before.
 BROADCAST_IDS = 1_000_000
 SALTS = 64
+# Hash buckets that tell apart huge orders of one size.
+BUCKETS = 1024
 # Products with the most lines, whose pairs set the support floor of a top list.
 PROBES = 64
 
@@ -61,10 +63,25 @@ def _split(lines: DataFrame, ids: DataFrame, few: bool) -> tuple[DataFrame, Data
 
 
 def _left_out(huge: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
-    """Each product's last ``most`` huge orders; the rank limit applies before the shuffle too."""
-    last = Window.partitionBy("product_id").orderBy(F.desc("item_count"), F.desc("order_id"))
-    ranked = huge.join(sizes, "order_id").withColumn("rank", F.row_number().over(last))
-    return ranked.filter(F.col("rank") <= most).select("order_id", "product_id")
+    """At most ``most`` of each product's last huge orders, by size and then by a hash of the order.
+
+    Orders are counted, not ranked, so that no task sorts all orders of a much sold product: first by size
+    (a product has few different ones: their sum is at most its lines), then, where ``most`` falls among
+    orders of one size, by their hash. Leaving out fewer than ``most`` is safe.
+    """
+    sized = huge.join(sizes, "order_id").withColumn("bucket", F.pmod(F.xxhash64("order_id"), F.lit(BUCKETS)))
+    by_size = Window.partitionBy("product_id").orderBy(F.desc("item_count"))
+    counted = sized.groupBy("product_id", "item_count").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "upto", F.sum("n").over(by_size))
+    whole = counted.filter(F.col("upto") <= most).select("product_id", "item_count")
+    room = F.lit(most) - F.col("upto") + F.col("n")
+    cut = counted.filter((F.col("upto") > most) & (room > 0)).select("product_id", "item_count", room.alias("room"))
+    of_size = ["product_id", "item_count"]
+    by_hash = Window.partitionBy(*of_size).orderBy("bucket")
+    parts = sized.join(cut, of_size).groupBy(*of_size, "bucket", "room").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "upto", F.sum("n").over(by_hash)).filter(F.col("upto") <= F.col("room")).select(*of_size, "bucket")
+    last = sized.join(whole, of_size, "left_semi").unionByName(sized.join(parts, [*of_size, "bucket"], "left_semi"))
+    return last.select("order_id", "product_id")
 
 
 def _reachable(found: DataFrame, huge: DataFrame, support: int) -> DataFrame:

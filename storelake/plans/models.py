@@ -70,7 +70,8 @@ MARTS = {m.name: m for m in (
          needs=("fact_orders",), on_schema_change="fail"),
     Mart("dim_products", lambda l: marts.dim_products(l.staged("stg_products"))),
     Mart("dim_categories", lambda l: marts.dim_categories(l.staged("stg_categories"))),
-    Mart("dim_date", lambda l: marts.dim_date(marts.date_bounds(l.spark, *l.spine))),
+    Mart("dim_date", lambda l: marts.dim_date(
+        marts.date_bounds(l.spark, *l.spine) if l.spine else marts.covering_years(l.staged("stg_orders"), "created_at"))),
     Mart("bridge_product_categories", lambda l: marts.bridge_product_categories(l.staged("stg_product_categories"))),
 )}
 
@@ -79,7 +80,8 @@ class Lake:
     """Raw collections, lazy staging and stored marts of one target namespace."""
 
     def __init__(self, raw: Mapping[str, DataFrame], store: TableStore, as_of: dt.date,
-                 spine: tuple[dt.date, dt.date] = marts.SPINE, target: str = "dev"):
+                 spine: tuple[dt.date, dt.date] | None = marts.SPINE, target: str = "dev"):
+        # Without a spine the calendar covers the years of the orders.
         # An order document holds all its lines, unless the lines come apart as order fragments.
         self.whole_documents = "order_fragments" not in raw
         self.raw = {"order_fragments": raw["orders"], **raw} if self.whole_documents else dict(raw)

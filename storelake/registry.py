@@ -333,6 +333,8 @@ QUERIES: dict[str, Query] = {
     "cohort_curves_for": _over(cohorts.cohort_curves_for, "fact_orders", cohort_months=COHORTS),
     "rfm_table": _over(rfm.rfm_table, "dim_customers", as_of=True),
     "product_affinity": _over(affinity.product_affinity, _ITEMS, "fact_orders", "dim_products"),
+    # The same list with every basket of four lines or more prefix filtered.
+    "product_affinity_huge": _over(affinity.product_affinity, _ITEMS, "fact_orders", "dim_products", ordinary=3),
     "kpi_summary": _over(kpi.kpi_summary, "fact_orders", as_of=True),
     "monthly_revenue_summary_simple": _over(sales.monthly_revenue_summary_simple, "fact_orders"),
     # analytics, second set

@@ -12,8 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelake.functions.dates import moment_text
-from storelake.sources.pages import advance_cursor, incremental_extract
+from storelake.sources.pages import incremental_extract
 from storelake.sources.schemas import CURSOR, INITIAL_TIMESTAMP, PRIMARY_KEY
 from storelake.sources.tables import TableStore
 from storelake.sources.types import map_types
@@ -65,8 +64,8 @@ def load(collections: Mapping[str, DataFrame], store: TableStore, disposition: s
             versions[name] = getattr(store, disposition)(stored, table, parts)
             continue
         versions[name] = store.merge(stored, table, [PRIMARY_KEY], CURSOR, parts)
-        latest = advance_cursor(rows, saved.get(name)).select(
-            moment_text(F.col("cursor"), rows.schema[CURSOR].dataType)).first()[0]
+        # From the stored rows, which hold the batch: the pages are not parsed again.
+        latest = store.high_water(table, CURSOR)
         if latest is not None and not (rejected and name in rejected and not rejected[name].isEmpty()):
             _save_cursor(store, name, latest)
     return versions

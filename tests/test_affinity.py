@@ -77,3 +77,21 @@ def test_report(spark, ordinary):
     got = [tuple(r) for r in product_affinity(items, orders, products, ordinary=ordinary).collect()]
     got = [(a, b, n, float(share)) for a, b, n, share in got]
     assert got == [("bolt", "nut", 6, 85.71), ("bolt", "nut", 3, 42.86), ("nut", "nut", 3, 42.86)]
+
+
+def test_left_out_orders_are_counted_not_ranked(spark):
+    """A hot product in many huge orders: at most the wanted number is left out, the largest first, and no window sorts its orders."""
+    lines = [(o, p) for o in range(300) for p in (1, 2 + o % 5)]
+    huge = spark.createDataFrame(lines, "order_id long, product_id long")
+    sizes = spark.createDataFrame([(o, 200 + o // 30) for o in range(300)], "order_id long, item_count long")
+    for most in (0, 5, 30, 45, 299, 300, 5000):
+        out = affinity._left_out(huge, sizes, most)
+        by_product = {}
+        for r in out.collect():
+            by_product.setdefault(r["product_id"], set()).add(r["order_id"])
+        hot = by_product.get(1, set())
+        assert len(hot) <= most and (len(hot) == min(most, 300) or most - len(hot) < 30)
+        if hot:
+            assert min(o // 30 for o in hot) >= max((o // 30 for o in set(range(300)) - hot), default=0)
+    plan = affinity._left_out(huge, sizes, 5000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan

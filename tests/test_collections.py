@@ -227,3 +227,16 @@ def test_lists_equal_any_of_their_elements_and_relations_contain_ids(spark):
     assert ids({"tags": {"equals": None}}) == [3]
     assert ids({"owner": {"contains": 1}}) == [1, 4] == ids({"owner": {"contains": "1"}})
     assert ids({"owner": {"contains": "x"}}) == []
+
+
+@pytest.mark.parametrize("by", ["createdAt", "-createdAt,title", "title"])
+def test_a_walk_by_last_key_sees_every_row_once(spark, by):
+    rows = [(i, [None, "a", "b"][i % 3], [None, 5, 3, 5][i % 4]) for i in range(25)]
+    df = spark.createDataFrame(rows, "id long, title string, createdAt long")
+    want = [r["id"] for r in docs.sort(df, by).collect()]
+    names = [n.lstrip("-") for n in by.split(",")] + ["id"]
+    seen, last = [], None
+    while found := docs.page(df, 4, by=by, after=last).collect():
+        seen += [r["id"] for r in found]
+        last = [found[-1][n] for n in names]
+    assert seen == want
