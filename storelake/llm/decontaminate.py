@@ -99,19 +99,22 @@ class Matcher:
                 yield at, start, end
 
     def find(self, text: str) -> list[Hit]:
-        """The best occurrence in each window, by item and place."""
+        """Occurrences by place: of each item the best in a window, and the best in what lies beside it."""
         out = []
         if not self.items:
             return out
-        for at, start, end in self.windows(text):
+        open_windows = list(self.windows(text))
+        while open_windows:
+            at, start, end = open_windows.pop()
             number, item, budget = self.items[at]
             best = myers(item, text[start:end], budget)
             if best:
+                stop = start + best[1]
                 # The same search backwards from the end finds where it begins.
-                tail = text[start:start + best[1]][::-1]
-                begins = myers(item[::-1], tail, best[0])
-                length = begins[1] if begins else len(item)
-                out.append((number, start + best[1] - length, start + best[1], best[0]))
+                begins = myers(item[::-1], text[start:stop][::-1], best[0])
+                first = stop - (begins[1] if begins else len(item))
+                out.append((number, first, stop, best[0]))
+                open_windows += [(at, start, first), (at, stop, end)]
         return sorted(out, key=lambda h: (h[1], str(h[0])))
 
 
