@@ -3,7 +3,9 @@
 No table format with transactions is on the classpath, so a version is a small manifest that lists
 the parquet directories belonging to it. Data directories are never changed once written: readers
 of an older version are safe, a lost executor only repeats its tasks, and a failed load leaves
-nothing visible. Committing is the creation of the manifest, which fails if it already exists.
+nothing visible. Committing is the creation of the manifest, which fails if it already exists; that
+needs a file system with exclusive create. On an object store without it, let one writer at a time
+change a table.
 
 A merge rewrites only the partitions that hold a changed key, not the table.
 """
