@@ -5,6 +5,9 @@ item occurs with at most k edits, one piece occurs unchanged. An automaton over
 hits in a document in one pass; around each hit the whole item is verified with Myers' bit-parallel
 edit distance. Texts are compared lower-cased, with runs of white space as one blank.
 
+An item below ``min_chars`` characters may be plain speech with an edit more, so it is sought word for
+word: no edits, and between word boundaries where its script has them.
+
 Scale: documents are not shuffled. Items are read from the benchmark table in blocks of bounded size,
 each broadcast and run over all documents as one column. A benchmark is a stated query set, far
 smaller than the corpus; its blocks, and their automata in a worker, grow with the benchmark alone.
@@ -12,6 +15,7 @@ smaller than the corpus; its blocks, and their automata in a worker, grow with t
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -23,7 +27,10 @@ from pyspark.sql import functions as F
 
 BLOCK_CHARS = 4_000_000  # Characters of items in one broadcast.
 ERROR_RATE = 0.05
-MIN_CHARS = 25  # Shorter items are too common as plain speech to tell a leak.
+MIN_CHARS = 25  # Shorter items are sought without edits.
+# Thai to Tibetan, Burmese, Khmer, ideographs with kana and bopomofo, half-width kana, later ideographs.
+NO_BLANKS = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x312F), (0x31A0, 0x31FF),
+             (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF))
 
 Hit = tuple[int, int, int, int]  # Item, start, end (in the normalised text), edits.
 _HITS = "array<struct<item_id:{ids},start:int,end:int,edits:int>>"
@@ -66,11 +73,38 @@ def myers(item: str, window: str, budget: int) -> tuple[int, int] | None:
     return best
 
 
+def is_mark(char: str) -> bool:
+    return unicodedata.category(char).startswith("M")
+
+
+def in_word(char: str) -> bool:
+    """Part of a word that blanks or signs end; letters of scripts without blanks are not."""
+    if any(a <= ord(char) <= b for a, b in NO_BLANKS):
+        return False
+    return char.isalnum() or char == "_" or is_mark(char)
+
+
+def stands_alone(text: str, start: int, end: int) -> bool:
+    """Whether ``text[start:end]`` cuts no word: it has word boundaries, or edges of a script without blanks.
+
+    A mark that follows changes the last character. Signs alone must stand between blanks.
+    """
+    before, after = text[start - 1:start], text[end:end + 1]
+    if after and is_mark(after):
+        return False
+    if not any(c.isalnum() for c in text[start:end]):
+        return before in ("", " ") and after in ("", " ")
+    return not (before and in_word(before) and in_word(text[start])
+                or after and in_word(after) and in_word(text[end - 1]))
+
+
 class Matcher:
-    """Finds the items of one block in normalised texts."""
+    """Finds the items of one block in normalised texts; those below ``exact_below`` characters word for word."""
 
-    def __init__(self, items: Sequence[tuple[object, str]], error_rate: float):
-        self.items = [(number, text, int(len(text) * error_rate)) for number, text in items]
+    def __init__(self, items: Sequence[tuple[object, str]], error_rate: float, exact_below: int = 0):
+        self.exact_below = exact_below
+        self.items = [(number, text, int(len(text) * error_rate) if len(text) >= exact_below else 0)
+                      for number, text in items]
         self.automaton = ahocorasick.Automaton()
         places: dict[str, list[tuple[int, int]]] = {}
         for at, (_, text, budget) in enumerate(self.items):
@@ -81,13 +115,20 @@ class Matcher:
         if places:
             self.automaton.make_automaton()
 
-    def windows(self, text: str) -> Iterator[tuple[int, int, int]]:
-        """(item, start, end) wherever a hit allows an occurrence; windows of one item that touch are one."""
+    def windows(self, text: str, exact: list[Hit]) -> Iterator[tuple[int, int, int]]:
+        """(item, start, end) wherever a hit allows an occurrence; windows of one item that touch are one.
+
+        Hits of items sought word for word are whole occurrences and go to ``exact``.
+        """
         found: dict[int, list[tuple[int, int]]] = {}
         for last, (length, places) in self.automaton.iter(text):
             for at, offset in places:
-                _, item, budget = self.items[at]
+                number, item, budget = self.items[at]
                 start = last + 1 - length - offset
+                if len(item) < self.exact_below:
+                    if stands_alone(text, start, last + 1):
+                        exact.append((number, start, last + 1, 0))
+                    continue
                 window = max(0, start - budget), min(len(text), start + len(item) + budget)
                 own = found.setdefault(at, [])
                 if own and window[0] <= own[-1][1]:
@@ -100,10 +141,10 @@ class Matcher:
 
     def find(self, text: str) -> list[Hit]:
         """Occurrences by place: of each item the best in a window, and the best in what lies beside it."""
-        out = []
+        out: list[Hit] = []
         if not self.items:
             return out
-        open_windows = list(self.windows(text))
+        open_windows = list(self.windows(text, out))
         while open_windows:
             at, start, end = open_windows.pop()
             number, item, budget = self.items[at]
@@ -118,27 +159,28 @@ class Matcher:
         return sorted(out, key=lambda h: (h[1], str(h[0])))
 
 
-def _blocks(benchmark: DataFrame, min_chars: int, block_chars: int) -> Iterator[list[tuple[object, str]]]:
+def _blocks(benchmark: DataFrame, min_chars: int, block_chars: int, short: bool) -> Iterator[list[tuple[object, str]]]:
     """Distinct (item_id, normalised text) in blocks of bounded size; the driver holds one block at a time."""
     block, size = [], 0
     rows = benchmark.filter("text is not null").select("item_id", "text").distinct().orderBy("item_id", "text")
     for row in rows.toLocalIterator():
         text = normalised(row["text"])
-        if len(text) < min_chars:
+        if not text or len(text) < min_chars and not short:
             continue
-        if block and size + len(text) > block_chars:
+        weight = max(len(text), min_chars)  # A short item costs more than its characters.
+        if block and size + weight > block_chars:
             yield block
             block, size = [], 0
         block.append((row["item_id"], text))
-        size += len(text)
+        size += weight
     if block:
         yield block
 
 
-def _hits_of(block: Broadcast, error_rate: float, kind: str):
+def _hits_of(block: Broadcast, error_rate: float, kind: str, min_chars: int):
     @F.pandas_udf(kind)
     def hits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = Matcher(block.value, error_rate)  # Once per task.
+        matcher = Matcher(block.value, error_rate, min_chars)  # Once per task.
         for texts in batches:
             found = [matcher.find(normalised(t)) for t in texts]
             yield pd.Series([[dict(zip(("item_id", "start", "end", "edits"), h)) for h in own] for own in found],
@@ -147,29 +189,31 @@ def _hits_of(block: Broadcast, error_rate: float, kind: str):
 
 
 def leak_hits(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS,
-              block_chars: int = BLOCK_CHARS) -> Column:
+              block_chars: int = BLOCK_CHARS, short: bool = False) -> Column:
     """A column for ``docs``: the occurrences of benchmark items as (item_id, start, end, edits).
 
     Offsets are code points of the normalised text. Null and empty texts have none, and so has any text
-    where the benchmark is empty. Items with null text or fewer than ``min_chars`` characters are not sought.
+    where the benchmark is empty. Items with null or blank text are not sought; those with fewer than
+    ``min_chars`` characters are with ``short``, word for word, and else not.
     """
     kind = _HITS.format(ids=benchmark.schema["item_id"].dataType.simpleString())
     spark = docs.sparkSession
     columns = []
-    for block in _blocks(benchmark, min_chars, block_chars):
-        columns.append(_hits_of(spark.sparkContext.broadcast(block), error_rate, kind)(F.col("text")))
+    for block in _blocks(benchmark, min_chars, block_chars, short):
+        columns.append(_hits_of(spark.sparkContext.broadcast(block), error_rate, kind, min_chars)(F.col("text")))
     return reduce(F.concat, columns) if columns else F.array().cast(kind)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE,
-                  min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+                  min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS, short: bool = False) -> DataFrame:
     """(doc_id, contaminated, n_items, items, spans) per row of ``docs``.
 
     ``items`` lists the ids found, ``spans`` each occurrence as item:start:end:edits by place. A null
     doc_id stays null, repeated rows get equal answers, empty tables give no rows or no hits, and other
     columns are not read. An item id that stands for several texts counts once.
     """
-    found = docs.select("doc_id", leak_hits(docs, benchmark, error_rate, min_chars, block_chars).alias("hits"))
+    hits = leak_hits(docs, benchmark, error_rate, min_chars, block_chars, short)
+    found = docs.select("doc_id", hits.alias("hits"))
     ids = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["item_id"])))
     by_place = F.array_sort(F.transform("hits", lambda h: F.struct(
         h["start"].alias("start"), h["end"].alias("end"), h["item_id"].alias("item_id"), h["edits"].alias("edits"))))
@@ -179,6 +223,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERR
         F.array_join(ids.cast("array<string>"), ",").alias("items"), F.array_join(spans, ",").alias("spans"))
 
 
-def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE,
+                        short: bool = False) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; all columns stay."""
-    return docs.filter(F.size(leak_hits(docs, benchmark, error_rate)) == 0)
+    return docs.filter(F.size(leak_hits(docs, benchmark, error_rate, short=short)) == 0)

@@ -3,8 +3,10 @@ import random
 import pytest
 
 from storelake.llm import decontaminate as dc
+from storelake.llm.queries import QUERIES
 from storelake.llm.shared import ship_package
 from tests.llm.tables import DOCS, by_id, clashing, documents, prose
+from tests.llm.test_pipeline import pipeline_module
 
 
 def plain_search(item, text):
@@ -85,3 +87,23 @@ def test_rows(spark, block_chars):
     none = spark.createDataFrame([], "item_id long, text string")
     assert not any(r.contaminated for r in dc.contamination(docs, none).collect())
     assert dc.contamination(spark.createDataFrame([], DOCS), bench).collect() == []
+
+
+def test_short_items_are_found_word_for_word(spark, tmp_path):
+    """By the registered query and by the stage of the pipeline; plain speech around them stays."""
+    items = [(1, "Who wrote  Hamlet?"), (2, "水の沸点は何度ですか"), (3, "2 + 2 ="), (4, "हिन्द"), (5, " "), (6, "=>"),
+             (7, "a b a"), (8, prose(1, 25))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "who wrote hamlet?"), (2, "Quiz:\nWho wrote Hamlet? Shakespeare"), (3, "問題、水の沸点は何度ですか。百度"),
+            (4, "so 2 + 2 = 4"), (5, "a b a b a"), (6, f"x {prose(1, 25)}"), (7, "x => y"), (8, "(हिन्द)"),
+            (11, "nowho wrote hamlet?"), (12, "who wrote hamlets?"), (13, "12 + 2 = 14"), (14, "हिन्दी"), (15, "a==>b"), (16, "a b ab"),
+            (17, "who wrote a hamlet?"), (18, "水の沸点"), (19, " "), (20, None)]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = by_id(QUERIES["op7_decontaminate"](spark, str(tmp_path)))
+    assert {d: r["items"] for d, r in found.items() if r["contaminated"]} == {
+        1: "1", 2: "1", 3: "2", 4: "3", 5: "7", 6: "8", 7: "6", 8: "4"}
+    assert found[1]["spans"] == "1:0:17:0" and found[5]["spans"] == "7:0:5:0,7:4:9:0"
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = by_id(dict(pipeline_module().STAGES)["benchmark_decontamination"](spark, docs, str(tmp_path)))
+    assert sorted(kept) == [11, 12, 13, 14, 15, 16, 17, 18, 19, 20]
