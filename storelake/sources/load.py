@@ -59,6 +59,8 @@ def load(collections: Mapping[str, DataFrame], store: TableStore, disposition: s
             rows = incremental_extract(documents, saved.get(name), initial)
         stored = map_types(rows)
         if parts:
+            if MONTH in stored.columns:
+                raise ValueError(f"{name} has a field {MONTH}, which is the column that places its rows")
             stored = stored.withColumn(MONTH, F.trunc(F.to_date("createdAt"), "month"))
         if disposition != "merge":
             versions[name] = getattr(store, disposition)(stored, table, parts)

@@ -1,8 +1,13 @@
-"""Reading landed collection pages and extracting what changed since a cursor."""
+"""Reading landed collection pages and extracting what changed since a cursor.
+
+Declared fields have their declared types. Every other top-level field of the documents is read too:
+its type is found in one distributed pass over the pages, and only the field names reach the driver.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,22 +21,64 @@ from storelake.sources.schemas import (
 
 ON_BAD = ("fail", "reject")
 _BAD = "_unparsed_page"
+_TYPES = {"BIGINT": T.LongType(), "DOUBLE": T.DoubleType(), "BOOLEAN": T.BooleanType()}
+
+
+def _kind(value: Column) -> Column:
+    """Type of a JSON value: BIGINT, DOUBLE, BOOLEAN, VOID, or STRING for texts, nested values and numbers that no double holds."""
+    name = F.schema_of_variant(value)
+    digits = F.regexp_extract(name, r"^DECIMAL\((\d+),", 1)
+    return F.when(digits != "", F.when(digits.cast("int") <= 15, "DOUBLE").otherwise("STRING")) \
+        .when(name.isin(*_TYPES, "VOID"), name).otherwise("STRING")
+
+
+def found_schema(spark: SparkSession, path: str, documents: T.StructType, multi_line: bool = False) -> T.StructType:
+    """The declared fields, then by name every other top-level field of the landed documents.
+
+    Whole numbers are bigint, other numbers double, nested values and mixed types text. Pages that do
+    not parse add nothing: the read itself fails on them or rejects them.
+    """
+    def fields(kind: str) -> DataFrame:
+        reader = spark.read.schema(f"docs array<map<string,{kind}>>").option("multiLine", multi_line)
+        docs = reader.json(path).select(F.explode("docs").alias("doc"))
+        return docs.select(F.explode("doc").alias("name", "value")).filter(~F.col("name").isin(*documents.names))
+
+    # A variant refuses repeated keys within a value; the second reading still has the names on such a page.
+    typed = fields("variant").select("name", _kind(F.col("value")).alias("kind"))
+    named = fields("string").select("name", F.lit("VOID").alias("kind"))
+    rows = typed.unionAll(named).groupBy("name").agg(F.collect_set("kind").alias("kinds")).collect()
+    schema = T.StructType(list(documents.fields))
+    for name, kinds in sorted((r["name"], set(r["kinds"]) - {"VOID"}) for r in rows):
+        if kinds == {"BIGINT", "DOUBLE"}:
+            kinds = {"DOUBLE"}
+        schema.add(name, _TYPES.get(kinds.pop(), T.StringType()) if len(kinds) == 1 else T.StringType())
+    columns = [_column(n).lower() for n in schema.names]
+    clashing = [n for n, c in zip(schema.names, columns) if columns.count(c) > 1]
+    if clashing:
+        raise ValueError(f"fields of {path} that would share a column: {', '.join(clashing)}")
+    return schema
+
+
+def _column(field: str) -> str:
+    """Column of a field: signs that a column name cannot hold become underscores."""
+    return re.sub(r"\W", "_", field)
 
 
 def read_collection_pages(
     spark: SparkSession, path: str, documents: T.StructType, multi_line: bool = False, on_bad: str = "fail",
 ) -> DataFrame:
-    """One row per document from page files ``{"docs": [...], "page": n, ...}``.
+    """One row per document from page files ``{"docs": [...], "page": n, ...}``, with all its top-level fields.
 
-    Pages are one JSON object per line (splittable) unless ``multi_line`` says a file holds a
+    ``documents`` declares the fields whose type is known. Pages are one JSON object per line (splittable) unless ``multi_line`` says a file holds a
     single pretty-printed page. Nested values of a string field arrive as JSON text. A page that does
     not parse, holds a value of the wrong type, or has no ``docs`` fails the read; ``on_bad="reject"``
     leaves such pages out whole, for ``read_rejected_pages`` to show.
     """
     if on_bad not in ON_BAD:
         raise ValueError(f"on_bad must be one of {', '.join(ON_BAD)}")
+    documents = found_schema(spark, path, documents, multi_line)
     if on_bad == "reject":
-        return _marked_pages(spark, path, documents, multi_line).filter(~_rejected()).select(F.inline("docs"))
+        return documents_of(_marked_pages(spark, path, documents, multi_line).filter(~_rejected()))
     reader = spark.read.schema(page_schema(documents)).option("multiLine", multi_line).option("mode", "FAILFAST")
     return documents_of(reader.json(path))
 
@@ -39,13 +86,15 @@ def read_collection_pages(
 def documents_of(pages: DataFrame) -> DataFrame:
     """The documents of parsed pages; a page without ``docs`` is an error, an empty list is none."""
     lacking = F.raise_error(F.lit("a landed page has no docs")).cast(pages.schema["docs"].dataType)
-    return pages.select(F.inline(F.coalesce("docs", lacking)))
+    fields = pages.schema["docs"].dataType.elementType.names
+    return pages.select(F.inline(F.coalesce("docs", lacking))).toDF(*[_column(f) for f in fields])
 
 
 def read_rejected_pages(
     spark: SparkSession, path: str, documents: T.StructType, multi_line: bool = False,
 ) -> DataFrame:
     """(path, page): the file and text of every page that ``on_bad="reject"`` leaves out."""
+    documents = found_schema(spark, path, documents, multi_line)
     marked = _marked_pages(spark, path, documents, multi_line).filter(_rejected())
     return marked.select("path", F.coalesce(_BAD, F.lit("no docs")).alias("page"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# The nine collections and the columns the models read.
+# The nine collections and the columns the models read. Other fields are found in the pages.
 COLLECTIONS = {
     "orders": "id bigint, customer string, customerEmail string, items string, amount bigint,"
               " currency string, status string, createdAt timestamp, updatedAt timestamp",

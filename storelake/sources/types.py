@@ -33,10 +33,20 @@ def map_types(df: DataFrame) -> DataFrame:
     return df.select(*[_stored(f) for f in df.schema])
 
 
+def _fitted(df: DataFrame, field: T.StructField) -> Column:
+    have, col = df.schema[field.name].dataType, F.col(f"`{field.name}`")
+    cast = col.cast(field.dataType)
+    if isinstance(have, (T.DoubleType, T.FloatType)) and isinstance(field.dataType, T.IntegralType):
+        lost = F.raise_error(F.concat(F.lit(f"{field.name} holds whole numbers, got "), col.cast("string")))
+        cast = F.when(col.isNull() | (col == F.floor(col)), cast).otherwise(lost.cast(field.dataType))
+    return cast
+
+
 def align_to_schema(df: DataFrame, schema: T.StructType, mode: str = "align") -> DataFrame:
     """Fit a batch to an existing table.
 
-    align: missing columns become NULL, unknown columns are dropped.
+    align: missing columns become NULL, unknown columns are dropped. A stored type holds: a value that it
+           cannot hold is an error, a fraction for a column of whole numbers too.
     sync:  as ``align`` for missing columns, but unknown columns are kept (the table widens).
     fail:  any difference in column names raises ``SchemaChanged``.
     """
@@ -46,8 +56,7 @@ def align_to_schema(df: DataFrame, schema: T.StructType, mode: str = "align") ->
     if mode == "fail" and known != present:
         raise SchemaChanged(f"columns differ: {sorted(known ^ present)}")
     fitted = [
-        (F.col(f"`{f.name}`") if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema
+        (_fitted(df, f) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema
     ]
     extra = [F.col(f"`{c}`") for c in df.columns if c not in known] if mode == "sync" else []
     return df.select(*fitted, *extra)

@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from storelake.sources.pages import documents_of
+from storelake.sources.pages import documents_of, found_schema
 from storelake.sources.schemas import CURSOR, PRIMARY_KEY, page_schema
 from storelake.sources.tables import TableStore
 
 
 def read_page_stream(spark: SparkSession, path: str, documents: T.StructType, files_per_trigger: int = 1000,
                      multi_line: bool = False) -> DataFrame:
-    """Documents of newly landed pages. A page that does not parse stops the stream before its batch is
+    """Documents of newly landed pages, with the declared fields and those of the pages landed by now. A page that does not parse stops the stream before its batch is
     marked as done, so nothing is lost: mend or move the file and start again."""
+    documents = found_schema(spark, path, documents, multi_line)
     reader = spark.readStream.schema(page_schema(documents)).option("maxFilesPerTrigger", files_per_trigger)
     return documents_of(reader.option("multiLine", multi_line).option("mode", "FAILFAST").json(path))
 

@@ -345,3 +345,37 @@ def test_duplicate_documents_count_once_in_a_first_build(spark, store, raw):
     assert sorted(map(str, lake.table("fact_orders").collect())) == once
     lake.run_models("fact_orders", full_refresh=True)
     assert sorted(map(str, lake.table("fact_orders").collect())) == once
+
+
+def test_undeclared_fields_reach_the_table(spark, store, tmp_path):
+    """Every top-level field of the documents is read, loaded and streamed, not the declared ones alone."""
+    extra = {"shippingAddress": {"city": "Köln", "zip": "007"}, "tags": [1, "a"], "points": 3, "rate": 1.5, "vip": True,
+             "note": "5", "mixed": 1, "nothing": None, "a.b": 1}
+    write_page(tmp_path / "users", "1.json", [{**user_page(1, "2024-02-01T00:00:00Z"), **extra}, user_page(2, "2024-02-01T00:00:00Z")])
+    write_page(tmp_path / "users", "2.json", [{**user_page(3, "2024-02-01T00:00:00Z"), "mixed": "x", "rate": 2}])
+    (tmp_path / "users" / "3.json").write_text(json.dumps({"docs": [{**user_page(4, "2024-02-01T00:00:00Z"), "twice": 0}]}).replace(
+        '"twice": 0', '"twice": {"k": 1, "k": 2}'))
+    declared = collection_schema("users").names
+    for on_bad in pages.ON_BAD:
+        found = pages.read_collections(spark, str(tmp_path), ["users"], on_bad=on_bad)
+        kinds = dict(found["users"].dtypes)
+        assert [*kinds] == [*declared, "a_b", "mixed", "note", "nothing", "points", "rate", "shippingAddress", "tags", "twice", "vip"]
+        assert [kinds[c] for c in ("points", "rate", "vip", "note", "mixed")] == ["bigint", "double", "boolean", "string", "string"]
+    load(found, store)
+    rows = {r["id"]: r for r in raw_tables(store)["users"].collect()}
+    first = rows[1]
+    assert json.loads(first["shippingAddress"]) == extra["shippingAddress"] and json.loads(first["tags"]) == [1, "a"]
+    assert (first["points"], first["rate"], first["vip"], first["note"], first["mixed"], first["a_b"]) == (3, 1.5, True, "5", "1", 1)
+    assert rows[2]["points"] is None and rows[3]["mixed"] == "x" and rows[4]["twice"] == '{"k": 1, "k": 2}'
+    stream = read_page_stream(spark, str(tmp_path / "users"), collection_schema("users"))
+    stream_upsert(stream, store, "streamed", str(tmp_path / "cp")).awaitTermination()
+    assert store.read("streamed").orderBy("id").collect() == raw_tables(store)["users"].orderBy("id").collect()
+    write_page(tmp_path / "users", "5.json", [{**user_page(5, "2024-03-01T00:00:00Z"), "late": 1}])
+    load(pages.read_collections(spark, str(tmp_path), ["users"]), store)
+    assert "late" not in raw_tables(store)["users"].columns and raw_tables(store)["users"].count() == 5
+    write_page(tmp_path / "users", "6.json", [{**user_page(6, "2024-04-01T00:00:00Z"), "points": 3.5}])
+    with pytest.raises(Exception, match="whole numbers"):
+        load(pages.read_collections(spark, str(tmp_path), ["users"]), store)
+    write_page(tmp_path / "clash", "1.json", [{**user_page(1), "Name": "x"}])
+    with pytest.raises(ValueError, match="share a column"):
+        pages.read_collection_pages(spark, str(tmp_path / "clash"), collection_schema("users"))
