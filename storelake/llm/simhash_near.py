@@ -269,11 +269,25 @@ def keep_one(docs: DataFrame, words: int = 4, distance: int = 4, parts: int = 3)
     """``docs`` with one document of each group, that with the smallest doc_id; all columns stay.
 
     Rows without doc_id cannot be told apart and are kept. Of rows that repeat a doc_id and its text, one stays.
+    Where texts share a doc_id, each goes or stays with its own group.
     """
     found = stored(near_duplicates(docs, words, distance, parts), "groups")
-    dropped = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    repeated = found.filter("component_id = doc_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    goes = F.col("component_id") != F.col("doc_id")
+    rows = found.groupBy("doc_id").agg(F.count_if(goes).alias("gone"), F.count_if(~goes).alias("here"))
+    ids = stored(rows.filter("gone > 0 or here > 1"), "ids")
+    kept = docs.join(ids.filter("gone > 0 and here = 0").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    mixed = ids.filter("gone > 0 and here > 0").select("doc_id")
+    if not mixed.isEmpty():
+        @F.pandas_udf("string")
+        def printed(texts: pd.Series) -> pd.Series:
+            return pd.Series([f"{int(fingerprint(t, words, 42)):016x}" for t in texts], dtype=object)
+
+        own = "__fingerprint"
+        pairs = found.filter(goes).select("doc_id", F.col("fingerprint").alias(own)).distinct()
+        shared = kept.join(mixed, "doc_id", "left_semi").select(*docs.columns, printed("text").alias(own))
+        shared = shared.join(pairs, ["doc_id", own], "left_anti").select(*docs.columns)
+        kept = kept.join(mixed, "doc_id", "left_anti").select(*docs.columns).unionByName(shared)
+    repeated = ids.filter("here > 1").select("doc_id")
     if repeated.isEmpty():
         return kept
     again = stored(repeated, "repeated")

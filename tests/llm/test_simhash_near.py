@@ -110,6 +110,15 @@ def test_one_of_each_group_stays(spark):
     assert by_id(kept)[3].text == a.upper()
 
 
+def test_texts_that_share_an_id_go_with_their_own_groups(spark):
+    ship_package(spark)
+    a, b, c = prose(1, 300), prose(2, 300), prose(3, 300)
+    docs = clashing(documents(spark, [(3, a), (7, a.upper()), (7, b), (7, b), (9, a), (9, c), (9, b), (8, None), (7, None)]))
+    kept = sn.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([(3, a), (7, b), (7, ""), (9, c)])
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (None, 3), (200, 41 + 160)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
