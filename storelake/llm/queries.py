@@ -11,6 +11,7 @@ from storelake.llm.decontaminate import contamination
 from storelake.llm.exact_dedup import exact_duplicates
 from storelake.llm.language_id import languages
 from storelake.llm.mixing import mix_plan
+from storelake.llm.periodic_runs import periodic_runs, run_digests, with_planted_repeats
 from storelake.llm.pii import personal_data, span_digests
 from storelake.llm.secrets import secret_digests
 from storelake.llm.sharding import shard_rows
@@ -39,6 +40,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": _over(exact_duplicates, "documents"),
     "op9_simhash_near": _over(near_duplicates, "documents"),
     "op10_warc": _over(archived_pages, "pages"),
+    "op11_periodic_runs": _over(lambda d: run_digests(periodic_runs(with_planted_repeats(d))), "documents"),
 }
 
 _CONTROL = CONTROL.replace("\\[", "[[]").replace("\\]", "[]]")

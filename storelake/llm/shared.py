@@ -7,6 +7,7 @@ restarted task see them. Only a local session without that setting gets a folder
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_BLANK = re.compile(rb"[\x20\x09-\x0d]")
 _local: dict[str, str] = {}
 _shipped: set[str] = set()
 
@@ -102,3 +104,15 @@ def slices(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         total += n
     if first < len(lengths):
         yield first, len(lengths)
+
+
+def word_pieces(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words between ASCII blanks of a text, in lists of about ``size`` bytes, so that few are held at once."""
+    at = 0
+    while len(text) - at > size:
+        blank = _BLANK.search(text, at + size)
+        if not blank:
+            break
+        yield text[at:blank.start()].split()
+        at = blank.end()
+    yield text[at:].split() if at else text.split()
