@@ -450,6 +450,8 @@ _QUERIES = {
         OR (NOT has_categories AND has_variants AND inventory IN (5, 10, 15, 20))""",
     "sort": 'SELECT id, title, cents AS "priceInUSD" FROM prod',
     "page": 'SELECT id, made AS "createdAt" FROM ord ORDER BY made DESC, id LIMIT 100 OFFSET 200',
+    "page_walk": """SELECT id, made AS "createdAt", (n - 1) // 1000 + 1 AS page, (n - 1) % 1000 + 1 AS position
+        FROM (SELECT *, row_number() OVER (ORDER BY made DESC, id) AS n FROM ord)""",
     "select": 'SELECT id, title, slug, cents AS "priceInUSD" FROM prod',
     "populate": """SELECT ord.id, name AS customer_name, email AS customer_email, cents AS order_amount,
         status AS order_status FROM ord LEFT JOIN cust ON cust.id = ord.customer_id""",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from storelake.functions.documents import id_list, ref_id
 from storelake.functions.predicates import Fields, where_column
 from storelake.operators.joins import left_join_optional
+from storelake.operators.numbering import numbered
 
 # The shop's named orderings and its stock notice limit.
 SORTS = {
@@ -64,6 +65,19 @@ def page(df: DataFrame, limit: int = 10, page: int = 1, by: str = "createdAt", t
     return ordered if limit == 0 else ordered.offset((page - 1) * limit).limit(limit)
 
 
+def pages(df: DataFrame, limit: int = 10, by: str = "createdAt", tie_break: str = "id") -> DataFrame:
+    """All pages at once: every row with its ``page`` and its ``position`` on it, both from 1.
+
+    Equal to walking through ``page`` from the first to the last, as one distributed pass: no task holds more
+    than its range of rows. A ``limit`` of 0 makes one page.
+    """
+    found = numbered(df, sort_columns(by, tie_break), "position")
+    if limit == 0:
+        return found.withColumn("page", F.lit(1).cast("bigint"))
+    before = F.col("position") - 1
+    return found.withColumns({"page": F.floor(before / limit) + 1, "position": before % limit + 1})
+
+
 def select(df: DataFrame, fields: str | Sequence[str], key: str = "id") -> DataFrame:
     """Projection; the key always comes along."""
     names = fields.split(",") if isinstance(fields, str) else list(fields)

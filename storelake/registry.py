@@ -367,6 +367,7 @@ QUERIES: dict[str, Query] = {
     "where": _where,
     "sort": _on_raw(docs.sort, "products", spec="Price: High to low", columns=("id", "title", "priceInUSD")),
     "page": _on_raw(docs.page, "orders", limit=100, page=3, by="-createdAt", columns=("id", "createdAt")),
+    "page_walk": _on_raw(docs.pages, "orders", limit=1000, by="-createdAt", columns=("id", "createdAt", "page", "position")),
     "select": _on_raw(docs.select, "products", fields="title,slug,priceInUSD"),
     "populate": _populate,
     "product_search": _on_raw(docs.product_search, "products", text="ring", category=SEARCH_CATEGORY,

@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from storelake.operators import collections as docs
 from storelake.operators import quality
 from storelake.operators.joins import left_join_optional
+from storelake.operators.numbering import numbered
 
 
 @pytest.fixture
@@ -69,6 +71,28 @@ def test_sort_and_page(products):
     assert docs.select(products, "title, price").columns == ["id", "title", "price"]
 
 
+def test_all_pages_equal_a_walk_and_a_plain_numbering(spark):
+    rows = spark.range(1000).selectExpr("id", "if(id % 7 = 0, null, id % 5) as price", "1 as position", "'x' as page")
+    rows = rows.drop("position", "page").repartition(7, "price")
+    for by in ("price", "-price"):
+        found = docs.pages(rows, 30, by)
+        got = [(r["page"], r["position"], r["id"]) for r in found.collect()]
+        walked = [(n, i, r["id"]) for n in range(1, 35) for i, r in enumerate(docs.page(rows, 30, n, by).collect(), 1)]
+        assert sorted(got) == walked
+    assert docs.pages(rows.filter("id < 0"), 30, "id").collect() == []
+    assert {r["page"] for r in docs.pages(rows, 0, "id").collect()} == {1}
+
+
+def test_numbering_within_groups_keeps_nulls_apart_and_no_task_gathers_all(spark):
+    rows = spark.range(4000).selectExpr("id", "if(id % 3 = 0, 'hot', if(id % 3 = 1, null, cast(id % 50 as string))) as g",
+                                        "id % 11 as v")
+    found = numbered(rows, [F.col("v").desc(), F.col("id")], "n", ["g"])
+    plain = rows.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy(F.col("v").desc(), "id")).cast("bigint"))
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+    plan = numbered(rows, [F.col("id")])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SinglePartition") == 1 and "HashAggregate(keys=[_part" in plan.split("SinglePartition")[1][:400]
+
+
 def test_access_rules(spark):
     rows = spark.createDataFrame([(1, '{"id":5}', "published"), (2, '{"id":6}', "draft"), (3, "5", "draft")],
                                  "id long, customer string, _status string")
