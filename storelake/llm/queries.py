@@ -17,6 +17,7 @@ from storelake.llm.secrets import secret_digests
 from storelake.llm.sharding import shard_rows
 from storelake.llm.shared import UPPER, read_table, ship_package
 from storelake.llm.simhash_near import near_duplicates
+from storelake.llm.source_divergence import MIN_DOCS, SCALE, SMOOTHING, TOP_TERMS, source_divergence
 from storelake.llm.warc import MIN_REVISIT_BYTES, archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,8 +42,10 @@ QUERIES: dict[str, Query] = {
     "op9_simhash_near": _over(near_duplicates, "documents"),
     "op10_warc": _over(archived_pages, "pages"),
     "op11_periodic_runs": _over(lambda d: run_digests(periodic_runs(with_planted_repeats(d))), "documents"),
+    "op13_source_divergence": _over(source_divergence, "documents"),
 }
 
+_TERM = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 _CONTROL = CONTROL.replace("\\[", "[[]").replace("\\]", "[]]")
 
 ORACLE: dict[str, str] = {
@@ -82,4 +85,32 @@ ORACLE: dict[str, str] = {
                CASE WHEN size >= {MIN_REVISIT_BYTES} AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN size >= {MIN_REVISIT_BYTES} AND page_id < last THEN last END AS refers_to
         FROM ranked""",
+    "op13_source_divergence": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{_TERM}') AS words
+            FROM documents),
+        w AS (SELECT doc, lang, source, unnest(words) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT doc) >= {MIN_DOCS}),
+        langs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+        counts AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+        sizes AS (SELECT lang, source, sum(n) AS n FROM counts GROUP BY lang, source),
+        groups AS (SELECT DISTINCT lang, source FROM d),
+        priced AS (
+            SELECT lang, source, term, coalesce(counts.n, 0) AS n,
+                   1 + {SCALE} * (coalesce(counts.n, 0) + {SMOOTHING}) // (coalesce(sizes.n, 0) + {SMOOTHING} * v) AS p,
+                   1 + {SCALE} * (kept.n + {SMOOTHING}) // (langs.n + {SMOOTHING} * v) AS q
+            FROM groups JOIN langs USING (lang) JOIN kept USING (lang)
+            LEFT JOIN sizes USING (lang, source) LEFT JOIN counts USING (lang, source, term)),
+        apart AS (
+            SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+            FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+            GROUP BY a.lang, a.source, b.source),
+        found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+            UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM priced WHERE n > 0 AND p > q)
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+        WHERE part = 'pair' OR rank <= {TOP_TERMS}""",
 }
