@@ -18,6 +18,7 @@ from storelake.llm.sharding import shard_rows
 from storelake.llm.shared import UPPER, read_table, ship_package
 from storelake.llm.simhash_near import near_duplicates
 from storelake.llm.source_divergence import MIN_DOCS, SCALE, SMOOTHING, TOP_TERMS, source_divergence
+from storelake.llm.vector_search import TOP, UNIT, top_vectors
 from storelake.llm.warc import MIN_REVISIT_BYTES, archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +43,7 @@ QUERIES: dict[str, Query] = {
     "op9_simhash_near": _over(near_duplicates, "documents"),
     "op10_warc": _over(archived_pages, "pages"),
     "op11_periodic_runs": _over(lambda d: run_digests(periodic_runs(with_planted_repeats(d))), "documents"),
+    "op12_vector_search": _over(top_vectors, "embeddings"),
     "op13_source_divergence": _over(source_divergence, "documents"),
 }
 
@@ -85,6 +87,19 @@ ORACLE: dict[str, str] = {
                CASE WHEN size >= {MIN_REVISIT_BYTES} AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN size >= {MIN_REVISIT_BYTES} AND page_id < last THEN last END AS refers_to
         FROM ranked""",
+    "op12_vector_search": f"""
+        WITH v AS (
+            SELECT vec_id, row_number() OVER () AS own,
+                   list_transform(embedding, lambda x: CAST(floor({UNIT} * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+              AND list_count(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.own, q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.vec, v.vec) AS BIGINT) AS score
+            FROM v q JOIN v ON len(q.vec) = len(v.vec) AND q.own <> v.own WHERE q.vec_id % 20 = 0)
+        SELECT query_id, rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS rank FROM scored)
+        WHERE rank <= {TOP}""",
     "op13_source_divergence": f"""
         WITH d AS (
             SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
