@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from storelake.functions.dates import moment
 from storelake.operators import marts, staging
 from storelake.sources.schemas import CURSOR
-from storelake.sources.tables import TableStore, latest_by_key
+from storelake.sources.tables import TableStore
 from storelake.sources.types import align_to_schema
 
 STAGING: dict[str, tuple[str, Callable[..., DataFrame]]] = {
@@ -155,9 +155,6 @@ class Lake:
             return self.store.merge(rows, where, [mart.unique_key], "updated_at", parts, mart.on_schema_change)
         if stored and not full_refresh and mart.on_schema_change == "fail":
             rows = align_to_schema(rows, self.store.schema(where), "fail")
-        if mart.unique_key:  # As a merge would: raw tables may hold a document more than once.
-            keyed = F.col(mart.unique_key).isNotNull()
-            rows = latest_by_key(rows.filter(keyed), [mart.unique_key], "updated_at").unionByName(rows.filter(~keyed))
-        return self.store.replace(rows, where, parts)
-
-
+        # As a merge would: raw tables may hold a document more than once.
+        unique = [mart.unique_key] if mart.unique_key else []
+        return self.store.replace(rows, where, parts, unique, "updated_at")

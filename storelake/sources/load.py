@@ -21,6 +21,8 @@ DISPOSITIONS = ("skip", "append", "replace", "merge")
 # Collections that grow without end are stored by month of creation, so a merge rewrites few months.
 BY_MONTH = ("orders", "transactions", "carts")
 MONTH = "created_month"
+# The other keyed collections are stored by bucket of their key, so a merge rewrites the buckets it touches.
+KEY_BUCKETS = {"users": 32, "products": 32, "variants": 32}
 _STATE = "state/cursors"
 
 
@@ -43,9 +45,11 @@ def _save_cursor(store: TableStore, collection: str, value: str) -> None:
 
 def load(collections: Mapping[str, DataFrame], store: TableStore, disposition: str = "merge",
          initial: dt.datetime | str = INITIAL_TIMESTAMP, layer: str = "raw",
-         rejected: Mapping[str, DataFrame] | None = None) -> dict[str, int | None]:
+         rejected: Mapping[str, DataFrame] | None = None, on_schema_change: str = "align") -> dict[str, int | None]:
     """Write each collection to ``layer/<name>``; returns the new version, None where skipped.
 
+    ``on_schema_change="sync"`` lets a merge add the fields that the table lacks.
+
     A collection with ``rejected`` pages keeps its cursor: what they hold may be older than what was read,
     and is read once the pages are mended. The keyed merge makes reading the others again harmless.
     """
@@ -65,7 +69,7 @@ def load(collections: Mapping[str, DataFrame], store: TableStore, disposition: s
         if disposition != "merge":
             versions[name] = getattr(store, disposition)(stored, table, parts)
             continue
-        versions[name] = store.merge(stored, table, [PRIMARY_KEY], CURSOR, parts)
+        versions[name] = store.merge(stored, table, [PRIMARY_KEY], CURSOR, parts, on_schema_change, KEY_BUCKETS.get(name, 0))
         # From the stored rows, which hold the batch: the pages are not parsed again.
         latest = store.high_water(table, CURSOR)
         if latest is not None and not (rejected and name in rejected and not rejected[name].isEmpty()):

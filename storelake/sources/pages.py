@@ -138,9 +138,13 @@ def incremental_extract(
     initial: dt.datetime | str = INITIAL_TIMESTAMP,
     cursor_column: str = CURSOR,
 ) -> DataFrame:
-    """Documents changed at or after the saved cursor; ``initial`` serves the first run only."""
+    """Documents changed at or after the saved cursor; ``initial`` serves the first run only.
+
+    Documents that don't say when they changed come along every time: a keyed merge takes them where it
+    has nothing newer.
+    """
     start = moment(initial if cursor is None else cursor, documents.schema[cursor_column].dataType)
-    return documents.filter(F.col(cursor_column) >= start)
+    return documents.filter((F.col(cursor_column) >= start) | F.col(cursor_column).isNull())
 
 
 def advance_cursor(

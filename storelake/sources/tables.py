@@ -7,7 +7,8 @@ nothing visible. Committing is the creation of the manifest, which fails if it a
 needs a file system with exclusive create. On an object store without it, let one writer at a time
 change a table.
 
-A merge rewrites only the partitions that hold a changed key, not the table.
+A merge rewrites only the partitions that hold a changed key, not the table. A table without a natural
+partition is stored in buckets of its key, so that the buckets of the changed keys are known without a scan.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +27,7 @@ from storelake.functions.dates import moment_text
 from storelake.sources.types import align_to_schema
 
 _LOAD = "load_id"
+_BUCKET = "key_bucket"
 _local_roots: dict[str, str] = {}
 
 
@@ -42,12 +44,29 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
-def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: str | None) -> DataFrame:
-    """One row per key, the newest. Aggregates map-side, so a much repeated key does not pile up."""
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of more than one row; rows with a NULL key have none. Counts keys only, by hash."""
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    counts = df.filter(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter("_n > 1").select(*keys)
+
+
+def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: str | None, repeated: DataFrame | None = None) -> DataFrame:
+    """One row per key, the newest, and every row with a NULL key.
+
+    Whole rows are compared for the ``repeated`` keys alone, all others pass. The comparison combines
+    map-side, so a much repeated key does not pile up.
+    """
+    repeated = repeated_keys(df, keys) if repeated is None else repeated
     row = F.struct(*df.columns)
     rank = F.struct(F.col(order_by), row) if order_by in df.columns else row
-    newest = df.groupBy(*keys).agg(F.max_by(row, rank).alias("row"))
-    return newest.select("row.*")
+    several = df.join(repeated, list(keys), "left_semi").select(*df.columns)
+    newest = several.groupBy(*keys).agg(F.max_by(row, rank).alias("row")).select("row.*")
+    return df.join(repeated, list(keys), "left_anti").select(*df.columns).unionByName(newest)
+
+
+def _bucket(spread: dict) -> Column:
+    return F.pmod(F.xxhash64(*spread["keys"]), F.lit(spread["n"])).alias(_BUCKET)
 
 
 class TableStore:
@@ -105,43 +124,69 @@ class TableStore:
             return self.replace(df, name, partition_by)
         current = self.manifest(name)
         fitted = align_to_schema(df, T.StructType.fromJson(current["schema"]), on_schema_change)
-        return self._commit(fitted, name, current["partition_by"], keep=current["dirs"])
+        return self._commit(fitted, name, current["partition_by"], current["dirs"], [], current.get("buckets"))
+
+    def replace(self, df: DataFrame, name: str, partition_by: Sequence[str] = (), keys: Sequence[str] = (),
+                order_by: str | None = None, buckets: int = 0) -> int:
+        """The whole load becomes the table; the first load creates it.
 
-    def replace(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
-        """The whole load becomes the table; the first load creates it."""
-        return self._commit(df, name, list(partition_by), keep=[])
+        With ``keys`` the newest row per key stays. The rows are written as they come, then their keys are
+        counted; only if a key repeats is the written load read again without its older rows. ``buckets``
+        stores the table by that many buckets of its keys.
+        """
+        parts, spread = list(partition_by), {"keys": list(keys), "n": buckets} if keys and buckets else None
+        dirs = self._write(df, name, parts, spread)
+        if keys:
+            held = self._scan(name, {"schema": df.schema.jsonValue(), "dirs": dirs})
+            repeated = repeated_keys(held, keys)
+            if not repeated.isEmpty():
+                first, dirs = dirs, self._write(latest_by_key(held, keys, order_by, repeated), name, parts, spread)
+                for folder in {d.split("/")[0] for d in first}:
+                    self._fs.delete(self._path(f"{self._home(name)}/data/{folder}"), True)
+        return self._publish(df, name, parts, dirs, [], spread)
 
     def skip(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int | None:
         return None if self.exists(name) else self.replace(df, name, partition_by)
 
     def merge(self, df: DataFrame, name: str, keys: Sequence[str] = ("id",),
               order_by: str | None = "updatedAt", partition_by: Sequence[str] = (),
-              on_schema_change: str = "align") -> int:
-        """Upsert: the batch's newest row per key replaces the stored one.
+              on_schema_change: str = "align", buckets: int = 0) -> int:
+        """Upsert: of a key's rows in the batch and the table the newest stays, of equally old ones the batch's.
 
-        Rows with a NULL key match nothing and are appended, as is a batch without the key columns.
+        So batches may come in any order. A row without a time is older than any with one; without
+        ``order_by`` the batch always wins. Rows with a NULL key match nothing and are appended, as is a batch
+        without the key columns. ``partition_by`` and ``buckets`` say how a new table is stored.
         """
         keys = list(keys)
         if not keys or not set(keys) <= set(df.columns):
             return self.append(df, name, partition_by, on_schema_change)
-        no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        batch = latest_by_key(df.filter(~no_key), keys, order_by).unionByName(df.filter(no_key))
         if not self.exists(name):
-            return self.replace(batch, name, partition_by)
+            return self.replace(df, name, partition_by, keys, order_by, buckets)
 
         current = self.manifest(name)
         stored = T.StructType.fromJson(current["schema"])
-        batch, path = self._written(align_to_schema(batch, stored, on_schema_change), name)
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        batch, path = self._written(align_to_schema(df, stored, on_schema_change), name)
+        paths, repeated = [path], repeated_keys(batch, keys)
+        if not repeated.isEmpty():
+            batch, path = self._written(latest_by_key(batch, keys, order_by, repeated), name)
+            paths.append(path)
         if set(batch.columns) <= set(stored.names) and batch.isEmpty():
             return self.versions(name)[-1]
-        changed = batch.filter(~no_key).select(*keys)
         parts, dirs = current["partition_by"], current["dirs"]
-        touched = self._touched(name, current, changed, keys) if parts else set(dirs)
+        changed = batch.filter(known).select(*keys)
+        touched = self._touched(name, current, changed, keys)
         if touched:
             scope = self._scan(name, {**current, "dirs": [d for d in dirs if d in touched]})
+            if order_by in stored.names and order_by in batch.columns:
+                times = scope.join(changed, keys, "left_semi").groupBy(*keys).agg(F.max(order_by).alias("_stored"))
+                newer = F.col("_stored").isNull() | F.coalesce(F.col(order_by) >= F.col("_stored"), F.lit(False))
+                batch = batch.join(times, keys, "left").filter(newer).select(*batch.columns)
+                changed = batch.filter(known).select(*keys)
             batch = scope.join(changed, keys, "left_anti").unionByName(batch, allowMissingColumns=True)
             batch = batch.select(*[c for c in stored.names], *[c for c in batch.columns if c not in stored.names])
-        return self._commit(batch, name, parts, keep=[d for d in dirs if d not in touched], batch=path)
+        kept = [d for d in dirs if d not in touched]
+        return self._commit(batch, name, parts, kept, paths, current.get("buckets"))
 
     def high_water(self, name: str, column: str) -> str | None:
         """Largest stored time of a column as text, None for an empty or missing table."""
@@ -154,7 +199,7 @@ class TableStore:
         """Delete what the manifests of a table list, and nothing else."""
         home, versions = self._home(name), self.versions(name)
         bodies = [self.manifest(name, v) for v in versions]
-        listed = {f"data/{d}" for b in bodies for d in b["dirs"]} | {b["batch"] for b in bodies if b["batch"]}
+        listed = {f"data/{d}" for b in bodies for d in b["dirs"]} | {p for b in bodies for p in b["batches"]}
         gone = sorted(f"{home}/{p}" for p in listed) + [self._version_file(name, v) for v in versions]
         for version in versions:
             self._frames.pop((name, version), None)
@@ -191,9 +236,16 @@ class TableStore:
     def _touched(self, name: str, current: dict, changed: DataFrame, keys: list[str]) -> set[str]:
         """Stored directories that hold a changed key.
 
-        Reads only the key columns, and of those only the row groups within the range of the changed
-        keys: the range is resolved first, so that it reaches the scan.
+        Those of a bucketed table follow from the keys. Else only the key columns are read, and of those only
+        the row groups within the range of the changed keys: the range is resolved first, so that it reaches
+        the scan. A table without partitions counts as one.
         """
+        spread = current.get("buckets")
+        if spread and spread["keys"] == keys:
+            hit = {f"{_BUCKET}={r[0]}" for r in changed.select(_bucket(spread)).distinct().collect()}  # At most all buckets.
+            return {d for d in current["dirs"] if d.split("/")[-1] in hit}
+        if not spread and not current["partition_by"]:
+            return set(current["dirs"])
         held = self._scan(name, current)
         ranged = [k for k in keys if isinstance(held.schema[k].dataType, (T.IntegralType, T.StringType))]
         if ranged:
@@ -215,22 +267,31 @@ class TableStore:
         df.write.parquet(f"{self._home(name)}/{folder}")
         return self.spark.read.schema(df.schema).parquet(f"{self._home(name)}/{folder}"), folder
 
-    def _commit(self, df: DataFrame, name: str, parts: list[str], keep: list[str], batch: str | None = None) -> int:
-        known = self.versions(name)
-        version = known[-1] + 1 if known else 1
-        load = f"{_LOAD}=v{version:08d}-{uuid.uuid4().hex[:8]}"
+    def _write(self, df: DataFrame, name: str, parts: list[str], spread: dict | None) -> list[str]:
+        """A load as Parquet below the table, not yet part of it; returns its directories."""
+        load = f"{_LOAD}=v{uuid.uuid4().hex}"
         target = f"{self._home(name)}/data/{load}"
-        if parts:
-            # Rebalancing gives each partition files of the advisory size and splits a hot partition.
-            df.hint("rebalance", *parts).write.partitionBy(*parts).parquet(target)
-            dirs = [f"{load}/{d}" for d in self._names(target) if "=" in d]
-        else:
+        if spread:
+            df, parts = df.withColumn(_BUCKET, _bucket(spread)), [_BUCKET, *parts]
+        if not parts:
             df.write.parquet(target)
-            dirs = [load]
-        body = {"schema": df.schema.jsonValue(), "partition_by": parts, "dirs": keep + dirs, "batch": batch}
+            return [load]
+        # Rebalancing gives each partition files of the advisory size and splits a hot partition.
+        df.hint("rebalance", *parts).write.partitionBy(*parts).parquet(target)
+        return [f"{load}/{d}" for d in self._names(target) if "=" in d]
+
+    def _publish(self, df: DataFrame, name: str, parts: list[str], dirs: list[str], batches: list[str],
+                 spread: dict | None) -> int:
+        known = self.versions(name)
+        version = known[-1] + 1 if known else 1
+        body = {"schema": df.schema.jsonValue(), "partition_by": parts, "dirs": dirs, "batches": batches, "buckets": spread}
         out = self._fs.create(self._path(self._version_file(name, version)), False)
         try:
             out.write(bytearray(json.dumps(body), "utf-8"))
         finally:
             out.close()
         return version
+
+    def _commit(self, df: DataFrame, name: str, parts: list[str], keep: list[str], batches: list[str],
+                spread: dict | None) -> int:
+        return self._publish(df, name, parts, keep + self._write(df, name, parts, spread), batches, spread)

@@ -13,7 +13,7 @@ from storelake.plans.models import MARTS, Lake
 from storelake.sources import inspect, pages, types
 from storelake.sources.load import cursors, load, raw_tables, reset_cursors
 from storelake.sources.schemas import COLLECTIONS, collection_schema
-from storelake.sources.tables import TableStore
+from storelake.sources.tables import TableStore, repeated_keys
 from storelake.streaming.upsert import read_page_stream, stream_upsert
 from storelake.workspace import AS_OF, SPINE, workspace
 
@@ -74,6 +74,44 @@ def test_merge_rewrites_only_touched_partitions(spark, store):
     assert rows(store.read("t", 1)) == [(0, "a"), (1, "a"), (2, "a"), (3, "a")]
 
 
+def test_merge_order_does_not_matter(spark, store):
+    """Whatever batch comes first, the newest row per key stays, of equal times the later batch's."""
+    january, february = batch(spark, [(1, "jan", stamp(1)), (2, "b", stamp(5)), (4, "t", None)]), batch(
+        spark, [(1, "feb", stamp(9)), (2, "c", stamp(5)), (3, "d", stamp(2)), (4, "u", stamp(1))])
+    for name, order in (("up", (january, february)), ("down", (february, january))):
+        for one in order:
+            store.merge(one, name)
+    assert rows(store.read("up")) == [(1, "feb"), (2, "c"), (3, "d"), (4, "u")]
+    assert rows(store.read("down")) == [(1, "feb"), (2, "b"), (3, "d"), (4, "u")]
+    store.merge(january.filter("id = 1").drop("updatedAt"), "up")
+    assert (1, "feb") in rows(store.read("up"))  # No time is older than any.
+
+
+def test_bucketed_table_rewrites_one_bucket_for_one_row(spark, store):
+    wide = spark.range(400).select("id", F.lit("a").alias("v"), F.lit(stamp(1)).alias("updatedAt"))
+    store.merge(wide.unionAll(wide), "t", buckets=16)
+    assert store.read("t").columns == ["id", "v", "updatedAt"] and store.read("t").count() == 400
+    before = set(store.manifest("t")["dirs"])
+    store.merge(batch(spark, [(7, "b", stamp(2)), (None, "n", stamp(2))]), "t")
+    after = set(store.manifest("t")["dirs"])
+    assert len(before) == 16 and len(before - after) == 1
+    got = dict(rows(store.read("t")))
+    assert len(got) == 401 and got[7] == "b" and got[None] == "n" and store.read("t").filter("v = 'a'").count() == 399
+    store.merge(batch(spark, [(400 + i, "c", stamp(3)) for i in range(200)]), "t")
+    assert store.read("t").count() == 601
+
+
+def test_first_build_sorts_nothing_unless_keys_repeat(spark, store):
+    plain = spark.range(50).select("id", F.lit("a").alias("v"))
+    text = repeated_keys(plain, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in text and "SortAggregate" not in text
+    store.replace(plain, "t", keys=["id"])
+    assert len(store.manifest("t")["dirs"]) == 1 and store.read("t").count() == 50
+    twice = plain.unionAll(plain.withColumn("v", F.lit("b"))).unionAll(spark.range(3).selectExpr("cast(null as bigint)", "'n'"))
+    store.replace(twice, "t", keys=["id"])
+    assert store.read("t").filter("v = 'b'").count() == 50 and store.read("t").count() == 53
+
+
 def test_empty_merge_changes_nothing(spark, store):
     store.replace(batch(spark, [(1, "a", stamp(1))]), "t")
     assert store.merge(batch(spark, []), "t") == 1 == store.versions("t")[-1]
@@ -146,6 +184,8 @@ def test_cursor(spark):
     since = pages.incremental_extract(docs, stamp(4), stamp(2))
     assert sorted(r["id"] for r in since.collect()) == [4, 5]
     assert pages.advance_cursor(since).first()[0] == stamp(5)
+    timeless = docs.unionAll(batch(spark, [(9, "x", None)]))
+    assert sorted(r["id"] for r in pages.incremental_extract(timeless, stamp(4)).collect()) == [4, 5, 9]
     assert pages.advance_cursor(since.limit(0), stamp(4)).first()[0] == stamp(4)
 
 
