@@ -54,6 +54,13 @@ RELATIONS = {
         CAST(round(l_extendedprice * 100) AS BIGINT)) AS item_id, l_orderkey AS order_id, l_partkey AS product_id,
         CASE WHEN l_linenumber % 2 = 1 THEN l_partkey * 10 + 1 END AS variant_id,
         CAST(l_quantity AS BIGINT) AS quantity FROM lineitem""",
+    # lines of whole order documents
+    "wline": """SELECT id AS order_id, id || '-' || j AS item_id, j, 1 + (id * 31 + j * 17) % 200 AS part,
+        (id + j) % 7 + 1 AS quantity, made FROM (SELECT id, made, unnest(range(1, id % 6)) AS j FROM ord WHERE id % 6 >= 2)""",
+    "witem": """SELECT item_id, order_id, CASE WHEN j <> 3 THEN part END AS product_id,
+        CASE WHEN j = 1 THEN part * 10 + 1 END AS variant_id, quantity, made FROM wline""",
+    "wf_item": """SELECT witem.*, coalesce(vari.cents, prod.cents, 0) AS unit, quantity * coalesce(vari.cents, prod.cents, 0) AS total
+        FROM witem LEFT JOIN vari ON vari.id = witem.variant_id LEFT JOIN prod ON prod.id = witem.product_id""",
     "prod": f"""SELECT p_partkey AS id, p_name AS title, {slug('p_name')} || '-' || p_partkey AS slug,
         p_type || ' ' || p_brand AS description, CAST(round(p_retailprice * 100) AS BIGINT) AS cents,
         p_partkey * 7 % 60 AS inventory, p_size > 25 AS has_variants, p_partkey % 17 <> 0 AS has_categories,
@@ -135,7 +142,11 @@ def _with(body: str) -> str:
     return f"WITH {head}\n{body}" if ordered else body
 
 
-PLAIN_ORDERS = 'SELECT id, cents AS amount, status, made AS "createdAt", made AS "updatedAt" FROM ord'
+ORDER_HEAD = """id, '{"id":' || customer_id || '}' AS customer, printf('Customer#%09d@example.test', customer_id) AS "customerEmail",
+        'USD' AS currency, status"""
+PLAIN_ORDERS = f'SELECT {ORDER_HEAD}, cents AS amount, made AS "createdAt", made AS "updatedAt" FROM ord'
+CHANGED_ORDERS = f"""SELECT {ORDER_HEAD}, CASE WHEN made >= {CUTOFF} THEN cents + 2 ELSE cents END AS amount,
+        made AS "createdAt", CASE WHEN made >= {CUTOFF} THEN made + INTERVAL 2 HOUR ELSE made END AS "updatedAt" FROM ord"""
 BORN_STAMPS = f"{BORN} AS created_at, {BORN} AS updated_at"
 STAMPS = "made AS created_at, made AS updated_at"
 F_ORDERS = f"""SELECT id AS order_id, customer_id, {usd('cents')} AS amount_usd, 'USD' AS currency, status,
@@ -363,16 +374,21 @@ _QUERIES = {
         UNION ALL SELECT * FROM (SELECT 'products', id, {BORN} FROM prod ORDER BY id LIMIT 10)""",
     "write_append": PLAIN_ORDERS,
     "write_replace": f"{PLAIN_ORDERS} WHERE made >= {CUTOFF}",
-    "write_merge": f"""SELECT id, CASE WHEN made >= {CUTOFF} THEN cents + 2 ELSE cents END AS amount, status,
-        made AS "createdAt", CASE WHEN made >= {CUTOFF} THEN made + INTERVAL 2 HOUR ELSE made END AS "updatedAt" FROM ord""",
+    "write_merge": CHANGED_ORDERS,
     "create_if_missing": PLAIN_ORDERS,
-    "incremental_load": f"""SELECT id, CASE WHEN made >= {CUTOFF} THEN cents + 2 ELSE cents END AS amount, status,
-        made AS "createdAt", CASE WHEN made >= {CUTOFF} THEN made + INTERVAL 2 HOUR ELSE made END AS "updatedAt"
-        FROM ord""",
+    "incremental_load": CHANGED_ORDERS,
+    "landed_load": f"""SELECT c.*, CASE id % 6 WHEN 0 THEN NULL WHEN 1 THEN '[]' ELSE (
+        SELECT '[' || string_agg('{{"id":"' || item_id || '","product":' || CASE j WHEN 3 THEN '' || part ELSE '{{"id":' || part || '}}' END
+            || ',"quantity":' || quantity || ',"variant":' || CASE j WHEN 3 THEN '' || (part * 10 + 1)
+            WHEN 1 THEN '{{"id":' || (part * 10 + 1) || '}}' ELSE 'null' END || '}}', ',' ORDER BY j) || ']'
+        FROM wline WHERE order_id = c.id) END AS items FROM ({CHANGED_ORDERS}) c""",
+    "inferred_fields": """SELECT c_custkey AS id, CAST(round(c_acctbal * 100) AS BIGINT) AS points,
+        '{"country":' || c_nationkey || ',"label":"' || c_mktsegment || '"}' AS "homeAddress",
+        CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 2 = 0 END AS newsletter,
+        CASE WHEN c_custkey % 2 = 0 THEN c_custkey / 4 END AS rating FROM customer""",
     "preview": f"""SELECT id AS transaction_id, {usd('cents')} AS amount_usd, paid AS status FROM ord
         ORDER BY id LIMIT 5""",
     "write_skip": f"{PLAIN_ORDERS} WHERE made < {CUTOFF}",
-    "time_travel_read": PLAIN_ORDERS,
     "align_to_schema": "SELECT id, status, CAST(cents AS DOUBLE) AS amount, CAST(NULL AS DOUBLE) AS discount FROM ord",
     "map_types": """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity AS quantity,
         CAST(CAST(l_extendedprice AS DECIMAL(12, 2)) AS VARCHAR) AS price, l_returnflag = 'R' AS returned,
@@ -395,10 +411,19 @@ _QUERIES = {
         UNION ALL SELECT 'raw_updated', CAST(max(made) AS VARCHAR) FROM ord
         UNION ALL SELECT 'marts', CAST(max(day) AS VARCHAR) FROM ord""",
     "stream_upsert": """SELECT id, CASE WHEN customer_id IS NOT NULL THEN '{"id":' || customer_id || '}' END AS customer,
-        cents AS subtotal, date_trunc('millisecond', bought) AS "purchasedAt",
+        '[{"product":{"id":' || product_id || '}' || CASE WHEN with_variant THEN ',"variant":{"id":' || (product_id * 10 + 1) || '}' ELSE '' END
+            || ',"quantity":' || quantity || '}]' AS items, 'USD' AS currency, cents AS subtotal,
+        date_trunc('millisecond', bought) AS "purchasedAt", date_trunc('millisecond', made) AS "createdAt",
         date_trunc('millisecond', made) AS "updatedAt" FROM cart""",
     "stg_orders": f"""SELECT id AS order_id, customer_id, cents AS amount, 'USD' AS currency, status, {STAMPS} FROM ord""",
     "stg_order_items": "SELECT item_id AS order_item_id, order_id, product_id, variant_id, quantity FROM item",
+    "stg_order_items_whole": "SELECT item_id AS order_item_id, order_id, product_id, variant_id, quantity FROM witem",
+    "stg_order_items_bare": """SELECT item_id AS order_item_id, order_id, part AS product_id,
+        CASE WHEN j % 2 = 1 THEN part * 10 + 1 END AS variant_id, quantity FROM wline""",
+    "fact_orders_whole": f"""SELECT id AS order_id, customer_id, {usd('cents')} AS amount_usd, 'USD' AS currency, status,
+        day AS order_date, {STAMPS}, CASE WHEN id % 6 >= 2 THEN id % 6 - 1 ELSE 0 END AS item_count FROM ord""",
+    "fact_order_items_whole": F_ITEMS.replace("f_item", "wf_item"),
+    "incremental_build_whole": F_ITEMS.replace("f_item", "wf_item"),
     "stg_transactions": f"""SELECT id AS transaction_id, id AS order_id, customer_id, cents AS amount, 'USD' AS currency,
         'stripe' AS payment_method, paid AS status, {STAMPS} FROM ord""",
     "stg_carts": f"""SELECT id AS cart_id, customer_id, 'USD' AS currency, cents AS subtotal, bought AS purchased_at,

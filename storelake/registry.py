@@ -11,16 +11,16 @@ from pyspark.sql import types as T
 
 from storelake.functions.dates import moment
 from storelake.operators import collections as docs
-from storelake.operators import marts, quality
+from storelake.operators import marts, quality, staging
 from storelake.plans import (
     affinity, cohorts, customers, distribution, kpi, payments, products, rfm, sales,
 )
 from storelake.plans.models import MARTS, STAGING, Lake
 from storelake.sources import inspect, pages, types
-from storelake.sources.load import load, raw_tables
+from storelake.sources.load import load, load_landed, raw_tables
 from storelake.sources.schemas import COLLECTIONS, collection_schema
 from storelake.streaming.upsert import read_page_stream, stream_upsert
-from storelake.workspace import AS_OF, SPINE, Workspace, name_id, workspace
+from storelake.workspace import AS_OF, SPINE, Workspace, land, name_id, workspace
 
 CUTOFF = dt.datetime(2001, 6, 1)
 SEASON = (dt.datetime(2000, 11, 1), dt.datetime(2000, 12, 31))
@@ -36,12 +36,8 @@ Query = Callable[[Workspace], DataFrame]
 # --- sources and sinks ------------------------------------------------------------------------
 
 
-def _plain_orders(w: Workspace) -> DataFrame:
-    return w.raw["orders"].select("id", "amount", "status", "createdAt", "updatedAt")
-
-
 def _older_newer(w: Workspace) -> tuple[DataFrame, DataFrame]:
-    orders = _plain_orders(w)
+    orders = w.raw["orders"]
     late = F.col("updatedAt") >= moment(CUTOFF, T.TimestampNTZType())
     return orders.filter(~late), orders.filter(late)
 
@@ -49,8 +45,7 @@ def _older_newer(w: Workspace) -> tuple[DataFrame, DataFrame]:
 def _changed(rows: DataFrame) -> DataFrame:
     """Two later versions of each row, in one batch: the newest must win."""
     def version(n: int) -> DataFrame:
-        return rows.select("id", (F.col("amount") + n).alias("amount"), "status", "createdAt",
-                           (F.col("updatedAt") + F.expr(f"interval {n} hours")).alias("updatedAt"))
+        return rows.withColumns({"amount": F.col("amount") + n, "updatedAt": F.col("updatedAt") + F.expr(f"interval {n} hours")})
     return version(2).unionAll(version(1))
 
 
@@ -88,7 +83,7 @@ def _write_skip(w: Workspace) -> DataFrame:
 
 def _create_if_missing(w: Workspace) -> DataFrame:
     store = w.fresh_store()
-    store.append(_plain_orders(w), "orders")
+    store.append(w.raw["orders"], "orders")
     return store.read("orders")
 
 
@@ -100,13 +95,44 @@ def _incremental_load(w: Workspace) -> DataFrame:
     return raw_tables(store)["orders"]
 
 
+def _landed_load(w: Workspace) -> DataFrame:
+    """Page files of changed new orders land first, those of all orders later: only new files are read, the newest rows stay."""
+    store, orders = w.fresh_store(), w.whole_orders
+    root, late = f"{store.root}/landing", F.col("updatedAt") >= moment(CUTOFF, T.TimestampNTZType())
+    for part in (_changed(orders.filter(late)), orders):
+        land(part, f"{root}/orders", nested=("customer", "items"))
+        load_landed(store, root, ["orders"], zoned=False)
+    return raw_tables(store)["orders"]
+
+
+def _more_fields(w: Workspace) -> DataFrame:
+    """Users with fields that no schema declares; some documents lack them."""
+    known = w.source("customer").select(
+        F.col("c_custkey").alias("id"), F.round(F.col("c_acctbal") * 100).cast("bigint").alias("points"),
+        F.struct(F.col("c_nationkey").alias("country"), F.col("c_mktsegment").alias("label")).alias("homeAddress"),
+        F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey") % 2 == 0).alias("newsletter"))
+    return w.raw["users"].join(known, "id")
+
+
+def _inferred_fields(w: Workspace) -> DataFrame:
+    """A table made of landed pages takes its columns from them; later pages add a field."""
+    store = w.fresh_store()
+    root, users = f"{store.root}/landing", _more_fields(w)
+    land(users.filter("id % 2 = 1"), f"{root}/users")
+    load_landed(store, root, ["users"], zoned=False)
+    land(users.filter("id % 2 = 0").withColumn("rating", F.col("id") / 4), f"{root}/users")
+    load_landed(store, root, ["users"], zoned=False)
+    return raw_tables(store)["users"].select("id", "points", "homeAddress", "newsletter", "rating")
+
+
 def _read_collection_pages(w: Workspace) -> DataFrame:
-    return pages.read_collection_pages(w.spark, w.landed("users") + "/users", collection_schema("users", zoned=False))
+    folder = w.landed("users") + "/users"
+    return pages.read_collection_pages(w.spark, folder, collection_schema("users", zoned=False), landing=w.landing, collection="users")
 
 
 def _read_collections(w: Workspace) -> DataFrame:
     names = tuple(COLLECTIONS)
-    sets = pages.read_collections(w.spark, w.landed(*names), names, zoned=False)
+    sets = pages.read_collections(w.spark, w.landed(*names), names, zoned=False, landing=w.landing)
     return inspect.layer_counts(sets).withColumnRenamed("layer", "collection")
 
 
@@ -118,7 +144,7 @@ def _debug_sample(w: Workspace) -> DataFrame:
 
 def _align(w: Workspace) -> DataFrame:
     stored = T.StructType.fromDDL("id bigint, status string, amount double, discount double")
-    return types.align_to_schema(_plain_orders(w), stored)
+    return types.align_to_schema(w.raw["orders"], stored)
 
 
 def _map_types(w: Workspace) -> DataFrame:
@@ -186,8 +212,8 @@ def _schema_change(w: Workspace) -> DataFrame:
 def _stream_upsert(w: Workspace) -> DataFrame:
     store, folder = w.fresh_store(), w.landed("carts")
     documents = read_page_stream(w.spark, f"{folder}/carts", collection_schema("carts", zoned=False))
-    stream_upsert(documents, store, "carts", f"{store.root}/checkpoint").awaitTermination()
-    return store.read("carts").select("id", "customer", "subtotal", "purchasedAt", "updatedAt")
+    stream_upsert(documents, store, "carts", f"{store.root}/checkpoint", buckets=8).awaitTermination()
+    return store.read("carts")
 
 
 # --- models -----------------------------------------------------------------------------------
@@ -213,6 +239,21 @@ def _incremental_build(name: str) -> Query:
     return run
 
 
+def _whole(name: str) -> Query:
+    """A fact built from order documents that hold all their lines."""
+    return lambda w: MARTS[name].build(w.whole_lake())
+
+
+def _whole_build(w: Workspace) -> DataFrame:
+    """Lines of whole documents: built from those known at a cutoff, then from the documents changed since."""
+    store = w.fresh_store()
+    early = w.whole_orders.filter(F.col("updatedAt") < moment(CUTOFF, T.TimestampNTZType()))
+    w.whole_lake(early, store).run_models("fact_order_items")
+    lake = w.whole_lake(None, store)
+    lake.run_models("fact_order_items")
+    return lake.table("fact_order_items").drop("order_month")
+
+
 def _run_tests(w: Workspace) -> DataFrame:
     return quality.run_tests({**w.raw, **_stored_marts(w)})
 
@@ -275,16 +316,17 @@ QUERIES: dict[str, Query] = {
     # sources and sinks
     "read_collection_pages": _read_collection_pages,
     "read_collections": _read_collections,
-    "incremental_extract": lambda w: pages.incremental_extract(_plain_orders(w), CUTOFF),
-    "advance_cursor": lambda w: pages.advance_cursor(pages.incremental_extract(_plain_orders(w), CUTOFF)),
+    "incremental_extract": lambda w: pages.incremental_extract(w.raw["orders"], CUTOFF),
+    "advance_cursor": lambda w: pages.advance_cursor(pages.incremental_extract(w.raw["orders"], CUTOFF)),
     "debug_sample": _debug_sample,
     "write_append": _write_append,
     "write_replace": _write_replace,
     "write_merge": lambda w: _merged(w).read("orders").drop("month"),
     "write_skip": _write_skip,
-    "time_travel_read": lambda w: _merged(w).read("orders", version=1).drop("month"),
     "create_if_missing": _create_if_missing,
     "incremental_load": _incremental_load,
+    "landed_load": _landed_load,
+    "inferred_fields": _inferred_fields,
     "align_to_schema": _align,
     "map_types": _map_types,
     "table_summary": lambda w: inspect.table_summary(_stored_marts(w)),
@@ -304,6 +346,11 @@ QUERIES: dict[str, Query] = {
     "dim_date": _dim_date,
     "incremental_build": _incremental_build("fact_orders"),
     "incremental_build_items": _incremental_build("fact_order_items"),
+    "stg_order_items_whole": lambda w: w.whole_lake().staged("stg_order_items"),
+    "stg_order_items_bare": lambda w: staging.stg_order_items(w.whole_orders, accept_bare=True),
+    "fact_orders_whole": _whole("fact_orders"),
+    "fact_order_items_whole": _whole("fact_order_items"),
+    "incremental_build_whole": _whole_build,
     # data tests
     "test_unique": lambda w: quality.test_unique(w.source("lineitem"), "l_orderkey"),
     "test_not_null": lambda w: quality.test_not_null(w.lake.staged("stg_carts"), "customer_id").select("cart_id"),

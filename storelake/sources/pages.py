@@ -1,7 +1,8 @@
 """Reading landed collection pages and extracting what changed since a cursor.
 
-Declared fields have their declared types. Every other top-level field of the documents is read too:
-its type is found in one distributed pass over the pages, and only the field names reach the driver.
+Declared fields have their declared types. Every other top-level field of the documents is read too: its
+type is found in one distributed pass over the pages, or comes from the catalogue of a ``Landing``, which
+examines each file once. Only the field names reach the driver.
 """
 
 from __future__ import annotations
@@ -15,43 +16,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelake.functions.dates import moment
+from storelake.sources.landing import Landing, field_kinds, page_texts, schema_of_fields
 from storelake.sources.schemas import (
     COLLECTIONS, CURSOR, INITIAL_TIMESTAMP, collection_schema, page_schema,
 )
 
 ON_BAD = ("fail", "reject")
 _BAD = "_unparsed_page"
-_TYPES = {"BIGINT": T.LongType(), "DOUBLE": T.DoubleType(), "BOOLEAN": T.BooleanType()}
 
 
-def _kind(value: Column) -> Column:
-    """Type of a JSON value: BIGINT, DOUBLE, BOOLEAN, VOID, or STRING for texts, nested values and numbers that no double holds."""
-    name = F.schema_of_variant(value)
-    digits = F.regexp_extract(name, r"^DECIMAL\((\d+),", 1)
-    return F.when(digits != "", F.when(digits.cast("int") <= 15, "DOUBLE").otherwise("STRING")) \
-        .when(name.isin(*_TYPES, "VOID"), name).otherwise("STRING")
-
-
-def found_schema(spark: SparkSession, path: str, documents: T.StructType, multi_line: bool = False) -> T.StructType:
+def found_schema(spark: SparkSession, path: str | list[str], documents: T.StructType, multi_line: bool = False,
+                 landing: Landing | None = None, collection: str = "") -> T.StructType:
     """The declared fields, then by name every other top-level field of the landed documents.
 
     Whole numbers are bigint, other numbers double, nested values and mixed types text. Pages that do
     not parse add nothing: the read itself fails on them or rejects them.
     """
-    def fields(kind: str) -> DataFrame:
-        reader = spark.read.schema(f"docs array<map<string,{kind}>>").option("multiLine", multi_line)
-        docs = reader.json(path).select(F.explode("docs").alias("doc"))
-        return docs.select(F.explode("doc").alias("name", "value")).filter(~F.col("name").isin(*documents.names))
-
-    # A variant refuses repeated keys within a value; the second reading still has the names on such a page.
-    typed = fields("variant").select("name", _kind(F.col("value")).alias("kind"))
-    named = fields("string").select("name", F.lit("VOID").alias("kind"))
-    rows = typed.unionAll(named).groupBy("name").agg(F.collect_set("kind").alias("kinds")).collect()
-    schema = T.StructType(list(documents.fields))
-    for name, kinds in sorted((r["name"], set(r["kinds"]) - {"VOID"}) for r in rows):
-        if kinds == {"BIGINT", "DOUBLE"}:
-            kinds = {"DOUBLE"}
-        schema.add(name, _TYPES.get(kinds.pop(), T.StringType()) if len(kinds) == 1 else T.StringType())
+    if landing:
+        schema = landing.schema(collection, path, documents, multi_line)
+    else:
+        schema = schema_of_fields(field_kinds(page_texts(spark, path, multi_line)), documents)
     columns = [_column(n).lower() for n in schema.names]
     clashing = [n for n, c in zip(schema.names, columns) if columns.count(c) > 1]
     if clashing:
@@ -65,22 +49,29 @@ def _column(field: str) -> str:
 
 
 def read_collection_pages(
-    spark: SparkSession, path: str, documents: T.StructType, multi_line: bool = False, on_bad: str = "fail",
+    spark: SparkSession, path: str | list[str], documents: T.StructType, multi_line: bool = False, on_bad: str = "fail",
+    landing: Landing | None = None, collection: str = "",
 ) -> DataFrame:
     """One row per document from page files ``{"docs": [...], "page": n, ...}``, with all its top-level fields.
 
     ``documents`` declares the fields whose type is known. Pages are one JSON object per line (splittable) unless ``multi_line`` says a file holds a
     single pretty-printed page. Nested values of a string field arrive as JSON text. A page that does
     not parse, holds a value of the wrong type, or has no ``docs`` fails the read; ``on_bad="reject"``
-    leaves such pages out whole, for ``read_rejected_pages`` to show.
+    leaves such pages out whole, for ``read_rejected_pages`` to show. With a ``landing`` the fields come
+    from its catalogue for that ``collection``, so that pages it knows are parsed once, for their values.
     """
     if on_bad not in ON_BAD:
         raise ValueError(f"on_bad must be one of {', '.join(ON_BAD)}")
-    documents = found_schema(spark, path, documents, multi_line)
+    return parsed_pages(spark, path, found_schema(spark, path, documents, multi_line, landing, collection), multi_line, on_bad)
+
+
+def parsed_pages(spark: SparkSession, path: str | list[str], fields: T.StructType, multi_line: bool = False,
+                 on_bad: str = "fail") -> DataFrame:
+    """The documents of pages whose fields are known, in one pass."""
     if on_bad == "reject":
-        return documents_of(_marked_pages(spark, path, documents, multi_line).filter(~_rejected()))
-    reader = spark.read.schema(page_schema(documents)).option("multiLine", multi_line).option("mode", "FAILFAST")
-    return documents_of(reader.json(path))
+        return documents_of(_marked_pages(spark, path, fields, multi_line).filter(~_rejected()))
+    reader = spark.read.schema(page_schema(fields)).option("multiLine", multi_line).option("mode", "FAILFAST")
+    return documents_of(reader.option("recursiveFileLookup", True).json(path))
 
 
 def documents_of(pages: DataFrame) -> DataFrame:
@@ -91,10 +82,11 @@ def documents_of(pages: DataFrame) -> DataFrame:
 
 
 def read_rejected_pages(
-    spark: SparkSession, path: str, documents: T.StructType, multi_line: bool = False,
+    spark: SparkSession, path: str | list[str], documents: T.StructType, multi_line: bool = False,
+    landing: Landing | None = None, collection: str = "",
 ) -> DataFrame:
     """(path, page): the file and text of every page that ``on_bad="reject"`` leaves out."""
-    documents = found_schema(spark, path, documents, multi_line)
+    documents = found_schema(spark, path, documents, multi_line, landing, collection)
     marked = _marked_pages(spark, path, documents, multi_line).filter(_rejected())
     return marked.select("path", F.coalesce(_BAD, F.lit("no docs")).alias("page"))
 
@@ -103,20 +95,20 @@ def _rejected() -> Column:
     return F.col(_BAD).isNotNull() | F.col("docs").isNull()
 
 
-def _marked_pages(spark: SparkSession, path: str, documents: T.StructType, multi_line: bool) -> DataFrame:
+def _marked_pages(spark: SparkSession, path: str | list[str], documents: T.StructType, multi_line: bool) -> DataFrame:
     schema = T.StructType([*page_schema(documents).fields, T.StructField(_BAD, T.StringType())])
     reader = spark.read.schema(schema).option("multiLine", multi_line).option("columnNameOfCorruptRecord", _BAD)
     # Both columns are used in every plan: the parser skips what nobody asks for, and with it the errors.
-    return reader.json(path).select("docs", _BAD, F.input_file_name().alias("path"))
+    return reader.option("recursiveFileLookup", True).json(path).select("docs", _BAD, F.col("_metadata.file_path").alias("path"))
 
 
 def read_collections(
     spark: SparkSession, root: str, names: Iterable[str] = tuple(COLLECTIONS), zoned: bool = True,
-    multi_line: bool = False, on_bad: str = "fail",
+    multi_line: bool = False, on_bad: str = "fail", landing: Landing | None = None,
 ) -> dict[str, DataFrame]:
     """The named collections below ``root/<collection>/``."""
     return {
-        name: read_collection_pages(spark, f"{root}/{name}", collection_schema(name, zoned), multi_line, on_bad)
+        name: read_collection_pages(spark, f"{root}/{name}", collection_schema(name, zoned), multi_line, on_bad, landing, name)
         for name in names
     }
 

@@ -74,6 +74,25 @@ def _order_fragments(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(*used).select(F.col("l_orderkey").alias("id"), F.to_json(F.array(item)).alias("items"))
 
 
+def whole_orders(orders: DataFrame) -> DataFrame:
+    """Order documents that hold all their lines: none, an empty list, or one to four made by rule from the order's key.
+
+    The third line's references are bare numbers. Every set of tables has the 200 parts they name.
+    """
+    key = F.col("id")
+
+    def line(j: Column) -> Column:
+        part = 1 + (key * 31 + j * 17) % 200
+        refer = lambda number: F.when(j == 3, number.cast("string")).otherwise(F.format_string('{"id":%d}', number))
+        variant = F.when(j % 2 == 1, refer(part * 10 + 1)).otherwise("null")
+        return F.format_string('{"id":"%d-%d","product":%s,"quantity":%d,"variant":%s}', key, j, refer(part), (key + j) % 7 + 1, variant)
+
+    lines = F.transform(F.sequence(F.lit(1).cast("bigint"), key % 6 - 1), line)
+    items = F.when(key % 6 == 0, F.lit(None)).when(key % 6 == 1, F.lit("[]")).otherwise(
+        F.concat(F.lit("["), F.array_join(lines, ","), F.lit("]")))
+    return orders.withColumn("items", items)
+
+
 def _transactions(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.col("o_orderkey").alias("id"), _ref(F.col("o_orderkey")).alias("order"),

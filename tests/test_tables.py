@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 
 from storelake.plans.models import MARTS, Lake
 from storelake.sources import inspect, pages, types
-from storelake.sources.load import cursors, load, raw_tables, reset_cursors
+from storelake.sources import landing as landing_module
+from storelake.sources.landing import Landing
+from storelake.sources.load import cursors, load, load_landed, raw_tables, reset_cursors
 from storelake.sources.schemas import COLLECTIONS, collection_schema
 from storelake.sources.tables import TableStore, repeated_keys
 from storelake.streaming.upsert import read_page_stream, stream_upsert
@@ -419,3 +421,62 @@ def test_undeclared_fields_reach_the_table(spark, store, tmp_path):
     write_page(tmp_path / "clash", "1.json", [{**user_page(1), "Name": "x"}])
     with pytest.raises(ValueError, match="share a column"):
         pages.read_collection_pages(spark, str(tmp_path / "clash"), collection_schema("users"))
+
+
+def test_a_second_load_reads_the_new_file_alone(spark, store, tmp_path):
+    for i in range(4):
+        write_page(tmp_path / "users", f"{i}.json", [user_page(i, "2024-01-05T00:00:00Z")])
+    assert load_landed(store, str(tmp_path), ["users"]) == {"users": 4}
+    assert load_landed(store, str(tmp_path), ["users"]) == {"users": 0}
+    write_page(tmp_path / "users", "4.json", [{**user_page(4), "late": 1.5}, {**user_page(0, "2023-01-01T00:00:00Z"), "name": "stale"}])
+    (tmp_path / "users" / "0.json").rename(tmp_path / "gone")  # A file once loaded is not opened again.
+    assert load_landed(store, str(tmp_path), ["users"]) == {"users": 1}
+    found = {r["id"]: (r["name"], r["late"]) for r in raw_tables(store)["users"].collect()}
+    assert found == {0: ("n", None), 1: ("n", None), 2: ("n", None), 3: ("n", None), 4: ("n", 1.5)}
+    examined = store.read("state/fields")
+    assert examined.count() == 5 and store.read("state/files").count() == 5
+    write_page(tmp_path / "users", "1.json", [user_page(1, "2024-02-01T00:00:00Z"), user_page(9)])  # Changed in place.
+    assert load_landed(store, str(tmp_path), ["users"], files_per_load=1) == {"users": 1}
+    assert raw_tables(store)["users"].count() == 6
+    Landing(store).forget()
+    assert load_landed(store, str(tmp_path), ["users"], files_per_load=2) == {"users": 4}
+    assert raw_tables(store)["users"].count() == 6
+
+
+def test_rejected_files_stay_out_of_the_ledger(spark, store, tmp_path):
+    damaged_pages(tmp_path / "users")
+    with pytest.raises(Exception):
+        load_landed(store, str(tmp_path), ["users"])
+    assert not store.exists("state/files")
+    assert load_landed(store, str(tmp_path), ["users"], on_bad="reject") == {"users": 6}
+    assert sorted(r["id"] for r in raw_tables(store)["users"].collect()) == [1, 2]
+    assert store.read("state/files").count() == 2
+    write_page(tmp_path / "users", "cut.json", [user_page(4), user_page(5)])
+    load_landed(store, str(tmp_path), ["users"], on_bad="reject", files_per_load=2)
+    assert sorted(r["id"] for r in raw_tables(store)["users"].collect()) == [1, 2, 4, 5]
+
+
+def test_known_pages_are_parsed_once(spark, store, tmp_path):
+    write_page(tmp_path / "users", "1.json", [{**user_page(1), "points": 3}])
+    landing = Landing(store)
+    first = pages.read_collections(spark, str(tmp_path), ["users"], landing=landing)["users"]
+    version = store.versions("state/fields")
+    again = pages.read_collections(spark, str(tmp_path), ["users"], landing=landing)["users"]
+    assert store.versions("state/fields") == version and again.collect() == first.collect()
+    assert again._jdf.queryExecution().executedPlan().toString().count("FileScan json") == 1
+    maps = [{"id": 1, **{f"k{i}": i for i in range(landing_module.MAX_FIELDS + 1)}}]
+    write_page(tmp_path / "maps", "1.json", maps)
+    with pytest.raises(ValueError, match="used as maps"):
+        pages.read_collection_pages(spark, str(tmp_path / "maps"), collection_schema("users"))
+
+
+def test_a_stream_takes_late_fields_and_any_order(spark, store, tmp_path):
+    def run():
+        stream = read_page_stream(spark, str(tmp_path / "land"), collection_schema("users"), files_per_trigger=1)
+        stream_upsert(stream, store, "users", str(tmp_path / "cp"), buckets=4).awaitTermination()
+        return {r["id"]: r.asDict() for r in store.read("users").collect()}
+    write_page(tmp_path / "land", "1.json", [{**user_page(1, "2024-03-01T00:00:00Z"), "name": "new"}])
+    assert run()[1]["name"] == "new"
+    write_page(tmp_path / "land", "2.json", [{**user_page(1, "2024-02-01T00:00:00Z"), "name": "old"}, {**user_page(2), "vip": True}])
+    found = run()
+    assert found[1]["name"] == "new" and found[1]["vip"] is None and found[2]["vip"] is True
