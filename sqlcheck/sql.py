@@ -100,17 +100,20 @@ RELATIONS = {
         FROM cohort WINDOW w AS (PARTITION BY cohort_month ORDER BY months_since_first)""",
     "rfm": f"""SELECT id, name, email, date_diff('day', CAST(last_at AS DATE), {AS_OF}) AS recency, orders, cents,
         segment FROM d_cust WHERE orders > 0""",
-    "scored": """SELECT *, CASE WHEN r > 3 AND f > 3 AND m > 3 THEN 'Champions'
-            WHEN least(r, f, m) > 2 THEN 'Loyal Customers'
-            WHEN r > 3 AND greatest(f, m) < 3 THEN 'New Customers'
-            WHEN r < 3 AND least(f, m) > 2 THEN 'At Risk'
-            WHEN r < 3 AND f < 3 AND m > 2 THEN 'Cant Lose Them'
-            WHEN r < 3 AND f < 3 AND m < 3 THEN 'Lost'
-            WHEN r > 2 AND f < 3 AND m < 3 THEN 'Promising'
-            WHEN r > 2 AND m > 2 THEN 'Potential Loyalists' ELSE 'Others' END AS rfm_segment
-        FROM (SELECT *, 5 - (recency > 30)::INT - (recency > 60)::INT - (recency > 90)::INT - (recency > 180)::INT AS r,
-            1 + (orders >= 2)::INT + (orders >= 4)::INT + (orders >= 7)::INT + (orders >= 10)::INT AS f,
-            1 + (cents >= 50000)::INT + (cents >= 100000)::INT + (cents >= 200000)::INT + (cents >= 500000)::INT AS m
+    # The score cuts and segment rules.
+    "scored": """SELECT *, CASE
+            WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'Champions'
+            WHEN r >= 3 AND f >= 3 AND m >= 3 THEN 'Loyal Customers'
+            WHEN r >= 4 AND f <= 2 AND m <= 2 THEN 'New Customers'
+            WHEN r <= 2 AND f >= 3 AND m >= 3 THEN 'At Risk'
+            WHEN r <= 2 AND f <= 2 AND m >= 3 THEN 'Cant Lose Them'
+            WHEN r <= 2 AND f <= 2 AND m <= 2 THEN 'Lost'
+            WHEN r >= 3 AND f <= 2 AND m <= 2 THEN 'Promising'
+            WHEN r >= 3 AND m >= 3 THEN 'Potential Loyalists' ELSE 'Others' END AS rfm_segment
+        FROM (SELECT *,
+            CASE WHEN recency <= 30 THEN 5 WHEN recency <= 60 THEN 4 WHEN recency <= 90 THEN 3 WHEN recency <= 180 THEN 2 ELSE 1 END AS r,
+            CASE WHEN orders >= 10 THEN 5 WHEN orders >= 7 THEN 4 WHEN orders >= 4 THEN 3 WHEN orders >= 2 THEN 2 ELSE 1 END AS f,
+            CASE WHEN cents >= 500000 THEN 5 WHEN cents >= 200000 THEN 4 WHEN cents >= 100000 THEN 3 WHEN cents >= 50000 THEN 2 ELSE 1 END AS m
             FROM rfm)""",
     "active": f"""SELECT customer_id, {big('sum(cents)')} AS cents FROM ord
         WHERE status = 'completed' AND day >= {AS_OF} - 90 AND day < {AS_OF} GROUP BY 1""",
@@ -210,11 +213,21 @@ def _test_report() -> str:
 
 
 def _summary() -> str:
-    sizes = [("fact_orders", 10, "f_ord"), ("fact_order_items", 10, "f_item"), ("fact_transactions", 11, "ord"),
-             ("dim_customers", 11, "d_cust"), ("dim_products", 9, "prod"), ("dim_categories", 5, "cat"),
-             ("dim_date", 11, "spine"), ("bridge_product_categories", 2, "link")]
+    """Table, fields, rows as a relation, first column, and what the rows are ordered by."""
+    options = """(SELECT DISTINCT 1000 + p_size AS id FROM part
+        UNION ALL SELECT DISTINCT 2000 + CAST(regexp_extract(p_brand, '[0-9]+') AS BIGINT) FROM part)"""
+    tables = [("raw.orders", 8, "ord", "id", "id"), ("raw.transactions", 9, "ord", "id", "id"), ("raw.carts", 8, "cart", "id", "id"),
+              ("raw.products", 11, "prod", "id", "id"), ("raw.variants", 8, "vari", "id", "id"), ("raw.categories", 5, "cat", "id", "id"),
+              ("raw.users", 6, "cust", "id", "id"), ("raw.variantTypes", 5, "(VALUES (1), (2)) t(id)", "id", "id"),
+              ("raw.variantOptions", 6, options, "id", "id"),
+              ("fact_orders", 10, "f_ord", "id", "id"), ("fact_order_items", 10, "f_item", "item_id", "item_id"),
+              ("fact_transactions", 11, "ord", "id", "id"), ("dim_customers", 11, "d_cust", "id", "id"),
+              ("dim_products", 9, "prod", "id", "id"), ("dim_categories", 5, "cat", "id", "id"), ("dim_date", 11, "spine", "day", "day"),
+              ("bridge_product_categories", 2, "link", "product_id", "product_id, category_id")]
     return " UNION ALL ".join(
-        f"SELECT '{n}' AS table_name, {f} AS fields, (SELECT count(*) FROM {r}) AS records" for n, f, r in sizes)
+        f"""SELECT '{name}' AS table_name, {fields} AS fields, (SELECT count(*) FROM {rows}) AS records,
+            (SELECT string_agg(k, ',' ORDER BY k) FROM (SELECT CAST({key} AS VARCHAR) AS k FROM {rows} ORDER BY {order} LIMIT 3)) AS first_keys"""
+        for name, fields, rows, key, order in tables)
 
 
 def _collections() -> str:
@@ -399,6 +412,11 @@ _QUERIES = {
         FROM (VALUES ('raw'), ('staging'), ('marts')) t(layer)""",
     "list_tables": """SELECT layer, (SELECT count(*) FROM ord) AS records
         FROM (VALUES ('fact_orders'), ('fact_transactions')) t(layer)""",
+    "schema_removed": "SELECT id, customer_id, cents AS amount, status FROM ord",
+    "schema_widened": f"""SELECT id, CASE WHEN made >= {CUTOFF} THEN cents / 4 ELSE cents END AS amount,
+        CASE WHEN made >= {CUTOFF} THEN 'web' END AS channel FROM ord""",
+    "schema_incompatible": f"""SELECT 'status' AS column_name, 'string' AS stored, 'array<string>' AS incoming,
+        (SELECT count(*) FROM ord WHERE made < {CUTOFF}) AS records""",
     "on_schema_change": f"SELECT id, CASE WHEN made >= {CUTOFF} THEN 'web' END AS channel FROM ord",
     "run_models": """SELECT layer, CASE layer WHEN 'fact_order_items' THEN (SELECT count(*) FROM item)
             WHEN 'dim_products' THEN (SELECT count(*) FROM prod) WHEN 'dim_customers' THEN (SELECT count(*) FROM cust WHERE NOT admin)
@@ -480,6 +498,10 @@ _QUERIES = {
     "select": 'SELECT id, title, slug, cents AS "priceInUSD" FROM prod',
     "populate": """SELECT ord.id, name AS customer_name, email AS customer_email, cents AS order_amount,
         status AS order_status FROM ord LEFT JOIN cust ON cust.id = ord.customer_id""",
+    "populate_depth": """SELECT vari.id, prod.title AS product_title,
+            CASE WHEN has_categories THEN p_type || ',' || p_brand END AS categories,
+            p_size || ',' || p_brand AS options, 'Size,Brand' AS option_types, CAST(NULL AS VARCHAR) AS lost
+        FROM vari JOIN prod ON prod.id = vari.product_id""",
     "product_search": """SELECT id, title, slug, cents AS "priceInUSD" FROM prod WHERE state = 'published'
         AND has_categories AND p_type = 'PROMO' AND (title ILIKE '%ring%' OR description ILIKE '%ring%')""",
     "products_in_categories": f"""SELECT id, title FROM prod WHERE id IN

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelake.functions.documents import id_list, ref_id
+from storelake.functions.documents import id_list, ref_id, string_list
 from storelake.functions.predicates import Fields, where_column
 from storelake.operators.joins import left_join_optional
 from storelake.operators.numbering import numbered
@@ -85,10 +86,7 @@ def select(df: DataFrame, fields: str | Sequence[str], key: str = "id") -> DataF
 
 
 def populate(df: DataFrame, references: Mapping[str, DataFrame], accept_bare: bool = True) -> DataFrame:
-    """Replace each reference column by the referenced row, NULL when it does not resolve.
-
-    For more depth, populate the referenced collection first.
-    """
+    """Replace each reference column by the referenced row, NULL when it does not resolve."""
     for name, target in references.items():
         order = df.columns
         found = target.select(F.col("id").alias("_ref"), F.struct(*target.columns).alias("_row"))
@@ -99,6 +97,54 @@ def populate(df: DataFrame, references: Mapping[str, DataFrame], accept_bare: bo
     return df
 
 
+@dataclass(frozen=True)
+class Relation:
+    """A field that refers to documents of another collection, by one id or by a list of them."""
+    target: str
+    many: bool = False
+
+
+def _populated_list(df: DataFrame, name: str, target: DataFrame, accept_bare: bool) -> DataFrame:
+    """A list of references as the list of referenced rows, in its order; an element that does not resolve is NULL in its place.
+
+    Elements are joined one by one, so that a much referenced document is an ordinary skewed join, and regrouped.
+    """
+    order = df.columns
+    lists = string_list(F.col(name))
+    rows = df.select(F.col("id").alias("_id"), F.struct(*[c for c in order if c != name]).alias("_doc"),
+                     lists.isNull().alias("_none"), F.posexplode_outer(lists).alias("_at", "_element"))
+    keyed = rows.withColumn("_ref", ref_id(F.col("_element"), accept_bare))
+    found = target.select(F.col("id").alias("_ref"), F.struct(*target.columns).alias("_row"))
+    joined = left_join_optional(keyed, found, "_ref", "_id")
+    element = F.when(F.col("_at").isNotNull(), F.struct("_at", "_row"))
+    grouped = joined.groupBy("_id").agg(
+        F.first("_doc").alias("_doc"), F.first("_none").alias("_none"), F.sort_array(F.collect_list(element)).alias("_list"))
+    populated = F.when(~F.col("_none"), F.transform("_list", lambda e: e["_row"])).alias(name)
+    return grouped.select("_doc.*", populated).select(*order)
+
+
+def populate_depth(collection: str, collections: Mapping[str, DataFrame], relations: Mapping[str, Mapping[str, Relation]],
+                   depth: int = 1, accept_bare: bool = True, _above: tuple[str, ...] = ()) -> DataFrame:
+    """A collection with its references replaced by documents, theirs too down to ``depth`` levels.
+
+    Single references and lists; NULL lists stay NULL, empty ones empty. A reference to a collection that
+    stands above it on the way down stays a reference, so that cycles end. Documents are told apart by ``id``.
+    """
+    df = collections[collection]
+    if depth < 1:
+        return df
+    for name, relation in relations.get(collection, {}).items():
+        above = (*_above, collection)
+        if relation.target in above:
+            continue
+        target = populate_depth(relation.target, collections, relations, depth - 1, accept_bare, above)
+        if relation.many:
+            df = _populated_list(df, name, target, accept_bare)
+        else:
+            df = populate(df, {name: target}, accept_bare)
+    return df
+
+
 def product_search(products: DataFrame, text: str | None = None, category: int | None = None, by: str = "title",
                    user: Mapping[str, Any] | None = None) -> DataFrame:
     """Products whose title or description holds the words, within a category.

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def test_unique(df: DataFrame, column: str) -> DataFrame:
@@ -32,13 +33,17 @@ def test_relationships(df: DataFrame, column: str, to: DataFrame, to_column: str
     return child.join(to.select(F.col(to_column).alias("value")), "value", "left_anti")
 
 
-def test_accepted_range(df: DataFrame, column: str, low=None, high=None, inclusive: bool = True) -> DataFrame:
-    value, bad = F.col(column), F.lit(False)
+def _outside(value: Column, low=None, high=None, inclusive: bool = True) -> Column:
+    bad = F.lit(False)
     if low is not None:
         bad = bad | (value < F.lit(low) if inclusive else value <= F.lit(low))
     if high is not None:
         bad = bad | (value > F.lit(high) if inclusive else value >= F.lit(high))
-    return df.filter(bad)
+    return bad
+
+
+def test_accepted_range(df: DataFrame, column: str, low=None, high=None, inclusive: bool = True) -> DataFrame:
+    return df.filter(_outside(F.col(column), low, high, inclusive))
 
 
 def test_singular(query: DataFrame) -> DataFrame:
@@ -63,11 +68,6 @@ class Check:
         return f"{self.kind}_{self.table}_{self.column}"
 
 
-_OPERATORS: dict[str, Callable[..., DataFrame]] = {
-    "unique": test_unique, "not_null": test_not_null, "accepted_values": test_accepted_values,
-    "accepted_range": test_accepted_range, "relationships": test_relationships,
-}
-
 # The configured suite. First the raw keys, then the mart columns.
 _RAW_KEYED = ("orders", "products", "variants", "categories", "users", "transactions", "carts")
 _MART_KEYS = {
@@ -98,25 +98,54 @@ def configured_suite() -> list[Check]:
     return suite
 
 
-def _combined_nulls(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All not-null checks of a table in one pass over it."""
-    counts = df.agg(*[F.count_if(F.col(c.column).isNull()).alias(c.column) for c in checks])
-    rows = [F.struct(F.lit(c.name).alias("test"), F.col(c.column).alias("failures")) for c in checks]
-    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+def _findings(check: Check, number: int, kinds: dict) -> Column:
+    """What a row says to a check: (test, number, text), the key or odd value in the column of its type; null for nothing.
+
+    A unique check is told every key, the others only what is wrong.
+    """
+    col = F.col(check.column)
+    whole = isinstance(kinds[check.column], T.IntegralType)
+    value = [(col if whole else F.lit(None)).cast("bigint").alias("number"), (F.lit(None) if whole else col).cast("string").alias("text")]
+    nothing = [F.lit(None).cast("bigint").alias("number"), F.lit(None).cast("string").alias("text")]
+    test = F.lit(number).alias("test")
+    if check.kind == "unique":
+        return F.when(col.isNotNull(), F.struct(test, *value))
+    if check.kind == "not_null":
+        return F.when(col.isNull(), F.struct(test, *nothing))
+    if check.kind == "accepted_values":
+        return F.when(~col.isin(list(check.args["values"])), F.struct(test, *value))
+    return F.when(_outside(col, **check.args), F.struct(test, *nothing))
+
+
+def _one_scan(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All checks of a table that need no other table, in one scan: findings are grouped by check and value."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    found = F.array_compact(F.array(*[_findings(c, i, kinds) for i, c in enumerate(checks)]))
+    counted = df.select(F.explode(found).alias("f")).groupBy("f.test", "f.number", "f.text").agg(F.count(F.lit(1)).alias("n"))
+
+    def failures(i: int, kind: str) -> Column:
+        mine = F.col("test") == i
+        if kind in ("unique", "accepted_values"):  # Values that repeat, values that are odd.
+            return F.count_if(mine & (F.col("n") > 1) if kind == "unique" else mine)
+        return F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0))
+
+    totals = counted.agg(*[failures(i, c.kind).alias(f"_{i}") for i, c in enumerate(checks)])
+    rows = [F.struct(F.lit(c.name).alias("test"), F.col(f"_{i}").alias("failures")) for i, c in enumerate(checks)]
+    return totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def run_tests(tables: Mapping[str, DataFrame], suite: Sequence[Check] | None = None) -> DataFrame:
-    """One row per check: ``test, failures, status``."""
+    """One row per check: ``test, failures, status``. Each table is scanned once, and once more for each relationship."""
     suite = configured_suite() if suite is None else suite
     parts = []
     for table in dict.fromkeys(c.table for c in suite):
         mine = [c for c in suite if c.table == table]
-        nulls = [c for c in mine if c.kind == "not_null"]
-        if nulls:
-            parts.append(_combined_nulls(tables[table], nulls))
+        alone = [c for c in mine if c.kind != "relationships"]
+        if alone:
+            parts.append(_one_scan(tables[table], alone))
         for c in mine:
-            if c.kind != "not_null":
-                bad = _OPERATORS[c.kind](tables[table], c.column, **c.args)
+            if c.kind == "relationships":
+                bad = test_relationships(tables[table], c.column, **c.args)
                 parts.append(bad.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(c.name).alias("test"), "failures"))
     report = reduce(DataFrame.unionAll, parts)
     return report.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("ERROR"))

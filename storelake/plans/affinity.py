@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storelake.functions.money import percent
+from storelake.operators.numbering import written
 
 # Fixed values of the report.
 MIN_SUPPORT, TOP = 3, 20
@@ -114,6 +115,7 @@ def pair_support(lines: DataFrame, orders: DataFrame, support: int = MIN_SUPPORT
         return _paired(lines).filter(F.col("n") >= support)
 
     small, huge = _split(lines, sizes.select("order_id"), few=n_huge <= broadcast_ids)
+    huge = written(huge)  # Read five times.
     left_out = _left_out(huge, sizes, support - 1)
     kept = huge.join(left_out, ["order_id", "product_id"], "left_anti")
     found = _reachable(_paired(small.unionByName(kept)), huge, support)

@@ -59,12 +59,12 @@ def _fact_order_items(lake: "Lake") -> DataFrame:
 
 MARTS = {m.name: m for m in (
     Mart("fact_orders", _fact_orders,
-         unique_key="order_id", watermark=("orders",), on_schema_change="sync",
+         unique_key="order_id", watermark=("orders",), on_schema_change="sync_all",
          month_of="order_date"),
     Mart("fact_order_items", _fact_order_items,
-         unique_key="order_item_id", watermark=("orders",), on_schema_change="sync", month_of="created_at"),
+         unique_key="order_item_id", watermark=("orders",), on_schema_change="sync_all", month_of="created_at"),
     Mart("fact_transactions", lambda l: marts.fact_transactions(l.staged("stg_transactions")),
-         unique_key="transaction_id", watermark=("transactions",), on_schema_change="sync",
+         unique_key="transaction_id", watermark=("transactions",), on_schema_change="sync_all",
          month_of="transaction_date"),
     Mart("dim_customers", lambda l: marts.dim_customers(l.staged("stg_customers"), l.table("fact_orders"), l.as_of),
          needs=("fact_orders",), on_schema_change="fail"),

@@ -17,16 +17,16 @@ MONETARY_CUTS = (5000, 2000, 1000, 500)
 RECENCY_LABELS = ("0-30 days", "31-60 days", "61-90 days", "91-180 days", "180+ days")
 FREQUENCY_LABELS = ("10+ orders", "7-9 orders", "4-6 orders", "2-3 orders", "1 order")
 MONETARY_LABELS = ("$5000+", "$2000-4999", "$1000-1999", "$500-999", "$0-499")
-# Segment, then the score ranges of recency, frequency and monetary value.
+# Segments in order, with what they ask of the recency, frequency and monetary scores.
 SEGMENT_RULES = (
-    ("Champions", (4, 5), (4, 5), (4, 5)),
-    ("Loyal Customers", (3, 5), (3, 5), (3, 5)),
-    ("New Customers", (4, 5), (1, 2), (1, 2)),
-    ("At Risk", (1, 2), (3, 5), (3, 5)),
-    ("Cant Lose Them", (1, 2), (1, 2), (3, 5)),
-    ("Lost", (1, 2), (1, 2), (1, 2)),
-    ("Promising", (3, 5), (1, 2), (1, 2)),
-    ("Potential Loyalists", (3, 5), (1, 5), (3, 5)),
+    ("Champions", ">= 4", ">= 4", ">= 4"),
+    ("Loyal Customers", ">= 3", ">= 3", ">= 3"),
+    ("New Customers", ">= 4", "<= 2", "<= 2"),
+    ("At Risk", "<= 2", ">= 3", ">= 3"),
+    ("Cant Lose Them", "<= 2", "<= 2", ">= 3"),
+    ("Lost", "<= 2", "<= 2", "<= 2"),
+    ("Promising", ">= 3", "<= 2", "<= 2"),
+    ("Potential Loyalists", ">= 3", None, ">= 3"),
 )
 NO_SEGMENT = "Others"
 
@@ -53,11 +53,18 @@ def rfm_table(customers: DataFrame, as_of: dt.date, limit: int = 20) -> DataFram
     return top.drop("customer_id")
 
 
+def _meets(score: Column, rule: str | None) -> Column:
+    if rule is None:
+        return F.lit(True)
+    sign, bound = rule.split()
+    return score >= int(bound) if sign == ">=" else score <= int(bound)
+
+
 def rfm_segment(r: Column, f: Column, m: Column) -> Column:
-    """The first rule whose ranges hold all three scores names the segment."""
+    """The first rule that all three scores meet names the segment."""
     segment = F.lit(NO_SEGMENT)
-    for name, *ranges in reversed(SEGMENT_RULES):
-        fits = [score.between(low, high) for score, (low, high) in zip((r, f, m), ranges)]
+    for name, *rules in reversed(SEGMENT_RULES):
+        fits = [_meets(score, rule) for score, rule in zip((r, f, m), rules)]
         segment = F.when(fits[0] & fits[1] & fits[2], name).otherwise(segment)
     return segment
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelake.functions.dates import moment
+from storelake.functions.documents import ref_id
 from storelake.operators import collections as docs
 from storelake.operators import marts, quality, staging
 from storelake.plans import (
@@ -209,6 +210,47 @@ def _schema_change(w: Workspace) -> DataFrame:
     return store.read("orders").select("id", "channel")
 
 
+def _schema_removed(w: Workspace) -> DataFrame:
+    """A later batch without some columns: the table loses them."""
+    store, (older, newer) = w.fresh_store(), _older_newer(w)
+    store.replace(older, "orders")
+    store.append(newer.drop("customerEmail", "currency", "createdAt"), "orders", on_schema_change="sync_all")
+    return store.read("orders").select("*", ref_id(F.col("customer")).alias("customer_id")).drop("customer", "updatedAt")
+
+
+def _schema_widened(w: Workspace) -> DataFrame:
+    """A later batch with fractions in a column of whole numbers, and a new column: the table follows."""
+    store, (older, newer) = w.fresh_store(), _older_newer(w)
+    store.replace(older, "orders", keys=["id"], buckets=8)
+    store.merge(newer.withColumns({"amount": F.col("amount") / 4, "channel": F.lit("web")}), "orders", on_schema_change="sync_all")
+    return store.read("orders").select("id", "amount", "channel")
+
+
+def _schema_incompatible(w: Workspace) -> DataFrame:
+    """A later batch with lists in a column of texts is refused; shown with the rows that stay."""
+    store, (older, newer) = w.fresh_store(), _older_newer(w)
+    store.replace(older.withColumn("status", F.array("status")), "lists")
+    store.replace(older, "orders")
+    odd = types.schema_difference(store.schema("lists"), store.schema("orders")).incompatible
+    try:
+        store.append(newer, "lists", on_schema_change="sync_all")
+    except types.SchemaChanged:
+        named = [F.struct(F.lit(n).alias("column_name"), F.lit(new.simpleString()).alias("stored"), F.lit(old.simpleString()).alias("incoming"))
+                 for n, (old, new) in odd.items()]
+        kept = store.read("lists").agg(F.count(F.lit(1)).alias("records"))
+        return kept.select(F.explode(F.array(*named)).alias("c"), "records").select("c.*", "records")
+    raise AssertionError("an incompatible column was accepted")
+
+
+def _table_summary(w: Workspace) -> DataFrame:
+    """Fields, records and the first keys of every raw and mart table."""
+    tables = {**{f"raw.{name}": w.raw[name] for name in COLLECTIONS}, **_stored_marts(w)}
+    keys = F.create_map(*[F.lit(x) for name, df in tables.items() for x in (name, df.columns[0])])
+    summary = inspect.table_summary(tables)
+    first = F.transform("sample", lambda row: F.from_json(row, "map<string,string>")[keys[F.col("table_name")]])
+    return summary.select("table_name", "fields", "records", F.array_join(F.array_sort(first), ",").alias("first_keys"))
+
+
 def _stream_upsert(w: Workspace) -> DataFrame:
     store, folder = w.fresh_store(), w.landed("carts")
     documents = read_page_stream(w.spark, f"{folder}/carts", collection_schema("carts", zoned=False))
@@ -302,6 +344,25 @@ def _populate(w: Workspace) -> DataFrame:
                         F.col("order.amount").alias("order_amount"), F.col("order.status").alias("order_status"))
 
 
+_RELATIONS = {
+    "variants": {"product": docs.Relation("products"), "options": docs.Relation("variantOptions", many=True)},
+    "products": {"categories": docs.Relation("categories", many=True)},
+    "variantOptions": {"variantType": docs.Relation("variantTypes")},
+}
+
+
+def _populate_depth(w: Workspace) -> DataFrame:
+    """Variants with their product and its categories, and their options with the types of those; one option leads nowhere."""
+    lost = F.concat(F.lit("[99999,"), F.substring("options", 2, 100))
+    variants = w.raw["variants"].withColumn("options", lost)
+    found = docs.populate_depth("variants", {**w.raw, "variants": variants}, _RELATIONS, depth=2)
+    named = lambda column: F.array_join(F.slice(column, 2, 9), ",")
+    return found.select(
+        "id", F.col("product.title").alias("product_title"), F.array_join("product.categories.title", ",").alias("categories"),
+        named(F.col("options.label")).alias("options"), named(F.col("options.variantType.label")).alias("option_types"),
+        F.element_at("options", 1)["label"].alias("lost"))
+
+
 def _on_raw(query: Callable[..., DataFrame], *names: str, columns: tuple[str, ...] = (), **params) -> Query:
     def run(w: Workspace) -> DataFrame:
         found = query(*[w.raw[n] for n in names], **params)
@@ -329,10 +390,13 @@ QUERIES: dict[str, Query] = {
     "inferred_fields": _inferred_fields,
     "align_to_schema": _align,
     "map_types": _map_types,
-    "table_summary": lambda w: inspect.table_summary(_stored_marts(w)),
+    "table_summary": _table_summary,
     "layer_counts": _layer_counts,
     "list_tables": _list_tables,
     "on_schema_change": _schema_change,
+    "schema_removed": _schema_removed,
+    "schema_widened": _schema_widened,
+    "schema_incompatible": _schema_incompatible,
     "run_models": _run_models,
     "duplicate_loads": _duplicate_loads,
     "freshness": _freshness,
@@ -417,6 +481,7 @@ QUERIES: dict[str, Query] = {
     "page_walk": _on_raw(docs.pages, "orders", limit=1000, by="-createdAt", columns=("id", "createdAt", "page", "position")),
     "select": _on_raw(docs.select, "products", fields="title,slug,priceInUSD"),
     "populate": _populate,
+    "populate_depth": _populate_depth,
     "product_search": _on_raw(docs.product_search, "products", text="ring", category=SEARCH_CATEGORY,
                               columns=("id", "title", "slug", "priceInUSD")),
     "products_in_categories": _on_raw(docs.products_in_categories, "products", ids=[SEARCH_CATEGORY, GAP_CATEGORY],

@@ -13,12 +13,19 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def table_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Fields and records per table; a stored table is counted from its file footers."""
-    return _union([
-        df.agg(F.count(F.lit(1)).alias("records")).select(
-            F.lit(name).alias("table_name"), F.lit(len(df.columns)).alias("fields"), "records")
-        for name, df in tables.items()])
+def table_summary(tables: Mapping[str, DataFrame], sample: int = 3) -> DataFrame:
+    """Fields and records per table, and its first rows as JSON texts, in the order of its columns from the first on.
+
+    A stored table is counted from its file footers; the sample is a top-k.
+    """
+    def summary(name: str, df: DataFrame) -> DataFrame:
+        columns = [F.col(f"`{c}`") for c in df.columns]
+        first = df.orderBy(*columns).limit(sample).select(F.to_json(F.struct(*columns)).alias("text"))
+        texts = first.agg(F.sort_array(F.collect_list("text"))).scalar()
+        return df.agg(F.count(F.lit(1)).alias("records")).select(
+            F.lit(name).alias("table_name"), F.lit(len(columns)).alias("fields"), "records", texts.alias("sample"))
+
+    return _union([summary(name, df) for name, df in tables.items()])
 
 
 def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelake.functions.dates import moment_text
-from storelake.sources.types import align_to_schema
+from storelake.sources.types import align_to_schema, synced_schema
 
 _LOAD = "load_id"
 _BUCKET = "key_bucket"
@@ -123,8 +123,11 @@ class TableStore:
         if not self.exists(name):
             return self.replace(df, name, partition_by)
         current = self.manifest(name)
-        fitted = align_to_schema(df, T.StructType.fromJson(current["schema"]), on_schema_change)
-        return self._commit(fitted, name, current["partition_by"], current["dirs"], [], current.get("buckets"))
+        stored, rewritten = self._target(current, df, on_schema_change, ())
+        fitted, dirs = align_to_schema(df, stored, "sync" if on_schema_change == "sync_all" else on_schema_change), current["dirs"]
+        if rewritten:
+            fitted, dirs = align_to_schema(self._scan(name, current), stored).unionByName(fitted), []
+        return self._commit(fitted, name, current["partition_by"], dirs, [], current.get("buckets"))
 
     def replace(self, df: DataFrame, name: str, partition_by: Sequence[str] = (), keys: Sequence[str] = (),
                 order_by: str | None = None, buckets: int = 0) -> int:
@@ -164,20 +167,21 @@ class TableStore:
             return self.replace(df, name, partition_by, keys, order_by, buckets)
 
         current = self.manifest(name)
-        stored = T.StructType.fromJson(current["schema"])
+        stored, rewritten = self._target(current, df, on_schema_change, keys)
         known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        batch, path = self._written(align_to_schema(df, stored, on_schema_change), name)
+        batch, path = self._written(
+            align_to_schema(df, stored, "sync" if on_schema_change == "sync_all" else on_schema_change), name)
         paths, repeated = [path], repeated_keys(batch, keys)
         if not repeated.isEmpty():
             batch, path = self._written(latest_by_key(batch, keys, order_by, repeated), name)
             paths.append(path)
-        if set(batch.columns) <= set(stored.names) and batch.isEmpty():
+        if set(batch.columns) <= set(T.StructType.fromJson(current["schema"]).names) and not rewritten and batch.isEmpty():
             return self.versions(name)[-1]
         parts, dirs = current["partition_by"], current["dirs"]
         changed = batch.filter(known).select(*keys)
-        touched = self._touched(name, current, changed, keys)
+        touched = set(dirs) if rewritten else self._touched(name, current, changed, keys)
         if touched:
-            scope = self._scan(name, {**current, "dirs": [d for d in dirs if d in touched]})
+            scope = align_to_schema(self._scan(name, {**current, "dirs": [d for d in dirs if d in touched]}), stored)
             if order_by in stored.names and order_by in batch.columns:
                 times = scope.join(changed, keys, "left_semi").groupBy(*keys).agg(F.max(order_by).alias("_stored"))
                 newer = F.col("_stored").isNull() | F.coalesce(F.col(order_by) >= F.col("_stored"), F.lit(False))
@@ -267,6 +271,13 @@ class TableStore:
         df.write.parquet(f"{self._home(name)}/{folder}")
         return self.spark.read.schema(df.schema).parquet(f"{self._home(name)}/{folder}"), folder
 
+    def _target(self, current: dict, df: DataFrame, mode: str, keys: Sequence[str]) -> tuple[T.StructType, bool]:
+        """The schema of a table after a batch, without what ``sync`` adds, and whether its rows are written anew."""
+        stored = T.StructType.fromJson(current["schema"])
+        if mode != "sync_all":
+            return stored, False
+        return synced_schema(stored, df.schema, [*keys, *current["partition_by"]])
+
     def _write(self, df: DataFrame, name: str, parts: list[str], spread: dict | None) -> list[str]:
         """A load as Parquet below the table, not yet part of it; returns its directories."""
         load = f"{_LOAD}=v{uuid.uuid4().hex}"

@@ -134,6 +134,42 @@ def test_populate(spark):
     assert got == {1: (5, "Ann"), 2: (5, "Ann"), 3: None, 4: None}
 
 
+def test_populate_lists_and_depth(spark):
+    orders = spark.createDataFrame([(1, "[3, null, {\"id\":4}, 99, 3]", '{"id":5}'), (2, "[]", "6"), (3, None, None)],
+                                   "id long, tags string, owner string")
+    tags = spark.createDataFrame([(3, "x", "7"), (4, "y", None)], "id long, label string, kind string")
+    kinds = spark.createDataFrame([(7, "k", "[1]")], "id long, name string, orders string")
+    users = spark.createDataFrame([(5, "[2, 1]")], "id long, orders string")
+    r = docs.Relation
+    relations = {"orders": {"tags": r("tags", many=True), "owner": r("users")}, "tags": {"kind": r("kinds")},
+                 "kinds": {"orders": r("orders", many=True)}, "users": {"orders": r("orders", many=True)}}
+    every = {"orders": orders, "tags": tags, "kinds": kinds, "users": users}
+    def found(depth):
+        return {row["id"]: row.asDict(recursive=True) for row in docs.populate_depth("orders", every, relations, depth).collect()}
+    assert found(0)[1]["tags"].startswith("[3")
+    one, three = found(1), found(3)
+    assert [t and (t["label"], t["kind"]) for t in one[1]["tags"]] == [("x", "7"), None, ("y", None), None, ("x", "7")]
+    assert one[2]["tags"] == [] and one[3]["tags"] is None and one[2]["owner"] is None
+    assert three[1]["tags"][0]["kind"] == {"id": 7, "name": "k", "orders": "[1]"}  # Orders stand above: the cycle ends.
+    assert three[1]["owner"] == {"id": 5, "orders": "[2, 1]"} and three[1]["tags"][2]["kind"] is None
+
+
+def test_run_tests_scans_each_table_once(spark, tmp_path):
+    spark.createDataFrame([(1, "a", 5), (1, "b", None), (2, "zz", 50), (None, None, 7)], "k long, s string, v int").write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    suite = [quality.Check("t", "unique", "k"), quality.Check("t", "unique", "s"), quality.Check("t", "not_null", "k"),
+             quality.Check("t", "not_null", "v"), quality.Check("t", "accepted_values", "s", {"values": ["a"]}),
+             quality.Check("t", "accepted_range", "v", {"low": 6, "high": 40}), quality.Check("t", "not_null", "s")]
+    report = quality.run_tests({"t": table}, suite)
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert [r["failures"] for r in report.collect()] == [1, 0, 1, 1, 2, 2, 1]
+    assert [r["failures"] for r in quality.run_tests({"t": table.limit(0)}, suite).collect()] == [0] * 7
+    raw = {name: spark.read.parquet(f"{tmp_path}/t") for name in dict.fromkeys(c.table for c in quality.configured_suite())}
+    whole = {n: df.selectExpr(*[f"k as `{c}`" for c in dict.fromkeys(x.column for x in quality.configured_suite() if x.table == n)])
+             for n, df in raw.items()}
+    assert quality.run_tests(whole)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 14 == len(raw)
+
+
 def catalog(spark):
     products = spark.createDataFrame([(1, 100, 5, True), (2, 200, 0, False), (3, 300, 9, False), (4, None, 1, True), (5, 50, 3, True)],
                                      "id long, priceInUSD long, inventory long, enableVariants boolean")

@@ -180,6 +180,29 @@ def test_schema_modes(spark, store):
     assert store.read("t").columns == ["id", "v", "extra", "w"] and store.read("t").count() == 1
 
 
+def test_sync_all_follows_the_batch(spark, store):
+    have = T.StructType.fromDDL("id bigint, v string, n int, d decimal(10,2), day date")
+    come = T.StructType.fromDDL("id bigint, n bigint, d decimal(12,4), day timestamp_ntz, extra boolean")
+    found = types.schema_difference(have, come)
+    assert found.removed == ["v"] and list(found.added) == ["extra"] and found.incompatible == {}
+    assert {n: t.simpleString() for n, t in found.widened.items()} == {"n": "bigint", "d": "decimal(12,4)", "day": "timestamp_ntz"}
+    assert types.synced_schema(have, come)[0].names == ["id", "n", "d", "day", "extra"]
+    with pytest.raises(types.SchemaChanged, match="v is bigint"):
+        types.synced_schema(T.StructType.fromDDL("v bigint"), T.StructType.fromDDL("v string"))
+    with pytest.raises(types.SchemaChanged, match="must stay"):
+        types.synced_schema(have, come, ["v"])
+    rows_of = lambda: sorted(map(str, store.read("t").collect()))
+    store.merge(spark.createDataFrame([(1, 5, "a"), (2, 6, "b")], "id long, n long, v string"), "t", order_by=None, buckets=4)
+    store.merge(spark.createDataFrame([(2, 6.5)], "id long, n double"), "t", order_by=None, on_schema_change="sync_all")
+    assert rows_of() == ["Row(id=1, n=5.0)", "Row(id=2, n=6.5)"]
+    store.append(spark.createDataFrame([(3, 7.0, "c")], "id long, n double, v string"), "t", on_schema_change="sync_all")
+    assert rows_of() == ["Row(id=1, n=5.0, v=None)", "Row(id=2, n=6.5, v=None)", "Row(id=3, n=7.0, v='c')"]  # The old v is gone for good.
+    with pytest.raises(types.SchemaChanged):
+        store.merge(spark.createDataFrame([(3, "x", "c")], "id long, n string, v string"), "t", on_schema_change="sync_all")
+    with pytest.raises(types.SchemaChanged):
+        types.align_to_schema(spark.range(1).selectExpr("id", "1 as v"), T.StructType.fromDDL("id bigint, v string"), "fail")
+
+
 def test_cursor(spark):
     docs = batch(spark, [(i, "x", stamp(i)) for i in range(1, 6)])
     assert pages.incremental_extract(docs, None, stamp(2)).count() == 4
