@@ -21,6 +21,7 @@ from storelake.llm.shared import slices
 BUCKETS = 1 << 15
 MAX_LANGUAGES = 256
 TRAIN_DOCS = 20_000  # Expected size of the training sample; with fewer labelled rows all are used.
+_HASHES = (1 << 63) - 1
 UNDETERMINED = "und"
 _CELLS = 1 << 21  # Matrix cells gathered at once.
 _LETTER = np.array([chr(c).isalpha() for c in range(1 << 16)])
@@ -96,18 +97,36 @@ class LanguageModel:
         return pd.DataFrame({"lang_pred": np.where(seen, names, UNDETERMINED), "score": np.where(seen, posterior, 0.0)})
 
 
+def shares(counts: dict[str, int], train_docs: int) -> dict[str, float]:
+    """The part of each language's rows to learn from, so that about ``train_docs`` rows are drawn in all.
+
+    Languages with few rows give all of them; the others share what is left evenly, so that no language
+    vanishes beside a larger one, however large the table.
+    """
+    left, out = train_docs, {}
+    for k, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        quota = left / (len(counts) - k)
+        out[lang] = min(1.0, quota / n)
+        left -= min(n, quota)
+    return out
+
+
 def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS, smoothing: float = 0.1) -> LanguageModel:
     """Learn from rows (doc_id, text, lang) with text and lang; others say nothing.
 
-    Of more than ``train_docs`` rows a sample of about that size is taken, by a hash of doc_id. No labelled
-    rows give a model that calls everything undetermined. More than ``MAX_LANGUAGES`` languages in the
-    sample are an error, since the broadcast matrix is sized for that many.
+    Rows of each language are drawn by a 63-bit hash of doc_id and text; priors are the shares of all rows.
+    No labelled rows give a model that calls everything undetermined. Of more than ``MAX_LANGUAGES`` values
+    of lang those with the most rows are learned, ties by name.
     """
     rows = labelled.filter("text is not null and lang is not null and doc_id is not null")
-    n = rows.count()
-    share = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("language")), F.lit(1_000_000))
-    if n > train_docs:
-        rows = rows.filter(share < int(1_000_000 * train_docs / n))
+    common = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    totals = {r["lang"]: r["n"] for r in common.collect()}
+    if not totals:
+        return LanguageModel([], np.zeros(0), np.zeros((BUCKETS, 0)))
+    drawn = F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit("language")).bitwiseAND(F.lit(_HASHES))
+    bounds = F.create_map(*[x for lang, share in shares(totals, train_docs).items() for x in (
+        F.lit(lang), F.lit(min(int(share * _HASHES), _HASHES)).cast("long"))])
+    rows = rows.filter(drawn <= bounds[F.col("lang")])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: dict[str, np.ndarray] = {}
@@ -117,8 +136,6 @@ def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS, smoothing: float =
                 own[BUCKETS] += 1
                 for grams in _grams(text):
                     own[:BUCKETS] += np.bincount(grams, minlength=BUCKETS)
-            if len(counts) > MAX_LANGUAGES:
-                raise ValueError(f"more than {MAX_LANGUAGES} languages")
         for lang, own in counts.items():
             held = np.flatnonzero(own)
             yield pd.DataFrame({"lang": lang, "bucket": held, "n": own[held]})
@@ -127,14 +144,10 @@ def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS, smoothing: float =
     # At most MAX_LANGUAGES * (BUCKETS + 1) rows.
     table = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(table["lang"].unique().tolist())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     counts = np.zeros((BUCKETS + 1, len(languages)))
     counts[table["bucket"].to_numpy(np.int64), [languages.index(x) for x in table["lang"]]] = table["n"]
-    docs, grams = counts[BUCKETS], counts[:BUCKETS] + smoothing
-    if not languages:
-        return LanguageModel([], np.zeros(0), np.zeros((BUCKETS, 0)))
-    return LanguageModel(languages, np.log(docs / docs.sum()), np.log(grams / grams.sum(axis=0)))
+    grams, prior = counts[:BUCKETS] + smoothing, np.array([totals[lang] for lang in languages], float)
+    return LanguageModel(languages, np.log(prior / prior.sum()), np.log(grams / grams.sum(axis=0)))
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> Column:
@@ -157,7 +170,8 @@ def languages(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) per row of ``docs``, learned from the rows that are not held out.
 
     Null texts and texts without letters are ``und`` with score 0. Repeated rows get equal answers, ties go
-    to the first language by name, an empty table gives no rows, and other columns are not read.
+    to the first language by name, an empty table gives no rows; other columns, whatever their names, are not
+    read. A very long text is scored whole, its n-grams a bounded number at a time.
     """
     model = train(docs.filter(~held_out(F.col("doc_id"))), train_docs)
     found = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), predict(docs, model).alias("found"))
@@ -165,7 +179,11 @@ def languages(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.5, train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """``docs`` without the rows whose language is undetermined or uncertain; all columns stay."""
+    """``docs`` without the rows whose language is undetermined or uncertain; all columns stay.
+
+    Null texts and texts without letters go; repeated rows go or stay together; without labelled rows nothing
+    can be told and all rows go. An empty table stays empty. Columns beside doc_id, text and lang may have any name.
+    """
     model = train(docs.filter(~held_out(F.col("doc_id"))), train_docs)
     found = predict(docs, model)
     return docs.filter((found["lang_pred"] != UNDETERMINED) & (found["score"] >= min_score))

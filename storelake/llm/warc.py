@@ -5,7 +5,7 @@ become revisits without payload. Each task writes its own files to the shared fo
 attempt uses; only the files of successful attempts are listed in the manifest, so lost executors and
 repeated tasks leave nothing that a reader sees.
 
-The reader streams a file in pieces. A record is accepted if its member inflates with the right checksum
+The reader takes a file in pieces and holds no more than one. A record is accepted if its member inflates with the right checksum
 (or, uncompressed, if it starts with a version line), its length agrees and its digest fits. Where a
 check fails, it searches for the next member or version line that begins a valid record, goes on
 there, and logs the bytes between as a quarantined gap.
@@ -16,10 +16,10 @@ Folders must be on a file system that pyarrow opens by its address (file, hdfs,
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -30,10 +30,12 @@ from storelake.llm.shared import scratch_path, stored
 
 MIN_REVISIT_BYTES = 1000
 FILE_BYTES = 64 << 20  # A file is closed once it is this large.
-MEMBER_LIMIT = 1 << 30  # A member that inflates beyond this is taken for damage.
+PAYLOAD_LIMIT = (1 << 31) - (1 << 20)  # No row holds more bytes.
 _PIECE = 1 << 20
 _GZIP = b"\x1f\x8b\x08"
 _VERSION = b"WARC/1."
+_MARK = re.compile(rb"\x1f\x8b\x08|WARC/1[.]")
+_END = b"\r\n\r\n"
 _HEAD_LIMIT = 64 << 10
 
 
@@ -128,58 +130,86 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_B
 # --- salvage ----------------------------------------------------------------------------------
 
 
-@dataclass
 class Source:
-    """A file as bytes at offsets, read in pieces; what lies before ``forget`` is dropped."""
-    stream: object
-    start: int = 0
-    held: bytearray = field(default_factory=bytearray)
-    ended: bool = False
-
-    def upto(self, end: int) -> int:
-        """Read on until ``end`` if there is so much; the offset up to which bytes are held."""
-        while not self.ended and self.start + len(self.held) < end:
-            piece = self.stream.read(_PIECE)
-            self.ended = not piece
-            self.held += piece
-        return self.start + len(self.held)
+    """A file as bytes at offsets. A window of bounded size is held, so that going back costs a read, not memory."""
+
+    def __init__(self, stream):
+        self.stream, self.start, self.held = stream, 0, b""
+        stream.seek(0, 2)
+        self.size = stream.tell()
 
     def get(self, at: int, size: int) -> bytes:
-        self.upto(at + size)
-        return bytes(self.held[at - self.start:at - self.start + size])
-
-    def find(self, what: bytes, at: int, limit: int | None = None) -> int:
-        """Offset of the next ``what`` from ``at``, before ``limit``; -1 if there is none."""
-        while True:
-            end = self.start + len(self.held)
-            found = self.held.find(what, at - self.start, None if limit is None else max(0, limit - self.start))
-            if found >= 0:
-                return found + self.start
-            if self.ended or (limit is not None and end >= limit):
-                return -1
-            at = max(at, end - len(what) + 1)
-            self.upto(end + 1)
-
-    def forget(self, at: int) -> None:
-        if at - self.start >= _PIECE:
-            del self.held[:at - self.start]
-            self.start = at
+        if not self.start <= at <= at + size <= self.start + len(self.held) and at < self.size:
+            self.stream.seek(at)
+            self.start, self.held = at, self.stream.read(max(size, _PIECE))
+        return self.held[max(at - self.start, 0):at - self.start + size] if at < self.size else b""
+
+    def mark(self, at: int) -> int:
+        """Offset of the next member or version line from ``at``, the end of the file if there is none."""
+        while at < self.size:
+            piece = self.get(at, max(_PIECE, len(_VERSION)))
+            found = _MARK.search(piece)
+            if found:
+                return at + found.start()
+            at += max(len(piece) - len(_VERSION) + 1, 1)
+        return self.size
 
 
 class Damage(Exception):
     """A check that failed."""
 
 
-def parse_record(raw: bytes) -> dict:
-    """The record in a whole member; raises Damage if any check fails."""
-    head, blank, rest = raw.partition(b"\r\n\r\n")
-    if not blank or not head.startswith(_VERSION):
-        raise Damage("no header")
-    fields = _fields(head)
-    length = _length(fields)
-    if rest[length:] != b"\r\n\r\n":
-        raise Damage("length")
-    return _checked(fields, rest[:length])
+class _Plain:
+    """The bytes of an uncompressed record, in pieces."""
+
+    def __init__(self, source: Source, at: int):
+        self.source, self.after = source, at
+
+    def read(self, most: int) -> bytes:
+        piece = self.source.get(self.after, min(most, _PIECE))
+        self.after += len(piece)
+        return piece
+
+    def expect(self, size: int) -> None:
+        """Fail early where the record cannot end ``size`` bytes on."""
+        if self.source.get(self.after + size, 4) != _END:
+            raise Damage("length")
+
+    def close(self) -> None:
+        pass
+
+
+class _Member:
+    """The bytes of a gzip member, inflated in pieces."""
+
+    def __init__(self, source: Source, at: int):
+        self.source, self.after = source, at
+        self.inflate, self.waiting = zlib.decompressobj(31), b""
+
+    def read(self, most: int) -> bytes:
+        while not self.inflate.eof:
+            if not self.waiting:
+                self.waiting = self.source.get(self.after, _PIECE // 4)
+                if not self.waiting:
+                    raise Damage("cut off")
+            try:
+                out = self.inflate.decompress(self.waiting, most)
+            except zlib.error as error:
+                raise Damage("member") from error
+            rest = self.inflate.unused_data if self.inflate.eof else self.inflate.unconsumed_tail
+            self.after += len(self.waiting) - len(rest)
+            self.waiting = rest
+            if out:
+                return out
+        return b""
+
+    def expect(self, size: int) -> None:
+        pass
+
+    def close(self) -> None:
+        """The member must end where the record does; its checksum is read on the way."""
+        if self.read(1):
+            raise Damage("length")
 
 
 def _fields(head: bytes) -> dict[str, str]:
@@ -192,88 +222,87 @@ def _fields(head: bytes) -> dict[str, str]:
     return out
 
 
-def _length(fields: dict[str, str]) -> int:
-    value = fields.get("content-length", "")
-    if not value.isascii() or not value.isdigit():
-        raise Damage("no length")
-    if len(value) > 12 or int(value) > MEMBER_LIMIT:
-        raise Damage("length")
-    return int(value)
-
+def _number(value: str | None) -> int | None:
+    """A header's number; None where it is none, or has more digits than any length."""
+    return int(value) if value and value.isascii() and value.isdigit() and len(value) <= 18 else None
 
-def _checked(fields: dict[str, str], payload: bytes) -> dict:
-    kind = fields.get("warc-type", "")
-    name, _, digest = fields.get("warc-payload-digest", "").partition(":")
-    if kind != "revisit" and name == "sha1" and hashlib.sha1(payload).hexdigest() != digest.lower():
-        raise Damage("digest")
-    return {"fields": fields, "type": kind, "payload": payload, "digest": digest.lower()}
 
-
-def _member(source: Source, at: int) -> tuple[bytes, int]:
-    """The inflated member at an offset and the offset after it."""
-    inflate = zlib.decompressobj(31)
-    out, place = bytearray(), at
-    while not inflate.eof:
-        piece = source.get(place, _PIECE // 4)
+def _parsed(body: _Plain | _Member, keep: bool) -> dict:
+    """The record that begins a stream of bytes, read in pieces; raises Damage if any check fails."""
+    head = b""
+    while _END not in head:
+        piece = body.read(4096)
+        if not piece or len(head) > _HEAD_LIMIT or not (head + piece).startswith(_VERSION[:len(head + piece)]):
+            raise Damage("no header")
+        head += piece
+    head, _, held = head.partition(_END)
+    fields = _fields(head)
+    length = _number(fields.get("content-length"))
+    if length is None:
+        raise Damage("no length")
+    body.expect(length - len(held))
+    digest, kept, left = hashlib.sha1(), [], length
+    while left > 0:
+        held = held or body.read(min(left, _PIECE))
+        if not held:
+            raise Damage("length")
+        piece, held = held[:left], held[left:]
+        digest.update(piece)
+        left -= len(piece)
+        if keep and length < PAYLOAD_LIMIT:
+            kept.append(piece)
+    while len(held) < len(_END):
+        piece = body.read(len(_END) - len(held))
         if not piece:
-            raise Damage("cut off")
-        try:
-            out += inflate.decompress(piece, max(1, MEMBER_LIMIT - len(out)))
-        except zlib.error as error:
-            raise Damage("member") from error
-        if inflate.unconsumed_tail or (not out.startswith(_VERSION) and len(out) >= len(_VERSION)):
-            raise Damage("member")
-        place += len(piece) - len(inflate.unused_data)
-    return bytes(out), place
-
-
-def _plain(source: Source, at: int) -> tuple[dict, int]:
-    """The uncompressed record at an offset and the offset after it."""
-    end = source.find(b"\r\n\r\n", at, at + _HEAD_LIMIT)
-    if end < 0:
-        raise Damage("no header")
-    fields = _fields(source.get(at, end - at))
-    length = _length(fields)
-    tail = end + 4 + length
-    if source.upto(tail + 4) < tail + 4 or source.get(tail, 4) != b"\r\n\r\n":
+            raise Damage("length")
+        held += piece
+    if held[:len(_END)] != _END or isinstance(body, _Member) and len(held) > len(_END):
         raise Damage("length")
-    return _checked(fields, source.get(end + 4, length)), tail + 4
+    if isinstance(body, _Plain):
+        body.after -= len(held) - len(_END)
+    body.close()
+    kind = fields.get("warc-type", "")
+    name, _, claimed = fields.get("warc-payload-digest", "").partition(":")
+    if kind != "revisit" and name == "sha1" and digest.hexdigest() != claimed.lower():
+        raise Damage("digest")
+    return {"fields": fields, "type": kind, "payload": b"".join(kept) if keep and length < PAYLOAD_LIMIT else None,
+            "bytes": length, "digest": claimed.lower() if kind == "revisit" else digest.hexdigest()}
 
 
-def _record(source: Source, at: int) -> tuple[dict, int]:
+def _record(source: Source, at: int, keep: bool) -> tuple[dict, int]:
+    """The record at an offset and the offset after it."""
     start = source.get(at, len(_VERSION))
-    if start.startswith(_GZIP):
-        raw, after = _member(source, at)
-        return parse_record(raw), after
-    if start == _VERSION:
-        return _plain(source, at)
-    raise Damage("neither member nor version line")
+    if not start.startswith(_GZIP) and start != _VERSION:
+        raise Damage("neither member nor version line")
+    body = _Member(source, at) if start.startswith(_GZIP) else _Plain(source, at)
+    return _parsed(body, keep), body.after
+
 
+def salvage(stream: object, keep: bool = True) -> Iterator[tuple[str, int, int, object]]:
+    """("record", start, end, record) and ("gap", start, end, reason), in order, over all bytes of a seekable file.
 
-def salvage(stream: object) -> Iterator[tuple[str, int, int, object]]:
-    """("record", start, end, record) and ("gap", start, end, reason), in order, over all bytes of a file."""
+    Memory is that of a piece, and of one payload with ``keep``, wherever and however long a file is damaged.
+    """
     source, at = Source(stream), 0
-    while source.upto(at + 1) > at:
+    while at < source.size:
         try:
-            record, after = _record(source, at)
+            record, after = _record(source, at, keep)
         except Damage as damage:
             after = _next_valid(source, at + 1)
             yield "gap", at, after, str(damage)
         else:
             yield "record", at, after, record
         at = after
-        source.forget(at)
 
 
 def _next_valid(source: Source, at: int) -> int:
     """Offset of the next valid record, or the end of the file."""
     while True:
-        starts = [p for p in (source.find(_GZIP, at), source.find(_VERSION, at)) if p >= 0]
-        if not starts:
-            return source.upto(1 << 62)
-        at = min(starts)
+        at = source.mark(at)
+        if at >= source.size:
+            return source.size
         try:
-            _record(source, at)
+            _record(source, at, False)
         except Damage:
             at += 1
         else:
@@ -284,38 +313,43 @@ def _bare(value: str | None) -> str | None:
     return value.removeprefix("<urn:page:").removesuffix(">") if value else None
 
 
-def read_archives(listed: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+def read_archives(listed: DataFrame, folder: str, payloads: bool = True, whole: bool = False) -> tuple[DataFrame, DataFrame]:
     """The records (page_id, url, record_type, payload, payload_digest, payload_bytes, refers_to) and the gaps.
 
     ``listed`` has a column path, relative to the folder. The gaps are (path, start, end, reason). Both are
-    read from the archives when used. Ids are text as they stand in the records.
+    read from the archives when used. Ids are text as they stand in the records; a header that is missing
+    or holds no number gives null. A payload of 2 GB or more, which no row can hold, is null, as all are without
+    ``payloads``; its digest and length are those of the record. With ``whole`` a gap, or a number of
+    records other than the column records says, is an error. No paths, no rows.
     """
     def found(wanted: str):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             files, root = open_folder(folder)
             for batch in batches:
-                for path in batch["path"]:
-                    rows, size = [], 0
-                    with files.open_input_stream(f"{root}/{path}", compression=None) as stream:
-                        for kind, start, end, what in salvage(stream):
+                for path, expected in zip(batch["path"], batch["records"] if whole else batch["path"]):
+                    rows, size, records = [], 0, 0
+                    with files.open_input_file(f"{root}/{path}") as stream:
+                        for kind, start, end, what in salvage(stream, payloads and wanted == "record"):
+                            records += kind == "record"
+                            if whole and kind == "gap":
+                                raise RuntimeError(f"{path}: damage from {start} to {end}: {what}")
                             if kind != wanted:
                                 continue
                             if kind == "gap":
                                 rows.append((path, start, end, what))
                             else:
-                                fields, payload = what["fields"], what["payload"]
-                                revisit = what["type"] == "revisit"
-                                length = fields.get("x-payload-length", "")
+                                fields, revisit = what["fields"], what["type"] == "revisit"
                                 rows.append((
                                     _bare(fields.get("warc-record-id")), fields.get("warc-target-uri"), what["type"],
-                                    None if revisit else payload,
-                                    what["digest"] if revisit else hashlib.sha1(payload).hexdigest(),
-                                    (int(length) if length.isdigit() else None) if revisit else len(payload),
+                                    None if revisit else what["payload"], what["digest"],
+                                    _number(fields.get("x-payload-length")) if revisit else what["bytes"],
                                     _bare(fields.get("warc-refers-to"))))
-                                size += len(payload)
+                                size += len(what["payload"] or b"")
                             if size >= _PIECE or len(rows) >= 1000:
                                 yield pd.DataFrame(rows, columns=columns)
                                 rows, size = [], 0
+                    if whole and records != expected:
+                        raise RuntimeError(f"{path}: {records} records, {expected} were written")
                     if rows:
                         yield pd.DataFrame(rows, columns=columns)
         kinds = {"gap": "path string, start long, end long, reason string",
@@ -324,14 +358,19 @@ def read_archives(listed: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]
         columns = [c.split()[0] for c in kinds.split(", ")]
         return spread.mapInPandas(run, kinds)
     # A task for each file or few: the list itself is too small to be split by size.
-    spread = listed.select("path").repartition(min(max(listed.count(), 1), 10_000))
+    spread = listed.select("path", *["records"] * whole).repartition(min(max(listed.count(), 1), 10_000))
     return found("record"), found("gap")
 
 
 def archived_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write all pages, read the archives back: (page_id, payload_bytes, payload_digest, record_type, refers_to) per page."""
+    """Write all pages, read the archives back: (page_id, payload_bytes, payload_digest, record_type, refers_to) per page.
+
+    Null html is an empty payload; of equal payloads the largest page_id is the response, and rows that
+    repeat it, or have no page_id, are responses too. An empty table gives no rows; other columns are not read.
+    Payloads are read in pieces, however long. A record that does not come back whole is an error.
+    """
     folder = folder or scratch_path(pages.sparkSession, "warc")
-    records, _ = read_archives(write_archives(pages, folder), folder)
+    records, _ = read_archives(write_archives(pages, folder), folder, payloads=False, whole=True)
     ids = pages.schema["page_id"].dataType
     return records.select(F.col("page_id").cast(ids).alias("page_id"), "payload_bytes", "payload_digest",
                           "record_type", F.col("refers_to").cast(ids).alias("refers_to"))

@@ -48,6 +48,25 @@ def test_score_equals_a_plain_computation(spark):
     assert abs(score.score[0] - 1 / sum(math.exp(v - logs[best]) for v in logs.values())) < 1e-9
 
 
+def test_no_language_vanishes_beside_a_larger_one():
+    for n in (10**5, 10**11, 10**15):
+        found = li.shares({"big": n, "mid": n // 10, "few": 5}, 20_000)
+        assert found["few"] == 1.0 and all(share * li._HASHES >= 1 for share in found.values())
+        assert abs(5 + n * found["big"] + n // 10 * found["mid"] - 20_000) < 1
+    assert li.shares({"a": 3, "b": 4}, 20_000) == {"a": 1.0, "b": 1.0}
+
+
+def test_a_rare_language_is_learned_and_many_languages_do_no_harm(spark):
+    ship_package(spark)
+    rows = [(i, "the of and house", "en") for i in range(3000)] + [(5000 + i, "zyx wvu", "rare") for i in range(5)]
+    model = li.train(documents(spark, rows), train_docs=100)
+    assert model.languages == ["en", "rare"] and model.score(pd.Series(["zyx wvu wvu"])).lang_pred[0] == "rare"
+    assert np.allclose(np.exp(model.prior), [3000 / 3005, 5 / 3005])
+    many = [(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26)}", f"l{i % 300:03}") for i in range(600)] + [(900, "same", "l299")]
+    learned = li.train(documents(spark, many)).languages
+    assert len(learned) == li.MAX_LANGUAGES and "l299" in learned and "l298" not in learned
+
+
 def test_pieces_of_long_texts_lose_nothing(monkeypatch):
     text = "Straße année niño 12 xİy " * 300
     whole = np.concatenate(list(li._grams(text)))

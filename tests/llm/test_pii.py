@@ -124,3 +124,11 @@ def test_rows(spark):
     assert [text[int(s.split(":")[1]):int(s.split(":")[2])] for s in one.spans.split(",")] == [
         "ann@example.com", "+1 (366) 555-9807", "555-867-5309"]
     assert pii.span_digests(pii.personal_data(spark.createDataFrame([], DOCS))).collect() == []
+
+
+def test_long_runs_of_digits_end_no_query():
+    for text in ("0" * 5000 + ".1.1.1", "1.2.3." + "0" * 5000 + "4", "9" * 6000 + ".1.1.1", "1." * 5000):
+        found = pii.base_spans(text)
+        assert [k for _, _, k, _ in found if k == "ip"] == ["ip"] * (("0" * 5000) in text) or text.startswith("1.1.")
+    assert pii.base_spans("000.1.255.00") == [(0, 1, "ip", 12)]
+    assert pii.shape("a1" * 100) == "aD1" * 100

@@ -4,6 +4,7 @@ import io
 import random
 
 import pyarrow.fs as pafs
+import pytest
 
 from storelake.llm import warc
 from storelake.llm.shared import ship_package
@@ -93,6 +94,57 @@ def test_small_pieces(monkeypatch):
     assert salvaged(data)[0] == [*range(8), *range(4)]
 
 
+def test_damage_is_searched_without_holding_the_file(monkeypatch):
+    monkeypatch.setattr(warc, "_PIECE", 64)
+    most = [0]
+    read = warc.Source.get
+    def watched(self, at, size):
+        out = read(self, at, size)
+        most[0] = max(most[0], len(self.held))
+        return out
+    monkeypatch.setattr(warc.Source, "get", watched)
+    parts = archive(40, False)
+    data = bytearray(b"".join(parts))
+    data[len(parts[0]) - 8] ^= 0xFF
+    data[len(parts[0]):len(parts[0])] = b"WARC/1.1\r\nContent-Length: 999999\r\n\r\n" * 20
+    assert salvaged(bytes(data))[0] == list(range(1, 40)) and most[0] <= 4096
+
+
+def test_odd_numbers_in_headers_end_no_reader():
+    for number in ("\u00b2", "9" * 5000, "-1", ""):
+        assert warc._number(number) is None
+        record = warc.format_record(1, "u", b"", "0" * 40, 2, True).replace(b"X-Payload-Length: 0", f"X-Payload-Length: {number}".encode())
+        assert salvaged(record)[0] == [1]
+        broken = archive(1, False)[0].replace(b"Content-Length:", f"Content-Length: {number}x".encode())
+        assert salvaged(broken + archive(2)[1])[0] == [1]
+
+
+def test_long_members_come_back(monkeypatch):
+    body = bytes(5_000_000)
+    record = gzip.compress(warc.format_record(3, "u", body, hashlib.sha1(body).hexdigest(), None, False))
+    (found,) = warc.salvage(io.BytesIO(record), keep=False)
+    assert found[3]["bytes"] == len(body) and found[3]["payload"] is None and found[3]["digest"] == hashlib.sha1(body).hexdigest()
+    monkeypatch.setattr(warc, "PAYLOAD_LIMIT", 1000)
+    (found,) = warc.salvage(io.BytesIO(record))
+    assert found[0] == "record" and found[3]["payload"] is None and found[3]["bytes"] == len(body)
+
+
+def test_a_lost_record_is_an_error(spark, tmp_path):
+    ship_package(spark)
+    folder = f"file://{tmp_path}/strict"
+    listed = warc.write_archives(spark.createDataFrame([(i, "u", f"{i} " * 300) for i in range(9)], PAGES).coalesce(1), folder)
+    assert warc.read_archives(listed, folder, whole=True)[0].count() == 9
+    with pytest.raises(Exception, match="9 records, 8 were written"):
+        warc.read_archives(listed.selectExpr("path", "8 AS records"), folder, whole=True)[0].collect()
+    (path,) = [r.path for r in listed.collect()]
+    with open(f"{tmp_path}/strict/{path}", "r+b") as out:
+        out.seek(60)
+        out.write(b"????")
+    with pytest.raises(Exception, match="damage from"):
+        warc.read_archives(listed, folder, whole=True)[0].collect()
+    assert warc.read_archives(listed, folder)[0].count() == 8
+
+
 def test_gaps_are_logged_from_damaged_files(spark, tmp_path):
     ship_package(spark)
     folder = f"file://{tmp_path}/archives"
