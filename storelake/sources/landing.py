@@ -8,7 +8,8 @@ values; a file is examined once, and sketches are united by a lattice of types.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -66,17 +67,19 @@ def united(kinds: Iterable[str]) -> T.DataType:
     return _TYPES.get(known.pop(), T.StringType()) if len(known) == 1 else T.StringType()
 
 
-def schema_of_fields(fields: DataFrame, documents: T.StructType) -> T.StructType:
-    """The declared fields, then by name every other one of (name, kinds)."""
-    others = fields.filter(~F.col("name").isin(*documents.names)).groupBy("name").agg(
+def schemas_of_fields(fields: DataFrame, declared: Mapping[str, T.StructType]) -> dict[str, T.StructType]:
+    """The declared fields, then by name every other one of (collection, name, kinds), for each declared collection."""
+    named = [F.struct(F.lit(c).alias("collection"), F.lit(n).alias("name")) for c, schema in declared.items() for n in schema.names]
+    others = fields.filter(~F.struct("collection", "name").isin(*named)).groupBy("collection", "name").agg(
         F.array_distinct(F.flatten(F.collect_set("kinds"))).alias("kinds"))
-    rows = others.limit(MAX_FIELDS + 1).collect()
-    if len(rows) > MAX_FIELDS:
-        raise ValueError(f"more than {MAX_FIELDS} top-level fields: the documents are used as maps")
-    schema = T.StructType(list(documents.fields))
-    for name, kinds in sorted(tuple(r) for r in rows):
-        schema.add(name, united(kinds))
-    return schema
+    rows = others.limit(MAX_FIELDS * len(declared) + 1).collect()
+    out = {}
+    for collection, documents in declared.items():
+        found = sorted((r["name"], r["kinds"]) for r in rows if r["collection"] == collection)
+        if len(found) > MAX_FIELDS:
+            raise ValueError(f"more than {MAX_FIELDS} top-level fields: the documents are used as maps")
+        out[collection] = T.StructType([*documents.fields, *[T.StructField(n, united(kinds)) for n, kinds in found]])
+    return out
 
 
 class Landing:
@@ -110,18 +113,29 @@ class Landing:
         """Start over: the next load reads all files. What is known of their fields stays."""
         self.store.drop(_LEDGER)
 
-    def schema(self, collection: str, paths: str | list[str], documents: T.StructType, multi_line: bool = False) -> T.StructType:
-        """Fields of a collection, all that its files had so far; files not seen before are examined first."""
-        fresh = self._unknown(_FIELDS, collection, landed_files(self.spark, paths))
-        names = [r["path"] for r in fresh.select("path").limit(FILES_PER_LOAD).collect()]
-        while names:
-            found = field_kinds(page_texts(self.spark, names, multi_line))
+    def schemas(self, folders: Mapping[str, str | list[str]], declared: Mapping[str, T.StructType],
+                multi_line: bool = False) -> dict[str, T.StructType]:
+        """Fields per collection, all that its files had so far; files not seen before are examined first.
+
+        One listing, and one pass over the sketches, for all collections.
+        """
+        def fresh() -> list[Row]:
+            parts = [landed_files(self.spark, path).withColumn("collection", F.lit(c)) for c, path in folders.items()]
+            every = reduce(DataFrame.unionByName, parts).select(*_FILE)
+            if self.store.exists(_FIELDS):
+                every = every.join(self.store.read(_FIELDS).select(*_FILE), _FILE, "left_anti")
+            return every.limit(FILES_PER_LOAD).collect()
+
+        while files := fresh():
+            paths = [f["path"] for f in files]
+            found = field_kinds(page_texts(self.spark, paths, multi_line))
             sketches = found.groupBy("path").agg(F.collect_list(F.struct("name", "kinds")).alias("fields"))
-            files = landed_files(self.spark, names).withColumn("collection", F.lit(collection)).join(sketches, "path", "left")
-            self.store.append(files.select(*_FILE, "fields"), _FIELDS)
-            fresh = self._unknown(_FIELDS, collection, landed_files(self.spark, paths))
-            names = [r["path"] for r in fresh.select("path").limit(FILES_PER_LOAD).collect()]
-        known = self._known(_FIELDS, collection)
-        if known is None:
-            return documents
-        return schema_of_fields(known.select(F.explode("fields").alias("f")).select("f.*"), documents)
+            rows = self.spark.createDataFrame(files, "collection string, path string, length long, modified timestamp")
+            self.store.append(rows.join(sketches, "path", "left").select(*_FILE, "fields"), _FIELDS)
+        if not self.store.exists(_FIELDS):
+            return dict(declared)
+        known = self.store.read(_FIELDS).filter(F.col("collection").isin(*folders))
+        return schemas_of_fields(known.select("collection", F.explode("fields").alias("f")).select("collection", "f.*"), declared)
+
+    def schema(self, collection: str, paths: str | list[str], documents: T.StructType, multi_line: bool = False) -> T.StructType:
+        return self.schemas({collection: paths}, {collection: documents}, multi_line)[collection]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelake.functions.dates import moment
-from storelake.sources.landing import Landing, field_kinds, page_texts, schema_of_fields
+from storelake.sources.landing import Landing, field_kinds, page_texts, schemas_of_fields
 from storelake.sources.schemas import (
     COLLECTIONS, CURSOR, INITIAL_TIMESTAMP, collection_schema, page_schema,
 )
@@ -33,9 +33,12 @@ def found_schema(spark: SparkSession, path: str | list[str], documents: T.Struct
     not parse add nothing: the read itself fails on them or rejects them.
     """
     if landing:
-        schema = landing.schema(collection, path, documents, multi_line)
-    else:
-        schema = schema_of_fields(field_kinds(page_texts(spark, path, multi_line)), documents)
+        return _unclashing(landing.schema(collection, path, documents, multi_line), path)
+    fields = field_kinds(page_texts(spark, path, multi_line)).withColumn("collection", F.lit(collection))
+    return _unclashing(schemas_of_fields(fields, {collection: documents})[collection], path)
+
+
+def _unclashing(schema: T.StructType, path: str | list[str]) -> T.StructType:
     columns = [_column(n).lower() for n in schema.names]
     clashing = [n for n, c in zip(schema.names, columns) if columns.count(c) > 1]
     if clashing:
@@ -68,6 +71,8 @@ def read_collection_pages(
 def parsed_pages(spark: SparkSession, path: str | list[str], fields: T.StructType, multi_line: bool = False,
                  on_bad: str = "fail") -> DataFrame:
     """The documents of pages whose fields are known, in one pass."""
+    if on_bad not in ON_BAD:
+        raise ValueError(f"on_bad must be one of {', '.join(ON_BAD)}")
     if on_bad == "reject":
         return documents_of(_marked_pages(spark, path, fields, multi_line).filter(~_rejected()))
     reader = spark.read.schema(page_schema(fields)).option("multiLine", multi_line).option("mode", "FAILFAST")
@@ -106,11 +111,13 @@ def read_collections(
     spark: SparkSession, root: str, names: Iterable[str] = tuple(COLLECTIONS), zoned: bool = True,
     multi_line: bool = False, on_bad: str = "fail", landing: Landing | None = None,
 ) -> dict[str, DataFrame]:
-    """The named collections below ``root/<collection>/``."""
-    return {
-        name: read_collection_pages(spark, f"{root}/{name}", collection_schema(name, zoned), multi_line, on_bad, landing, name)
-        for name in names
-    }
+    """The named collections below ``root/<collection>/``. With a ``landing`` their files are listed and examined together."""
+    folders = {name: f"{root}/{name}" for name in names}
+    declared = {name: collection_schema(name, zoned) for name in names}
+    if not landing:
+        return {name: read_collection_pages(spark, path, declared[name], multi_line, on_bad) for name, path in folders.items()}
+    fields = landing.schemas(folders, declared, multi_line)
+    return {name: parsed_pages(spark, path, _unclashing(fields[name], path), multi_line, on_bad) for name, path in folders.items()}
 
 
 def read_rejected(
