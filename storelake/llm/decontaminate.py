@@ -8,24 +8,30 @@ edit distance. Texts are compared lower-cased, with runs of white space as one b
 An item below ``min_chars`` characters may be plain speech with an edit more, so it is sought word for
 word: no edits, and between word boundaries where its script has them.
 
-Scale: documents are not shuffled. Items are read from the benchmark table in blocks of bounded size,
-each broadcast and run over all documents as one column. A benchmark is a stated query set, far
-smaller than the corpus; its blocks, and their automata in a worker, grow with the benchmark alone.
+Scale: documents are not shuffled. Items are read from the benchmark table in blocks of bounded size. A block is
+broadcast and run over all documents; where there are several, each writes its hits before the next is read, so
+that one block and one automaton are held at a time, and the hits meet the documents by row at the end. A window
+with many occurrences is scanned once.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import chain, islice
+from uuid import uuid4
 
 import ahocorasick
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_CHARS = 4_000_000  # Characters of items in one broadcast.
+from storelake.llm.shared import stored
+
+BLOCK_CHARS = 1_000_000  # Characters of items in one broadcast.
 ERROR_RATE = 0.05
 MIN_CHARS = 25  # Shorter items are sought without edits.
 # Thai to Tibetan, Burmese, Khmer, ideographs with kana and bopomofo, half-width kana, later ideographs.
@@ -46,15 +52,18 @@ def pieces(item: str, budget: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
-def myers(item: str, window: str, budget: int) -> tuple[int, int] | None:
-    """Least edits with which the item occurs in the window, and the end of its first best occurrence; None above the budget."""
-    m = len(item)
-    full, top = (1 << m) - 1, 1 << (m - 1)
+def masks_of(item: str) -> dict[str, int]:
     masks: dict[str, int] = {}
     for i, c in enumerate(item):
         masks[c] = masks.get(c, 0) | 1 << i
-    plus, minus, score, best = full, 0, m, None
-    for j, c in enumerate(window):
+    return masks
+
+
+def scores(m: int, masks: dict[str, int], window: str) -> Iterator[int]:
+    """For each place of the window the least edits with which an item of m characters ends there."""
+    full, top = (1 << m) - 1, 1 << (m - 1)
+    plus, minus, score = full, 0, m
+    for c in window:
         eq = masks.get(c, 0)
         cross = (((eq & plus) + plus) ^ plus) | eq | minus
         up = minus | ~(cross | plus) & full
@@ -68,9 +77,26 @@ def myers(item: str, window: str, budget: int) -> tuple[int, int] | None:
         vertical = eq | minus
         plus = (down | ~(vertical | up)) & full
         minus = up & vertical
+        yield score
+
+
+def myers(item: str, window: str, budget: int) -> tuple[int, int] | None:
+    """Least edits with which the item occurs in the window, and the end of its first best occurrence; None above the budget."""
+    best = min(((s, j) for j, s in enumerate(scores(len(item), masks_of(item), window), 1)), default=None)
+    return best if best and best[0] <= budget else None
+
+
+def minima(found: Iterator[int], budget: int) -> list[tuple[int, int]]:
+    """(edits, end) of the first least scores within the budget, the next one more than a budget further on."""
+    out: list[tuple[int, int]] = []
+    best = None
+    for j, score in enumerate(found, 1):
+        if best and (score > budget or j - best[1] > budget):
+            out.append(best)
+            best = None
         if score <= budget and (best is None or score < best[0]):
-            best = (score, j + 1)
-    return best
+            best = (score, j)
+    return out + [best] * (best is not None)
 
 
 def is_mark(char: str) -> bool:
@@ -105,6 +131,7 @@ class Matcher:
         self.exact_below = exact_below
         self.items = [(number, text, int(len(text) * error_rate) if len(text) >= exact_below else 0)
                       for number, text in items]
+        self.masks: dict[int, tuple[dict[str, int], dict[str, int]]] = {}  # Of items that were verified.
         self.automaton = ahocorasick.Automaton()
         places: dict[str, list[tuple[int, int]]] = {}
         for at, (_, text, budget) in enumerate(self.items):
@@ -140,24 +167,34 @@ class Matcher:
                 yield at, start, end
 
     def find(self, text: str) -> list[Hit]:
-        """Occurrences by place: of each item the best in a window, and the best in what lies beside it."""
+        """Occurrences by place: of each item the best ones, and of equally good ones the first, that don't overlap."""
         out: list[Hit] = []
         if not self.items:
             return out
-        open_windows = list(self.windows(text, out))
-        while open_windows:
-            at, start, end = open_windows.pop()
+        for at, start, end in list(self.windows(text, out)):
             number, item, budget = self.items[at]
-            best = myers(item, text[start:end], budget)
-            if best:
-                stop = start + best[1]
+            forward, backward = self._masks(at)
+            spans = []
+            for edits, stop in minima(scores(len(item), forward, text[start:end]), budget):
                 # The same search backwards from the end finds where it begins.
-                begins = myers(item[::-1], text[start:stop][::-1], best[0])
-                first = stop - (begins[1] if begins else len(item))
-                out.append((number, first, stop, best[0]))
-                open_windows += [(at, start, first), (at, stop, end)]
+                back = text[max(start, start + stop - len(item) - edits):start + stop][::-1]
+                first = min(((s, j) for j, s in enumerate(scores(len(item), backward, back), 1)), default=(0, len(item)))[1]
+                spans.append((edits, start + stop - first, start + stop))
+            chosen: list[tuple[int, int, int]] = []
+            for edits, first, stop in sorted(spans):
+                place = bisect(chosen, (first, stop, edits))
+                if (place and chosen[place - 1][1] > first) or (place < len(chosen) and chosen[place][0] < stop):
+                    continue
+                chosen.insert(place, (first, stop, edits))
+            out += [(number, first, stop, edits) for first, stop, edits in chosen]
         return sorted(out, key=lambda h: (h[1], str(h[0])))
 
+    def _masks(self, at: int) -> tuple[dict[str, int], dict[str, int]]:
+        if at not in self.masks:
+            item = self.items[at][1]
+            self.masks[at] = masks_of(item), masks_of(item[::-1])
+        return self.masks[at]
+
 
 def _blocks(benchmark: DataFrame, min_chars: int, block_chars: int, short: bool) -> Iterator[list[tuple[object, str]]]:
     """Distinct (item_id, normalised text) in blocks of bounded size; the driver holds one block at a time."""
@@ -188,32 +225,44 @@ def _hits_of(block: Broadcast, error_rate: float, kind: str, min_chars: int):
     return hits
 
 
-def leak_hits(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS,
-              block_chars: int = BLOCK_CHARS, short: bool = False) -> Column:
-    """A column for ``docs``: the occurrences of benchmark items as (item_id, start, end, edits).
+def with_hits(docs: DataFrame, benchmark: DataFrame, name: str, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS,
+              block_chars: int = BLOCK_CHARS, short: bool = True) -> DataFrame:
+    """``docs`` with a column ``name``: the occurrences of benchmark items as (item_id, start, end, edits).
 
     Offsets are code points of the normalised text. Null and empty texts have none, and so has any text
     where the benchmark is empty. Items with null or blank text are not sought; those with fewer than
-    ``min_chars`` characters are with ``short``, word for word, and else not.
+    ``min_chars`` characters are sought word for word, without ``short`` not at all.
     """
     kind = _HITS.format(ids=benchmark.schema["item_id"].dataType.simpleString())
-    spark = docs.sparkSession
-    columns = []
-    for block in _blocks(benchmark, min_chars, block_chars, short):
-        columns.append(_hits_of(spark.sparkContext.broadcast(block), error_rate, kind, min_chars)(F.col("text")))
-    return reduce(F.concat, columns) if columns else F.array().cast(kind)
+    context = docs.sparkSession.sparkContext
+    blocks = _blocks(benchmark, min_chars, block_chars, short)
+    first = list(islice(blocks, 2))
+    if not first:
+        return docs.withColumn(name, F.array().cast(kind))
+    if len(first) == 1:
+        return docs.withColumn(name, _hits_of(context.broadcast(first[0]), error_rate, kind, min_chars)(F.col("text")))
+    row = f"row_{uuid4().hex}"
+    held = stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    parts = []
+    for block in chain(first, blocks):
+        shared = context.broadcast(block)
+        hits = held.select(row, _hits_of(shared, error_rate, kind, min_chars)(F.col("text")).alias("hits"))
+        parts.append(stored(hits.filter(F.size("hits") > 0), "hits"))
+        shared.unpersist()
+    found = reduce(DataFrame.unionByName, parts).groupBy(row).agg(F.flatten(F.collect_list("hits")).alias(name))
+    return held.join(found, row, "left").withColumn(name, F.coalesce(name, F.array().cast(kind))).drop(row)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE,
-                  min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS, short: bool = False) -> DataFrame:
+                  min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS, short: bool = True) -> DataFrame:
     """(doc_id, contaminated, n_items, items, spans) per row of ``docs``.
 
-    ``items`` lists the ids found, ``spans`` each occurrence as item:start:end:edits by place. A null
-    doc_id stays null, repeated rows get equal answers, empty tables give no rows or no hits, and other
-    columns are not read. An item id that stands for several texts counts once.
+    ``items`` lists the ids found, ``spans`` each occurrence as item:start:end:edits by place; those of one item
+    don't overlap. A null doc_id stays null, repeated rows get equal answers, empty tables give no rows or no hits;
+    other columns, whatever their names, are not read. An item id that stands for several texts counts once. Very long
+    texts are searched whole, in time that grows with their length.
     """
-    hits = leak_hits(docs, benchmark, error_rate, min_chars, block_chars, short)
-    found = docs.select("doc_id", hits.alias("hits"))
+    found = with_hits(docs.select("doc_id", "text"), benchmark, "hits", error_rate, min_chars, block_chars, short)
     ids = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["item_id"])))
     by_place = F.array_sort(F.transform("hits", lambda h: F.struct(
         h["start"].alias("start"), h["end"].alias("end"), h["item_id"].alias("item_id"), h["edits"].alias("edits"))))
@@ -224,6 +273,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERR
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE,
-                        short: bool = False) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item; all columns stay."""
-    return docs.filter(F.size(leak_hits(docs, benchmark, error_rate, short=short)) == 0)
+                        short: bool = True) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark item; all columns stay.
+
+    Null and empty texts stay, repeated rows go or stay together, an empty benchmark takes nothing. Columns
+    beside text may have any name.
+    """
+    name = f"hits_{uuid4().hex}"
+    return with_hits(docs, benchmark, name, error_rate, short=short).filter(F.size(name) == 0).select(*docs.columns)

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -65,6 +66,22 @@ def test_every_occurrence_within_budget_is_found():
     assert not any(matcher.find(t) for t in clean)
 
 
+def test_thousands_of_copies_are_all_found_in_one_scan():
+    item = dc.normalised(prose(1, 20))
+    pick = random.Random(5)
+    for copies, glue in ((3000, " "), (3000, ""), (500, " and ")):
+        parts = [edited(item, i % 3, pick) for i in range(copies)]
+        text = dc.normalised(glue.join(parts))
+        began = time.process_time()
+        hits = dc.Matcher([(1, item)], 0.05).find(text)
+        assert time.process_time() - began < 20
+        assert len(hits) == copies and all(a[2] <= b[1] for a, b in zip(hits, hits[1:]))
+        assert sum(h[3] for h in hits) <= sum(i % 3 for i in range(copies))
+    periodic = "abc " * 10
+    hits = dc.Matcher([(1, periodic.strip())], 0.05).find(dc.normalised(periodic * 200))
+    assert 190 <= len(hits) <= 201 and min(h[3] for h in hits) == 0
+
+
 @pytest.mark.parametrize("block_chars", [1 << 20, 100])
 def test_rows(spark, block_chars):
     ship_package(spark)
@@ -75,14 +92,15 @@ def test_rows(spark, block_chars):
     rows = [(1, f"x {a.upper()} y"), (2, long + "\n" + b.replace(" ", " \t ") + "\n" + a), (3, None), (4, ""), (5, prose(4, 300)),
             (None, b), (1, f"x {a.upper()} y"), (6, f"{a} and {a}"), (7, "short"), (8, b[:len(b) // 2])]
     docs = clashing(documents(spark, rows))
-    got = dc.contamination(docs, bench, block_chars=block_chars).collect()
+    got = dc.contamination(docs, bench, block_chars=block_chars, short=False).collect()
     assert len(got) == len(rows)
     found = {r.doc_id: r for r in got}
     assert found[1].items == "1" and found[1].spans == f"1:2:{2 + len(a)}:0"
     assert found[2].items == "1,2" and found[2].n_items == 2
     assert found[None].items == "2" and found[6].n_items == 1 and found[6].spans.count(",") == 1
     assert [d for d in (3, 4, 5, 7, 8) if found[d].contaminated] == []
-    kept = dc.keep_uncontaminated(docs, bench)
+    assert {r.doc_id for r in dc.contamination(docs, bench, block_chars=block_chars).collect() if r.contaminated} == {1, 2, None, 6, 7}
+    kept = dc.keep_uncontaminated(docs, bench, short=False)
     assert kept.columns == docs.columns and sorted(by_id(kept)) == [3, 4, 5, 7, 8]
     none = spark.createDataFrame([], "item_id long, text string")
     assert not any(r.contaminated for r in dc.contamination(docs, none).collect())
