@@ -1,10 +1,11 @@
 """Secret scan in DataFrame functions: fixed patterns, and Markov models of characters that add what they miss.
 
 Two first-order models give the chance of a character after another: one of random strings, one of
-ordinary identifiers. Both are counted from labelled samples. A long word whose mean log-likelihood ratio
-per step favours the random model is a secret, unless a fixed pattern has it already. Everything is
-computed within the row, JVM-side and without a shuffle; only training counts are gathered, a table of
-fixed size.
+ordinary identifiers. Both are counted from labelled samples, the ordinary ones from the words of all documents.
+Of a long word, or of what a fixed pattern leaves of it, the stretch that favours the random model most is a
+secret if its mean log-likelihood ratio per step is high enough, so that a key at the end of a path is found
+and the path is not. Everything is computed within the row, JVM-side and without a shuffle; for training words
+are merged map-side, and only counts of steps are gathered, a table of fixed size.
 """
 
 from __future__ import annotations
@@ -41,7 +42,6 @@ _SIZE = len(ALPHABET) + 1
 _WORD = "[A-Za-z0-9+/_=-]"
 LONG_WORD = 20
 RANDOM_SAMPLES = 600  # Of each sort of random string.
-TRAIN_DOCS = 1_000  # Expected number of documents whose words serve as ordinary samples.
 THRESHOLD = 0.5  # Mean log-likelihood ratio per step.
 _CHUNK = 512
 
@@ -49,8 +49,8 @@ _CHUNK = 512
 # --- models -----------------------------------------------------------------------------------
 
 
-def labelled_samples(spark: SparkSession, docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """(sample, random): random strings made by rule, and identifiers: fixed ones and the words of some documents.
+def labelled_samples(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """(sample, random, times): random strings made by rule, and identifiers: fixed ones and the words of all documents.
 
     Words with digits are left out, since a document may hold secrets; each word counts as it is, in
     upper case and with a capital.
@@ -60,10 +60,7 @@ def labelled_samples(spark: SparkSession, docs: DataFrame, train_docs: int = TRA
     made = spark.range(RANDOM_SAMPLES).select(F.explode(F.array(
         F.substring(digest, 1, 40), packed, F.translate(packed, "+/", "-_"),
         F.upper(F.translate(packed, "+/abcdefghijklm", "")))).alias("sample"))
-    n = docs.count()
-    share = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("identifiers")), F.lit(1_000_000))
-    some = docs.filter(share < int(1_000_000 * train_docs / n)) if n > train_docs else docs
-    words = some.select(F.explode(F.regexp_extract_all("text", F.lit(f"{_WORD}{{2,}}"), F.lit(0))).alias("word"))
+    words = docs.select(F.explode(F.regexp_extract_all("text", F.lit(f"{_WORD}{{2,}}"), F.lit(0))).alias("word"))
     plain = words.filter(~F.col("word").rlike("[0-9]")).groupBy("word").agg(F.count("*").alias("times"))
     forms = plain.select(F.explode(F.array("word", F.upper("word"), F.initcap("word"))).alias("sample"), "times")
     fixed = F.explode(F.array(*[F.lit(x) for x in IDENTIFIERS])).alias("sample")
@@ -105,12 +102,66 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
     return [r - o for r, o in zip(logs[True], logs[False])]
 
 
-def mean_ratio(word: Column, ratios: list[float]) -> Column:
-    """Mean log-likelihood ratio per step of a word; null for fewer than two characters."""
+def _ratios(word: Column, ratios: list[float]) -> Column:
+    """Log-likelihood ratio of each step of a word."""
     # Folded into one literal, so that a lookup is an array access.
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratios)), ",").cast("array<double>")
-    ratio = F.transform(_steps(word), lambda s: F.element_at(table, s + 1))
-    return let(ratio, lambda r: F.aggregate(r, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(r), F.lit(0)))
+    return F.transform(_steps(word), lambda s: F.element_at(table, s + 1))
+
+
+def _mean(ratio: Column) -> Column:
+    return F.aggregate(ratio, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(ratio), F.lit(0))
+
+
+def mean_ratio(word: Column, ratios: list[float]) -> Column:
+    """Mean log-likelihood ratio per step of a word; null for fewer than two characters."""
+    return let(_ratios(word, ratios), _mean)
+
+
+def random_stretch(word: Column, ratios: list[float], threshold: float) -> Column:
+    """(from, to) in a word: the steps whose ratios exceed the threshold by the largest sum, cut to whole runs of letters and digits.
+
+    Null where no step exceeds it, where the stretch is shorter than ``LONG_WORD``, or where its mean does not
+    exceed the threshold. Padding at the word's end belongs to it.
+    """
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("first"), F.lit(0.0).alias("best"), F.lit(0).alias("from"), F.lit(0).alias("to"))
+
+    def step(held: Column, e: Column) -> Column:
+        anew = held["sum"] <= 0
+        total = F.when(anew, F.lit(0.0)).otherwise(held["sum"]) + e["x"] - F.lit(threshold)
+        first = F.when(anew, e["i"]).otherwise(held["first"])
+        return let(F.struct(total.alias("sum"), first.alias("first")), lambda now: F.struct(
+            now["sum"].alias("sum"), now["first"].alias("first"), F.greatest(held["best"], now["sum"]).alias("best"),
+            F.when(now["sum"] > held["best"], now["first"]).otherwise(held["from"]).alias("from"),
+            F.when(now["sum"] > held["best"], e["i"] + 2).otherwise(held["to"]).alias("to")))
+
+    def run(text: Column, pattern: str) -> Column:
+        return F.char_length(F.regexp_extract(text, pattern, 0))
+
+    def grown(found: Column) -> Column:
+        """Whole runs of letters and digits: one that is cut is taken if the larger part of it lies inside, else left."""
+        head, tail = F.substring(word, 1, found["from"]), F.substring(word, found["from"] + 1, F.char_length(word))
+        begun, until = F.substring(word, 1, found["to"]), F.substring(word, found["to"] + 1, F.char_length(word))
+        sizes = F.struct(
+            run(head, "[A-Za-z0-9]*$").alias("before"), run(tail, "^[A-Za-z0-9]*").alias("first"),
+            run(tail, "^[A-Za-z0-9]*[^A-Za-z0-9]*").alias("skipped"), run(begun, "[A-Za-z0-9]*$").alias("last"),
+            run(begun, "[^A-Za-z0-9]*[A-Za-z0-9]*$").alias("dropped"), run(until, "^[A-Za-z0-9]*").alias("after"))
+        aligned = let(sizes, lambda n: F.struct(
+            (found["from"] + F.when((n["first"] > 0) & (n["first"] >= n["before"]), -n["before"]).otherwise(n["skipped"])).alias("from"),
+            (found["to"] + F.when((n["last"] > 0) & (n["last"] >= n["after"]), n["after"]).otherwise(-n["dropped"])).alias("to")))
+        return let(aligned, lambda ends: F.struct(ends["from"].alias("from"), (ends["to"] + run(
+            F.substring(word, ends["to"] + 1, F.char_length(word)), "^=+$")).alias("to")))
+
+    def kept(ratio: Column, ends: Column) -> Column:
+        mean = let(F.slice(ratio, ends["from"] + 1, F.greatest(ends["to"] - ends["from"] - 1, F.lit(0))), _mean)
+        return F.when((ends["to"] - ends["from"] >= LONG_WORD) & (mean > threshold), ends)
+
+    def found(ratio: Column) -> Column:
+        indexed = F.transform(ratio, lambda x, i: F.struct(x.alias("x"), i.alias("i")))
+        return let(F.aggregate(indexed, start, step), lambda held: F.when(
+            held["best"] > 0, let(grown(held), lambda ends: kept(ratio, ends))))
+
+    return let(_ratios(word, ratios), found)
 
 
 # --- spans ------------------------------------------------------------------------------------
@@ -171,7 +222,9 @@ def find_secrets(docs: DataFrame, ratios: list[float], threshold: float = THRESH
     """(doc_id, base, added) per row of ``docs``: spans as (start, rank, kind, end), in code points, end exclusive.
 
     Null text counts as empty and has no spans. Added spans are of the kind ``random`` and overlap no base
-    span. Repeated rows get equal answers, an empty table gives no rows, other columns are not read.
+    span: one at most of each long word, or of each long piece that base spans leave of it. Repeated rows get equal
+    answers, an empty table gives no rows; other columns, whatever their names, are not read. Very long texts are
+    searched whole.
     """
     none = F.array().cast(f"array<{_SPAN}>")
     long_word = f"(?<!{_WORD}){_WORD}{{{LONG_WORD},}}"
@@ -186,9 +239,32 @@ def find_secrets(docs: DataFrame, ratios: list[float], threshold: float = THRESH
         F.when(F.col("has_long") & F.contains(text, F.lit("AKIA")), _spans(matches(text, ACCESS), 1)).otherwise(none),
         F.when(F.col("has_long"), _spans(matches(text, HEX), 2)).otherwise(none))
     words = texts.select("doc_id", "text", "has_long", F.array_sort(base).alias("base"))
-    free = lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]))
-    random = F.filter(F.filter(matches(text, long_word), free), lambda w: mean_ratio(w["word"], ratios) > threshold)
-    return words.select("doc_id", "base", F.when(F.col("has_long"), _spans(random, 3)).otherwise(none).alias("added"))
+    random = F.flatten(F.transform(matches(text, long_word), lambda w: _pieces(w, long_word)))
+    secret = F.transform(random, lambda w: let(random_stretch(w["word"], ratios, threshold), lambda at: F.when(
+        at.isNotNull(), F.struct((w["start"] + at["from"]).alias("start"), (w["start"] + at["to"]).alias("end")))))
+    return words.select("doc_id", "base", F.when(F.col("has_long"), _spans(F.array_compact(secret), 3)).otherwise(none).alias("added"))
+
+
+def _pieces(word: Column, long_word: str) -> Column:
+    """The long pieces of a word that lie beside base spans; the word itself if it meets none."""
+    def cut(spans: Column) -> Column:
+        def blanked(held: Column, b: Column) -> Column:
+            free = F.greatest(b["start"] - word["start"] - held["at"], F.lit(0))
+            upto = F.greatest(held["at"], F.least(b["end"], word["end"]) - word["start"])
+            return F.struct(upto.alias("at"), F.concat(
+                held["text"], F.substring(word["word"], (held["at"] + 1).cast("int"), free.cast("int")),
+                F.repeat(F.lit(" "), (upto - held["at"] - free).cast("int"))).alias("text"))
+        begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("text"))
+        return let(F.aggregate(spans, begin, blanked), lambda held: F.concat(
+            held["text"], F.substring(word["word"], (held["at"] + 1).cast("int"), F.char_length(word["word"]))))
+
+    def pieces(text: Column) -> Column:
+        return F.transform(matches(text, long_word), lambda m: F.struct(
+            (word["start"] + m["start"]).alias("start"), (word["start"] + m["end"]).alias("end"), m["word"].alias("word")))
+
+    whole = F.array(F.struct(word["start"].alias("start"), word["end"].alias("end"), word["word"].alias("word")))
+    meets = F.filter("base", lambda b: (b["start"] < word["end"]) & (word["start"] < b["end"]))
+    return let(meets, lambda spans: F.when(F.size(spans) == 0, whole).otherwise(let(cut(spans), pieces)))
 
 
 def secret_digests(docs: DataFrame, ratios: list[float] | None = None) -> DataFrame:

@@ -74,6 +74,29 @@ def test_added_spans_overlap_no_base_span(spark, ratios):
     assert [text[s.start:s.end] for s in row.added] == [key, key]
 
 
+def test_keys_within_long_words_and_beside_base_spans(spark, ratios):
+    pick = random.Random(12)
+    key = lambda n: "".join(pick.choice("abcdefghjkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(n))
+    texts, want = [], []
+    for i in range(40):
+        one, two = key(28), key(40)
+        path = "hooks/services/" + "/".join(prose(i, 3).split()) + "/"
+        texts += [f"see {path}{one} now", f"{two}token=abcdef", f"{'0f' * 12}-{two}", f"{path}{path}"]
+        want += [[one], [two], [two], []]
+    rows = {r.doc_id: r for r in sc.find_secrets(documents(spark, list(enumerate(texts))), ratios).collect()}
+    got = [[texts[i][s.start:s.end] for s in rows[i].added] for i in range(len(texts))]
+    right = sum(g == w or (len(w) == 1 and len(g) == 1 and g[0].startswith(w[0]) and i % 4 == 1) for i, (g, w) in enumerate(zip(got, want)))
+    assert right >= 0.93 * len(texts), [(t, g) for t, g, w in zip(texts, got, want) if g != w][:5]
+    for i, r in rows.items():
+        assert all(a.end <= b.start or b.end <= a.start for a in r.added for b in r.base)
+
+
+def test_every_document_counts_in_the_ordinary_model(spark):
+    docs = documents(spark, [(i, "plain words") for i in range(50)] + [(99, "qqzzqq")])
+    words = {r["sample"]: r.times for r in sc.labelled_samples(spark, docs).filter("not random").collect()}
+    assert words["plain"] == 50 and words["qqzzqq"] == 1
+
+
 def test_running_sums(spark):
     for n in (0, 1, 511, 512, 513, 2000):
         (got,) = spark.range(1).select(sc.running_sums(F.transform(
