@@ -9,9 +9,9 @@ A row's place is the hash of its text, then of its doc_id: equal texts are neigh
 stay together unless a bound falls within them.
 
 Scale: texts are read once, for their size and checksums. The ring is cut into a fixed number of cells;
-crowded cells are cut again by the hash of doc_id, so that no cell is large, whatever a group of copies
-holds. The driver sees the cells' counts, at most ``3 * CELLS`` numbers, and deals out whole ranges of
-ranks. Rows are ranked within their cells.
+crowded cells are cut again by the hash of doc_id, and what is crowded still, rows that repeat text and id or
+have no id, by row, so that no cell is large, whatever a group of copies holds. The driver sees the cells'
+counts, at most ``5 * CELLS`` numbers, and deals out whole ranges of ranks. Rows are ranked within their cells.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from storelake.llm.shared import stored
 
 CELLS = 1 << 14
-LEAST_CELL = 2_000  # Rows below which a cell is never cut.
+LEAST_CELL = 200  # Rows below which a cell is never cut.
 VIRTUAL_NODES = 256
 
 
@@ -82,12 +82,14 @@ def shard_rows(docs: DataFrame, shards: int = 24, virtual_nodes: int = VIRTUAL_N
     size is the text's UTF-8 bytes plus 8; a null text has none and the checksum of an empty one. Counts of
     shards differ by one at most, slots run from 0 without gaps, grown_shard is null under this law. Fewer
     rows than shards leave the last shards empty, no rows give no rows. Repeated rows and rows without
-    doc_id are dealt like any others. Other columns are not read.
+    doc_id are dealt like any others; which of them lies where is left open. Very long texts are only hashed. Other
+    columns, whatever their names, are not read.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     slim = stored(docs.select(
         "doc_id", (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(text).alias("place"), F.xxhash64(F.col("doc_id").cast("string"), F.lit("place")).alias("inner")), "sizes")
+        F.xxhash64(text).alias("place"), F.xxhash64(F.col("doc_id").cast("string"), F.lit("place")).alias("inner"),
+        F.monotonically_increasing_id().alias("row")), "sizes")
     cell = F.shiftrightunsigned("place", 64 - (CELLS.bit_length() - 1)).cast("int")
     by_cell = {r["cell"]: r["n"] for r in slim.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).collect()}
     total = sum(by_cell.values())
@@ -100,19 +102,23 @@ def shard_rows(docs: DataFrame, shards: int = 24, virtual_nodes: int = VIRTUAL_N
     cut = slim.withColumn("cell", cell).join(F.broadcast(cuts), "cell", "left")
     part = F.pmod(F.shiftrightunsigned("inner", 1), F.coalesce("parts", F.lit(1))).cast("int")
     placed = cut.withColumn("part", part).drop("parts")
-    found = sorted((r["cell"], r["part"], r["n"]) for r in
-                   placed.groupBy("cell", "part").agg(F.count("*").alias("n")).collect())
-    cells = np.array([c for c, _, _ in found], np.int64)
-    counts = np.array([n for _, _, n in found], np.int64)
+    by_part = placed.groupBy("cell", "part").agg(F.count("*").alias("n"))
+    again = by_part.filter(F.col("n") > 4 * most).select("cell", "part", F.ceil(F.col("n") / most).alias("subs"))
+    # At most CELLS rows: each stands for more than ``most`` rows.
+    placed = placed.join(F.broadcast(again), ["cell", "part"], "left")
+    placed = placed.withColumn("sub", F.pmod(F.xxhash64("row"), F.coalesce("subs", F.lit(1))).cast("int")).drop("subs")
+    found = sorted(tuple(r) for r in placed.groupBy("cell", "part", "sub").agg(F.count("*").alias("n")).collect())
+    cells = np.array([f[0] for f in found], np.int64)
+    counts = np.array([f[-1] for f in found], np.int64)
     plan = deal(cells, counts, ring_nodes(shards, virtual_nodes, CELLS), bounds(total, shards))
-    schema = "cell int, part int, first long, end long, shard int, slot_of_first long"
-    ranges = spark.createDataFrame([(*found[e][:2], a, b, s, slot) for e, a, b, s, slot in plan], schema)
-    dealt = ranges.groupBy("cell", "part").agg(F.array_sort(F.collect_list(
+    schema = "cell int, part int, sub int, first long, end long, shard int, slot_of_first long"
+    ranges = spark.createDataFrame([(*found[e][:3], a, b, s, slot) for e, a, b, s, slot in plan], schema)
+    dealt = ranges.groupBy("cell", "part", "sub").agg(F.array_sort(F.collect_list(
         F.struct("first", "end", "shard", "slot_of_first"))).alias("ranges"))
-    rank = F.row_number().over(Window.partitionBy("cell", "part").orderBy("place", "inner", "doc_id", "size")) - 1
+    rank = F.row_number().over(Window.partitionBy("cell", "part", "sub").orderBy("place", "inner", "doc_id", "row")) - 1
     ranked = placed.withColumn("rank", rank.cast("long"))
     # As many rows as cells, with a range for each shard that serves one: bounded like the cells.
-    joined = ranked.join(F.broadcast(dealt), ["cell", "part"])
+    joined = ranked.join(F.broadcast(dealt), ["cell", "part", "sub"])
     own = F.element_at(F.filter("ranges", lambda r: (r["first"] <= F.col("rank")) & (F.col("rank") < r["end"])), 1)
     return joined.withColumn("own", own).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("own.shard").alias("shard"),

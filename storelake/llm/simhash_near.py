@@ -4,7 +4,7 @@ Search is by the generalised pigeonhole principle. The 64 bits are grouped into
 bits together. If the thresholds t_i of the partitions add up to ``distance - m + 1``, any two
 fingerprints within ``distance`` differ in at most t_i bits of at least one partition i. Dynamic
 programming picks the thresholds that need the fewest probes and candidates, estimated from histograms
-over all fingerprints. Each fingerprint then probes, in each partition, all values within t_i bits of
+over all fingerprints, and of several numbers of partitions the cheapest is taken. Each fingerprint then probes, in each partition, all values within t_i bits of
 its own, and every hit is verified on the whole 64 bits.
 
 Scale: equal fingerprints are one node. In each bucket members are first held against one of them
@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import combinations
 from math import comb
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -198,7 +199,24 @@ def _within(mask: int, threshold: int):
     return F.bit_count(F.col("fp").bitwiseXOR(F.col("other")).bitwiseAND(F.lit(mask))) <= threshold
 
 
-def near_links(nodes: DataFrame, distance: int = 4, parts: int = 3) -> DataFrame:
+def plan_search(nodes: DataFrame, distance: int, parts: int | None, pairs: np.ndarray) -> list[tuple[int, list[int], int]]:
+    """(partition, its bits, threshold) for each partition that is searched; without ``parts`` any number up to distance + 1."""
+    corr, n = correlation(pairs), int(pairs[-1])
+    options = [group_bits(corr, k) for k in ([parts] if parts else range(2, distance + 2))]
+    blocks = [_blocks(groups) for groups in options]
+    counted = _summed(nodes, _histograms([b for own in blocks for b in own]))  # One pass for all.
+    plans, at = [], 0
+    for groups, own in zip(options, blocks):
+        size = len(own) << HISTOGRAM_BITS
+        costs = partition_costs(groups, counted[at:at + size], n, distance)
+        thresholds = allocate(costs, distance)
+        total = sum(costs[i, t + 1] for i, t in enumerate(thresholds))
+        plans.append((total, [(i, g, t) for i, (g, t) in enumerate(zip(groups, thresholds)) if t >= 0]))
+        at += size
+    return min(plans, key=lambda plan: plan[0])[1]
+
+
+def near_links(nodes: DataFrame, distance: int = 4, parts: int | None = None) -> DataFrame:
     """Links (a, b) between different fingerprints at most ``distance`` bits apart.
 
     ``nodes`` has one row (fp) per fingerprint. Not every such pair is listed: two fingerprints linked to
@@ -208,10 +226,7 @@ def near_links(nodes: DataFrame, distance: int = 4, parts: int = 3) -> DataFrame
     n = int(pairs[-1])
     if n < 2:
         return nodes.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
-    groups = group_bits(correlation(pairs), parts)
-    costs = partition_costs(groups, _summed(nodes, _histograms(_blocks(groups))), n, distance)
-    thresholds = allocate(costs, distance)
-    searched = [(i, g, t) for i, (g, t) in enumerate(zip(groups, thresholds)) if t >= 0]
+    searched = plan_search(nodes, distance, parts, pairs)
 
     own = F.array(*[F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(_mask(g))).alias("key"))
                     for i, g, _ in searched])
@@ -224,13 +239,13 @@ def near_links(nodes: DataFrame, distance: int = 4, parts: int = 3) -> DataFrame
 
     flips = [(i, _signed(sum(1 << b for b in chosen))) for i, g, t in searched
              for d in range(t + 1) for chosen in combinations(g, d)]
-    masks = F.array(*[F.lit(_mask(g)) for g in groups])
+    masks = F.create_map(*[F.lit(x) for i, g, _ in searched for x in (i, _mask(g))])
     # The probes are data, so that their number does not lengthen the plan.
     probe_rows = F.from_json(F.lit(str([{"part": i, "flip": f} for i, f in flips]).replace("'", '"')),
                              "array<struct<part:int,flip:bigint>>")
     probes = labelled.select("fp", "label", F.inline(probe_rows)).select(
         "fp", "label", "part",
-        F.col("fp").bitwiseAND(F.element_at(masks, F.col("part") + 1)).bitwiseXOR(F.col("flip")).alias("key"))
+        F.col("fp").bitwiseAND(masks[F.col("part")]).bitwiseXOR(F.col("flip")).alias("key"))
     targets = labelled.select(F.col("fp").alias("other"), F.col("label").alias("other_label"),
                               F.inline(own).alias("part", "key"))
     p, t = probes.alias("p"), targets.alias("t")
@@ -247,13 +262,14 @@ def near_links(nodes: DataFrame, distance: int = 4, parts: int = 3) -> DataFrame
     return found.unionByName(labelled.filter("fp <> label").select(F.col("fp").alias("a"), F.col("label").alias("b")))
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, parts: int = 3, seed: int = 42) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, parts: int | None = None, seed: int = 42) -> DataFrame:
     """(doc_id, fingerprint, component_id) per row of ``docs``.
 
     component_id is the smallest doc_id that links lead to, its own included. A null text or one without
     words has fingerprint 0 and is linked like any other. Rows without doc_id count as members but lend no
     id; a group of such rows only has a null component_id. Repeated rows get equal answers; an empty table
-    gives no rows; other columns are not read. ``distance`` must be at least ``parts - 1``.
+    gives no rows; other columns, whatever their names, are not read. Very long texts are hashed whole.
+    ``parts`` fixes the number of partitions; ``distance`` must be at least ``parts - 1``.
     """
     prints = stored(fingerprints(docs, words, seed), "fingerprints")
     nodes = stored(prints.select("fp").distinct(), "nodes")
@@ -265,7 +281,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, parts: i
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = 4, distance: int = 4, parts: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = 4, distance: int = 4, parts: int | None = None) -> DataFrame:
     """``docs`` with one document of each group, that with the smallest doc_id; all columns stay.
 
     Rows without doc_id cannot be told apart and are kept. Of rows that repeat a doc_id and its text, one stays.
@@ -282,7 +298,7 @@ def keep_one(docs: DataFrame, words: int = 4, distance: int = 4, parts: int = 3)
         def printed(texts: pd.Series) -> pd.Series:
             return pd.Series([f"{int(fingerprint(t, words, 42)):016x}" for t in texts], dtype=object)
 
-        own = "__fingerprint"
+        own = f"fingerprint_{uuid4().hex}"
         pairs = found.filter(goes).select("doc_id", F.col("fingerprint").alias(own)).distinct()
         shared = kept.join(mixed, "doc_id", "left_semi").select(*docs.columns, printed("text").alias(own))
         shared = shared.join(pairs, ["doc_id", own], "left_anti").select(*docs.columns)
@@ -291,7 +307,7 @@ def keep_one(docs: DataFrame, words: int = 4, distance: int = 4, parts: int = 3)
     if repeated.isEmpty():
         return kept
     again = stored(repeated, "repeated")
-    mark = "__text_of_repeated"
+    mark = f"text_{uuid4().hex}"
     once = kept.join(again, "doc_id", "left_semi").select(*docs.columns, F.xxhash64("text").alias(mark))
     once = once.dropDuplicates(["doc_id", mark]).select(*docs.columns)
     return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)

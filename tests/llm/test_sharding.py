@@ -71,6 +71,54 @@ def test_dealing_follows_the_ring():
         assert all(kept[s] >= min(home_load[s], limits[s]) for s in range(shards))
 
 
+def plain_deal(counts, nodes, limits):
+    """Row by row: all rows at a node enter its shard in ring order while it has room, the others walk on to the next open node."""
+    room, owner, slots = list(limits), {}, Counter()
+    waiting = {i: [] for i in range(len(nodes))}
+    for entry, n in enumerate(counts):
+        home = next((i for i, (at, _) in enumerate(nodes) if at >= entry), 0)
+        waiting[home] += [(entry, rank) for rank in range(n)]
+    while any(waiting.values()):
+        left = {}
+        for i in range(len(nodes)):
+            for row in waiting[i]:
+                shard = nodes[i][1]
+                if room[shard]:
+                    room[shard] -= 1
+                    owner[row] = (shard, slots[shard])
+                    slots[shard] += 1
+                else:
+                    left.setdefault(i, []).append(row)
+        waiting = {i: [] for i in range(len(nodes))}
+        turn = []
+        for i, queue in left.items():
+            steps = next(k for k in range(1, len(nodes) + 1) if room[nodes[(i + k) % len(nodes)][1]])
+            turn.append((i, (i + steps) % len(nodes), queue))
+        for _, goal, queue in sorted(turn):
+            waiting[goal] += queue
+    return owner
+
+
+def test_dealing_equals_the_plain_form():
+    pick = random.Random(8)
+    for _ in range(40):
+        shards, cells = pick.randrange(1, 7), 48
+        nodes = sh.ring_nodes(shards, 3, cells)
+        counts = [pick.choice((0, 0, 1, 5, 40)) for _ in range(cells)]
+        limits = sh.bounds(sum(counts), shards)
+        got = {(e, rank): (s, slot + rank - first) for e, first, end, s, slot in sh.deal(np.arange(cells), np.array(counts), nodes, limits)
+               for rank in range(first, end)}
+        assert got == plain_deal(counts, nodes, limits)
+
+
+def test_rows_that_cannot_be_told_apart_are_spread(spark, monkeypatch):
+    ship_package(spark)
+    monkeypatch.setattr(sh, "LEAST_CELL", 20)
+    rows = [(None, "same")] * 900 + [(7, "same")] * 700 + [(i, f"t{i}") for i in range(100, 300)]
+    got = sh.shard_rows(documents(spark, rows), 5)
+    check(got.collect(), rows, 5)
+
+
 def test_one_more_shard_moves_few_nodes():
     before, after = sh.ring_nodes(24, 16, sh.CELLS), sh.ring_nodes(25, 16, sh.CELLS)
     assert set(before) <= set(after) and len(after) - len(before) == 16
