@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -144,26 +145,27 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     without any tokens gets weight 0 and one pass. Sources of equal size get equal weights. Repeated rows
     are mixed like others, an empty table gives no rows. Columns of the same names are replaced.
     """
+    own = f"mix_{uuid4().hex}_"  # Names that no column of the documents has.
     row = F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string"))
-    inner = {"__mix_row": row, "__mix_block": _block(row, mix.seed)}
+    inner = {own + "row": row, own + "block": _block(row, mix.seed)}
     slim = stored(docs.select("doc_id", "source", tokens(F.col("text")).alias("tokens"), row.alias("row"),
                               _block(row, mix.seed).alias("block")), "tokens")
     cuts = _cuts(slim, mix)
-    renamed = cuts.select(*[F.col(c).alias(f"__mix_{c}") for c in cuts.columns])
+    renamed = cuts.select(*[F.col(c).alias(own + c) for c in cuts.columns])
     plain = [c for c in docs.columns if c not in ("mix_epoch", "mix_weight", "mix_block", "mix_row")]
     rated = docs.select(*plain).withColumns(inner).join(
-        renamed.withColumnRenamed("__mix_block_end", "__mix_end"), F.col("source").eqNullSafe(F.col("__mix_source")), "left")
-    whole = F.coalesce("__mix_whole", F.lit(1))
-    at = _order(F.col("__mix_block"), whole, mix.seed)
-    row_at = _order(F.col("__mix_row"), whole, mix.seed)
-    before = (at < F.col("__mix_end")) | ((at == F.col("__mix_end")) & (F.col("__mix_block") < F.col("__mix_last_block")))
-    partly = F.coalesce(before | ((F.col("__mix_block") == F.col("__mix_last_block")) & (row_at <= F.col("__mix_row_end"))),
+        renamed.withColumnRenamed(own + "block_end", own + "end"), F.col("source").eqNullSafe(F.col(own + "source")), "left")
+    whole = F.coalesce(own + "whole", F.lit(1))
+    at = _order(F.col(own + "block"), whole, mix.seed)
+    row_at = _order(F.col(own + "row"), whole, mix.seed)
+    before = (at < F.col(own + "end")) | ((at == F.col(own + "end")) & (F.col(own + "block") < F.col(own + "last_block")))
+    partly = F.coalesce(before | ((F.col(own + "block") == F.col(own + "last_block")) & (row_at <= F.col(own + "row_end"))),
                         F.lit(False))
     epochs = F.explode(F.sequence(F.lit(0), whole + partly.cast("int") - 1)).alias("mix_epoch")
     each = rated.select("*", epochs)
-    return each.select(*plain, "mix_epoch", F.coalesce("__mix_weight", F.lit(0.0)).alias("mix_weight"),
-                       _order(F.col("__mix_block"), F.col("mix_epoch"), mix.seed).alias("mix_block"),
-                       _order(F.col("__mix_row"), F.col("mix_epoch"), mix.seed).alias("mix_row"))
+    return each.select(*plain, "mix_epoch", F.coalesce(own + "weight", F.lit(0.0)).alias("mix_weight"),
+                       _order(F.col(own + "block"), F.col("mix_epoch"), mix.seed).alias("mix_block"),
+                       _order(F.col(own + "row"), F.col("mix_epoch"), mix.seed).alias("mix_row"))
 
 
 def mix_plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -174,5 +176,8 @@ def mix_plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """``docs`` repeated as the mix wants, with their own columns only."""
+    """``docs`` repeated as the mix wants, with their own columns only, whatever their names.
+
+    Null and empty texts and repeated rows come as often as their source's passes say; an empty table stays empty.
+    """
     return mixed(docs, mix).select(*docs.columns)

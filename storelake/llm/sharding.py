@@ -17,6 +17,7 @@ counts, at most ``5 * CELLS`` numbers, and deals out whole ranges of ranks. Rows
 from __future__ import annotations
 
 from bisect import bisect_left
+from uuid import uuid4
 
 import numpy as np
 import xxhash
@@ -76,20 +77,20 @@ def deal(cells: np.ndarray, counts: np.ndarray, nodes: list[tuple[int, int]], li
     return out
 
 
-def shard_rows(docs: DataFrame, shards: int = 24, virtual_nodes: int = VIRTUAL_NODES) -> DataFrame:
+def shard_rows(docs: DataFrame, shards: int = 24, virtual_nodes: int = VIRTUAL_NODES, row: str | None = None) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) per row of ``docs``; the law is ``rows``.
 
     size is the text's UTF-8 bytes plus 8; a null text has none and the checksum of an empty one. Counts of
     shards differ by one at most, slots run from 0 without gaps, grown_shard is null under this law. Fewer
     rows than shards leave the last shards empty, no rows give no rows. Repeated rows and rows without
     doc_id are dealt like any others; which of them lies where is left open. Very long texts are only hashed. Other
-    columns, whatever their names, are not read.
+    columns, whatever their names, are not read, but for ``row``: a number of each row's own, which then comes back too.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     slim = stored(docs.select(
         "doc_id", (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("place"), F.xxhash64(F.col("doc_id").cast("string"), F.lit("place")).alias("inner"),
-        F.monotonically_increasing_id().alias("row")), "sizes")
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("row")), "sizes")
     cell = F.shiftrightunsigned("place", 64 - (CELLS.bit_length() - 1)).cast("int")
     by_cell = {r["cell"]: r["n"] for r in slim.groupBy(cell.alias("cell")).agg(F.count("*").alias("n")).collect()}
     total = sum(by_cell.values())
@@ -123,4 +124,17 @@ def shard_rows(docs: DataFrame, shards: int = 24, virtual_nodes: int = VIRTUAL_N
     return joined.withColumn("own", own).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("own.shard").alias("shard"),
         (F.col("own.slot_of_first") + F.col("rank") - F.col("own.first")).alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"))
+        F.lit(None).cast("int").alias("grown_shard"), *([F.col("row").alias(row)] if row else []))
+
+
+def sharded_documents(docs: DataFrame, shards: int = 24, virtual_nodes: int = VIRTUAL_NODES) -> DataFrame:
+    """What ``shard_rows`` says of each row, and the row's other columns: the shards with their documents.
+
+    Rows are dealt without their texts, which then meet shard and slot by a number of the row's own. Null texts,
+    repeated rows and rows without doc_id are kept; columns named like those of ``shard_rows`` give way to them.
+    """
+    row = f"row_{uuid4().hex}"
+    held = stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    dealt = shard_rows(held.select("doc_id", "text", row), shards, virtual_nodes, row)
+    rest = [c for c in docs.columns if c not in dealt.columns]
+    return dealt.join(held.select(row, *rest), row).select(*[c for c in dealt.columns if c != row], *rest)

@@ -119,6 +119,18 @@ def test_rows_that_cannot_be_told_apart_are_spread(spark, monkeypatch):
     check(got.collect(), rows, 5)
 
 
+def test_shards_come_with_their_documents(spark):
+    ship_package(spark)
+    rows = [(i, f"text {i % 40}", "en", f"s{i % 3}") for i in range(300)] + [(None, None), (5, "twice"), (5, "twice")]
+    docs = clashing(documents(spark, rows))
+    got = sh.sharded_documents(docs, 7)
+    assert got.columns[:7] == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    assert set(got.columns) == {*docs.columns, *got.columns[:7]}
+    check(got.collect(), [r[:2] for r in rows], 7)
+    assert Counter((r.doc_id, r.text, r.source) for r in got.collect()) == Counter((r[0], r[1], (*r, None, None)[3]) for r in rows)
+    assert sh.sharded_documents(spark.createDataFrame([], DOCS)).collect() == []
+
+
 def test_one_more_shard_moves_few_nodes():
     before, after = sh.ring_nodes(24, 16, sh.CELLS), sh.ring_nodes(25, 16, sh.CELLS)
     assert set(before) <= set(after) and len(after) - len(before) == 16
