@@ -1,4 +1,7 @@
-"""Typed, flat projections of the raw collections. All are narrow: no shuffle."""
+"""Typed, flat projections of the raw collections. All are narrow: no shuffle.
+
+A damaged id or quantity is an error, not a guest or an unknown product; only category ids are read leniently.
+"""
 
 from __future__ import annotations
 
@@ -25,7 +28,7 @@ def _line_count() -> Column:
 def stg_orders(orders: DataFrame, accept_bare: bool = False, count_lines: bool = False) -> DataFrame:
     """``count_lines`` adds ``item_count``, for documents that hold all lines of their order."""
     return orders.select(
-        F.col("id").alias("order_id"), ref_id(F.col("customer"), accept_bare).alias("customer_id"),
+        F.col("id").alias("order_id"), ref_id(F.col("customer"), accept_bare, strict=True).alias("customer_id"),
         "amount", "currency", "status", *_stamps(), *([_line_count().alias("item_count")] if count_lines else []),
     )
 
@@ -41,12 +44,12 @@ def stg_order_items(orders: DataFrame, accept_bare: bool = False, keep_stamps: b
 
     def reference(name: str) -> Column:
         relation = F.col(f"item.{name}")
-        return ref_id(relation, True) if accept_bare else relation["id"].try_cast("bigint")
+        return ref_id(relation, True, strict=True) if accept_bare else relation["id"].cast("bigint")
 
     return lines.select(
         F.col("item.id").alias("order_item_id"), "order_id",
         reference("product").alias("product_id"), reference("variant").alias("variant_id"),
-        F.col("item.quantity").try_cast("int").alias("quantity"), *(["created_at", "updated_at"] if keep_stamps else []),
+        F.col("item.quantity").cast("int").alias("quantity"), *(["created_at", "updated_at"] if keep_stamps else []),
     )
 
 
@@ -57,8 +60,8 @@ def line_counts(fragments: DataFrame) -> DataFrame:
 
 def stg_transactions(transactions: DataFrame, accept_bare: bool = False) -> DataFrame:
     return transactions.select(
-        F.col("id").alias("transaction_id"), ref_id(F.col("order"), accept_bare).alias("order_id"),
-        ref_id(F.col("customer"), accept_bare).alias("customer_id"), "amount", "currency",
+        F.col("id").alias("transaction_id"), ref_id(F.col("order"), accept_bare, strict=True).alias("order_id"),
+        ref_id(F.col("customer"), accept_bare, strict=True).alias("customer_id"), "amount", "currency",
         F.col("paymentMethod").alias("payment_method"), "status", *_stamps(),
     )
 
@@ -66,7 +69,7 @@ def stg_transactions(transactions: DataFrame, accept_bare: bool = False) -> Data
 def stg_carts(carts: DataFrame, accept_bare: bool = False) -> DataFrame:
     """A guest cart has no customer; a cart without a purchase time is abandoned."""
     return carts.select(
-        F.col("id").alias("cart_id"), ref_id(F.col("customer"), accept_bare).alias("customer_id"),
+        F.col("id").alias("cart_id"), ref_id(F.col("customer"), accept_bare, strict=True).alias("customer_id"),
         "currency", "subtotal", F.col("purchasedAt").alias("purchased_at"), *_stamps(),
         F.col("purchasedAt").isNull().alias("is_abandoned"),
     )
@@ -93,7 +96,7 @@ def stg_product_categories(products: DataFrame) -> DataFrame:
 def stg_variants(variants: DataFrame, accept_bare: bool = False) -> DataFrame:
     return variants.select(
         F.col("id").alias("variant_id"), F.col("title").alias("variant_title"),
-        ref_id(F.col("product"), accept_bare).alias("product_id"), *_priced(), *_stamps(),
+        ref_id(F.col("product"), accept_bare, strict=True).alias("product_id"), *_priced(), *_stamps(),
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+
 from storelake.operators import marts, staging
 from storelake.plans.models import Lake
 
@@ -56,6 +58,14 @@ def test_bare_relation_is_null_unless_accepted(spark):
     assert {r[0]: r[1] for r in staging.stg_orders(raw, accept_bare=True).collect()} == {1: 7, 2: 8, 3: None}
 
 
+@pytest.mark.parametrize("items, customer", [('[{"id":"a","product":{"id":"x1"},"quantity":1}]', None), ('[{"id":"a","quantity":"many"}]', None),
+                                             (None, '{"id":"seven"}')])
+def test_damaged_ids_are_errors(spark, items, customer):
+    raw = orders(spark, [(1, customer, items, 1, "USD", "x")])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        staging.stg_order_items(raw).collect() if items else staging.stg_orders(raw).collect()
+
+
 def test_customers_keep_the_role_among_others(spark):
     raw = users(spark, [(1, '["customer"]'), (2, '["admin"]'), (3, '["admin","customer"]'), (4, None), (5, "[]")])
     assert sorted(r[0] for r in staging.stg_customers(raw).collect()) == [1, 3]
