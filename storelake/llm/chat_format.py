@@ -106,7 +106,8 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
 
     Rows (conv_id, turn, role, text) are taken by turn, ties by role and text; a null turn comes first. A
     null text or role is empty, rows without conv_id are one conversation, repeated rows are repeated turns.
-    An empty table gives no rows; other columns are not read. ``loss_spans`` are the (start, end) of each
+    An empty table gives no rows; other columns, whatever their names, are not read. A conversation is one row
+    however long, as its formatted text is. ``loss_spans`` are the (start, end) of each
     assistant text in the formatted text, in code points.
     """
     rows = conversations.select(

@@ -114,7 +114,8 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hash_bits:
 
     Null text counts as empty. keep_id is the largest doc_id of the group (null if none has one) and only
     that row is kept; of rows that repeat it, exactly one. Rows without doc_id are kept only where their
-    group has none, one of them. An empty table gives no rows; other columns are not read. ``hash_bits``
+    group has none, one of them. An empty table gives no rows; other columns, whatever their names, are not read. A
+    very long text is cut into as many blocks as it needs and named like any other. ``hash_bits``
     narrows the hash by which blocks find their names, for tests: results don't depend on it.
     """
     found, texts = identities(docs, block_bytes, hash_bits)

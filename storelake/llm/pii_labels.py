@@ -25,7 +25,7 @@ LABELLED = (
     "send it to [email|carol (at) example (dot) com] soon",
     "address: [email|dave [at] example [dot] org]",
     "[email|erin(at)example.net] answers",
-    "the of [email|figa.20@mail9.example.com] and tion",
+    "the list [email|nina.20@mail9.example.com] and others",
     "from host [ip|192.168.10.25] at night",
     "server [ip|10.0.0.1] is down",
     "ping [ip|8.8.4.4], then wait",
@@ -96,15 +96,15 @@ LABELLED = (
     "le la de et un une pour que dans est au sur",
     "der die das und ist ein nicht von mit auf",
     "el la de que y en un los se del por con",
-    "words!! more$$$ and### some%%% &&& ***",
-    "The&&& as%%% nt%%% thshwh$$$ and&&& ha%%% reinhe$$$ aned,### of%%% tiortion&&&",
-    "Inndor$$$ heen,### heed,### from*** ndat.### Erat*** thou.%%% Thstenble*** Is,&&& of.&&&",
-    "élè$$$ que### ça&&& sûr*** für%%% año,$$$ über.### niño&&&",
+    "prices in $$$, a #hashtag, R&D and 100%% sure",
+    "wow!!! really??? so -- so... **bold** and ~~gone~~, C# or C++",
+    "## Title | cell | cell | <br> &nbsp; &amp; Marks### and more*** in Lists### of%% Text&&",
+    "élève, garçon; señor? über-groß: naïve. Ça va!!! ¿Qué? „Ja“ «oui»",
     "a@ b @c d@@e @ (at) [dot] at the dot of it",
     "(see note) [sic] {x} <b> \"quoted\" 'so' - -- ... /etc/hosts a_b=c; x+y",
     "SHOUTING WORDS!! AND Names, Like These.",
     "see http://example.com/page/1234567890 for more",
     "serial 000123456789 and batch 20240105",
     "sum 100 200 300 400 of it",
-    "bleti 7 tion 42 ste 365 nd",
+    "week 7 day 42 year 365 in all",
 )
