@@ -43,13 +43,14 @@ _TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents of each term of a group; a null term carries the group itself."""
     held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+    size = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
         for (lang, source), (n, docs) in held.items():
             terms = list(n)
-            size = len(terms) + 1
+            rows = len(terms) + 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * size, pa.string()), pa.array([source] * size, pa.string()),
+                [pa.array([lang] * rows, pa.string()), pa.array([source] * rows, pa.string()),
                  pa.array([*terms, None], pa.binary()).cast(pa.string()),
                  pa.array([*n.values(), 0], pa.int64()), pa.array([*(docs[t] for t in terms), 0], pa.int64())],
                 names=["lang", "source", "term", "n", "docs"])
@@ -60,12 +61,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, source, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), texts):
             n, docs = held.setdefault((lang, source), (Counter(), Counter()))
             seen: set[bytes] = set()
+            size -= len(n)
             for terms in word_pieces(text.as_py().translate(_TERMS)):
                 n.update(terms)
                 seen.update(terms)
             docs.update(seen)
-            if sum(len(own) for own, _ in held.values()) > _HELD:
+            size += len(n)
+            if size > _HELD:
                 yield from flush()
+                size = 0
     yield from flush()
 
 
