@@ -45,6 +45,25 @@ def test_thresholds_add_up_and_cost_least():
     assert sum(costs[i, t + 1] for i, t in enumerate(got)) == best
 
 
+def test_the_cheapest_number_of_partitions_is_taken(spark):
+    ship_package(spark)
+    pick = random.Random(3)
+    for crowded in (False, True):  # Spread evenly, and alike but for twenty bits.
+        fixed = pick.getrandbits(64)
+        prints = {fixed ^ pick.getrandbits(20) if crowded else pick.getrandbits(64) for _ in range(3000)}
+        nodes = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fp long")
+        pairs = sn._summed(nodes, sn._pair_counts)
+        def cost(parts):
+            groups = sn.group_bits(sn.correlation(pairs), parts)
+            costs = sn.partition_costs(groups, sn._summed(nodes, sn._histograms(sn._blocks(groups))), len(prints), 4)
+            return sum(costs[i, t + 1] for i, t in enumerate(sn.allocate(costs, 4)))
+        chosen = sn.plan_search(nodes, 4, None, pairs)
+        least = min(range(2, 6), key=cost)
+        assert chosen == sn.plan_search(nodes, 4, least, pairs)
+        bits = [b for _, g, _ in chosen for b in g]
+        assert len(set(bits)) == len(bits)
+
+
 def test_correlated_bits_share_a_partition():
     corr = np.zeros((64, 64))
     for a in (3, 40, 50):
