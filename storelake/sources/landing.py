@@ -25,10 +25,10 @@ FILES_PER_LOAD = 10_000
 
 
 def landed_files(spark: SparkSession, path: str | Iterable[str]) -> DataFrame:
-    """(path, length, modified) of the files below a folder, or of the given files. Contents are not read."""
+    """(path, length, modified) of the files below a folder, or of the given files; the time in microseconds. Contents are not read."""
     paths = [path] if isinstance(path, str) else list(path)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    return files.select("path", "length", F.col("modificationTime").alias("modified"))
+    return files.select("path", "length", F.unix_micros("modificationTime").alias("modified"))
 
 
 def page_texts(spark: SparkSession, paths: str | list[str], multi_line: bool = False) -> DataFrame:
@@ -106,7 +106,7 @@ class Landing:
     def loaded(self, collection: str, files: list[Row]) -> None:
         """Enter files in the ledger as they were listed, once what they hold is stored."""
         if files:
-            rows = self.spark.createDataFrame(files, "path string, length long, modified timestamp")
+            rows = self.spark.createDataFrame(files, "path string, length long, modified long")
             self.store.append(rows.select(F.lit(collection).alias("collection"), "path", "length", "modified"), _LEDGER)
 
     def forget(self) -> None:
@@ -130,7 +130,7 @@ class Landing:
             paths = [f["path"] for f in files]
             found = field_kinds(page_texts(self.spark, paths, multi_line))
             sketches = found.groupBy("path").agg(F.collect_list(F.struct("name", "kinds")).alias("fields"))
-            rows = self.spark.createDataFrame(files, "collection string, path string, length long, modified timestamp")
+            rows = self.spark.createDataFrame(files, "collection string, path string, length long, modified long")
             self.store.append(rows.join(sketches, "path", "left").select(*_FILE, "fields"), _FIELDS)
         if not self.store.exists(_FIELDS):
             return dict(declared)
