@@ -51,6 +51,21 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.filter("_n > 1").select(*keys)
 
 
+def any_repeated(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether ``repeated_keys`` has a row.
+
+    Text keys are counted by their 64-bit hash, which moves a fraction of their bytes. Equal keys have equal hashes, so
+    without a repeated hash no key repeats; else the keys themselves decide.
+    """
+    if any(isinstance(df.schema[k].dataType, T.StringType) for k in keys) and all(
+            isinstance(df.schema[k].dataType, (T.IntegralType, T.StringType)) for k in keys):
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        hashes = df.filter(known).select(F.xxhash64(*keys).alias("_hash"))
+        if repeated_keys(hashes, ["_hash"]).isEmpty():
+            return False
+    return not repeated_keys(df, keys).isEmpty()
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: str | None, repeated: DataFrame | None = None) -> DataFrame:
     """One row per key, the newest, and every row with a NULL key.
 
@@ -141,9 +156,8 @@ class TableStore:
         dirs = self._write(df, name, parts, spread)
         if keys:
             held = self._scan(name, {"schema": df.schema.jsonValue(), "dirs": dirs})
-            repeated = repeated_keys(held, keys)
-            if not repeated.isEmpty():
-                first, dirs = dirs, self._write(latest_by_key(held, keys, order_by, repeated), name, parts, spread)
+            if any_repeated(held, keys):
+                first, dirs = dirs, self._write(latest_by_key(held, keys, order_by), name, parts, spread)
                 for folder in {d.split("/")[0] for d in first}:
                     self._fs.delete(self._path(f"{self._home(name)}/data/{folder}"), True)
         return self._publish(df, name, parts, dirs, [], spread)
@@ -171,9 +185,9 @@ class TableStore:
         known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
         batch, path = self._written(
             align_to_schema(df, stored, "sync" if on_schema_change == "sync_all" else on_schema_change), name)
-        paths, repeated = [path], repeated_keys(batch, keys)
-        if not repeated.isEmpty():
-            batch, path = self._written(latest_by_key(batch, keys, order_by, repeated), name)
+        paths = [path]
+        if any_repeated(batch, keys):
+            batch, path = self._written(latest_by_key(batch, keys, order_by), name)
             paths.append(path)
         if set(batch.columns) <= set(T.StructType.fromJson(current["schema"]).names) and not rewritten and batch.isEmpty():
             return self.versions(name)[-1]

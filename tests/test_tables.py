@@ -15,6 +15,7 @@ from storelake.sources import landing as landing_module
 from storelake.sources.landing import Landing
 from storelake.sources.load import cursors, load, load_landed, raw_tables, reset_cursors
 from storelake.sources.schemas import COLLECTIONS, collection_schema
+from storelake.sources import tables
 from storelake.sources.tables import TableStore, repeated_keys
 from storelake.streaming.upsert import read_page_stream, stream_upsert
 from storelake.workspace import AS_OF, SPINE, workspace
@@ -503,3 +504,17 @@ def test_a_stream_takes_late_fields_and_any_order(spark, store, tmp_path):
     write_page(tmp_path / "land", "2.json", [{**user_page(1, "2024-02-01T00:00:00Z"), "name": "old"}, {**user_page(2), "vip": True}])
     found = run()
     assert found[1]["name"] == "new" and found[1]["vip"] is None and found[2]["vip"] is True
+
+
+def test_text_keys_are_counted_by_hash(spark, store, monkeypatch):
+    """Unique texts never move to be counted; where hashes are equal the texts decide."""
+    counted, plain = [], tables.repeated_keys
+    monkeypatch.setattr(tables, "repeated_keys", lambda df, keys: counted.append(list(keys)) or plain(df, keys))
+    once = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), (None, 4)], "k string, v int")
+    store.replace(once, "t", keys=["k"], order_by="v")
+    assert counted == [["_hash"]] and store.read("t").count() == 4
+    store.replace(once.unionAll(once.filter("k = 'a'").withColumn("v", F.lit(9))), "t", keys=["k"], order_by="v")
+    assert ["k"] in counted and sorted(r["v"] for r in store.read("t").collect()) == [2, 3, 4, 9]
+    monkeypatch.setattr(tables.F, "xxhash64", lambda *_: F.lit(7).cast("bigint"))
+    store.replace(once, "u", keys=["k"], order_by="v")
+    assert store.read("u").count() == 4
