@@ -170,6 +170,20 @@ def test_run_tests_scans_each_table_once(spark, tmp_path):
     assert quality.run_tests(whole)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 14 == len(raw)
 
 
+def test_unique_texts_are_told_by_hash(spark, monkeypatch):
+    """A text column without equal hashes gives the scan no rows to group; with some the texts decide."""
+    told = []
+    plain = quality._one_scan
+    monkeypatch.setattr(quality, "_one_scan", lambda df, checks, passed=(): told.append(set(passed)) or plain(df, checks, passed))
+    suite = [quality.Check("t", "unique", "s"), quality.Check("t", "unique", "k")]
+    failures = lambda rows: [r["failures"] for r in quality.run_tests(
+        {"t": spark.createDataFrame(rows, "s string, k long")}, suite).collect()]
+    assert failures([("a", 1), ("b", 1), (None, 2), (None, 3)]) == [0, 1] and told[-1] == {"unique_t_s"}
+    assert failures([("a", 1), ("a", 2), ("b", 3), ("b", 4), ("b", 5)]) == [2, 0] and told[-1] == set()
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *_: F.lit(7).cast("bigint"))
+    assert failures([("a", 1), ("b", 1)]) == [0, 1] and told[-1] == set()
+
+
 def catalog(spark):
     products = spark.createDataFrame([(1, 100, 5, True), (2, 200, 0, False), (3, 300, 9, False), (4, None, 1, True), (5, 50, 3, True)],
                                      "id long, priceInUSD long, inventory long, enableVariants boolean")
