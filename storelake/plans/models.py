@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from storelake.functions.dates import moment
 from storelake.operators import marts, staging
+from storelake.operators.numbering import written
 from storelake.sources.schemas import CURSOR
 from storelake.sources.tables import TableStore
 from storelake.sources.types import align_to_schema
@@ -113,7 +114,8 @@ class Lake:
         if "orders" in collections:
             parts = raw.pop("order_fragments")
             if not self.whole_documents:
-                raw["order_fragments"] = parts.join(raw["orders"].select("id"), "id", "left_semi")
+                # Written, so that their true size is known: few ids are broadcast, and the fragments stay where they are.
+                raw["order_fragments"] = parts.join(written(raw["orders"].select("id")), "id", "left_semi")
         return Lake(raw, self.store, self.as_of, self.spine, self.target)
 
     def run_models(self, select: str | None = None, full_refresh: bool = False, strict: bool = False,

@@ -256,7 +256,8 @@ class TableStore:
 
         Those of a bucketed table follow from the keys. Else only the key columns are read, and of those only
         the row groups within the range of the changed keys: the range is resolved first, so that it reaches
-        the scan. A table without partitions counts as one.
+        the scan. Keys meet by their hash, which moves less than texts do; should two keys share one, a directory
+        too many is written anew with the same rows. A table without partitions counts as one.
         """
         spread = current.get("buckets")
         if spread and spread["keys"] == keys:
@@ -272,10 +273,11 @@ class TableStore:
                 return set()
             for i, k in enumerate(ranged):
                 held = held.filter(F.col(k).between(F.lit(ends[2 * i]), F.lit(ends[2 * i + 1])))
-        hit = held.select(*keys, F.input_file_name().alias("file")).join(changed, keys, "left_semi")
-        folder = F.regexp_extract("file", f"({_LOAD}=.*)/[^/]+$", 1)
+        folder = F.regexp_extract(F.input_file_name(), f"({_LOAD}=.*)/[^/]+$", 1)
+        mark = F.xxhash64(*[F.col(k).cast(held.schema[k].dataType) for k in keys]).alias("_hash")
+        hit = held.select(mark, folder.alias("dir")).join(changed.select(mark), "_hash", "left_semi")
         # One row per directory, and the manifest on the driver already lists them all.
-        urls = hit.select(folder.alias("dir")).distinct().collect()
+        urls = hit.select("dir").distinct().collect()
         found = {self._jvm.java.net.URI.create(r["dir"].replace(" ", "%20")).getPath() for r in urls}
         return {d for d in current["dirs"] if d in found}
 
