@@ -16,11 +16,14 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def table_summary(tables: Mapping[str, DataFrame], sample: int = 3) -> DataFrame:
     """Fields and records per table, and its first rows as JSON texts, in the order of its columns from the first on.
 
-    A stored table is counted from its file footers; the sample is a top-k.
+    A stored table is counted from its file footers. The sample is a top-k: the first column alone shows how far
+    it can reach, and the others are computed and compared for the rows up to there.
     """
     def summary(name: str, df: DataFrame) -> DataFrame:
         columns = [F.col(f"`{c}`") for c in df.columns]
-        first = df.orderBy(*columns).limit(sample).select(F.to_json(F.struct(*columns)).alias("text"))
+        reach = df.select(columns[0].alias("v")).orderBy("v").limit(sample).agg(F.max("v")).scalar()
+        # NULLs come first; with NULLs only, the reach is NULL.
+        first = df.filter(columns[0].isNull() | (columns[0] <= reach)).orderBy(*columns).limit(sample).select(F.to_json(F.struct(*columns)).alias("text"))
         texts = first.agg(F.sort_array(F.collect_list("text"))).scalar()
         return df.agg(F.count(F.lit(1)).alias("records")).select(
             F.lit(name).alias("table_name"), F.lit(len(columns)).alias("fields"), "records", texts.alias("sample"))

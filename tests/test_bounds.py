@@ -18,6 +18,21 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_sample_is_sought_by_the_first_column(spark):
+    kind = "k long, v string"
+    for rows in ([(3, "c"), (1, "b"), (1, "a"), (2, "z"), (1, "d")], [(None, "n"), (5, "x"), (None, "m"), (4, "y")],
+                 [(None, str(i)) for i in range(5)], [(1, "a")], []):
+        df = spark.createDataFrame(rows, kind)
+        report = inspect.table_summary({"t": df})
+        want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:3]
+        found = report.first()
+        assert found["records"] == len(rows)
+        assert sorted((x.get("k"), x["v"]) for x in map(json.loads, found["sample"] or []) if x.get("k") is not None) == sorted(
+            r for r in want if r[0] is not None)
+        assert len(found["sample"] or []) == len(want)
+    assert plan(report).count("Sort [") > 1
+
+
 def test_changed_fragments_are_found_by_written_ids(spark):
     w = workspace(spark, "/root/testdata/sf0.001")
     lake = Lake(w.raw, w.fresh_store(), AS_OF, SPINE)
