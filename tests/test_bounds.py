@@ -18,6 +18,18 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_orders_of_categories_are_dealt_to_tasks(spark, monkeypatch):
+    monkeypatch.setattr(products, "LINES_PER_TASK", 2)
+    items = spark.createDataFrame([(1, 1, 2, 1.0), (1, 2, 3, 2.0), (2, 1, None, None), (None, 1, 1, 4.0), (3, 9, 1, 1.0)],
+                                  "order_id long, product_id long, quantity int, line_total_usd double").withColumn(
+        "line_total_usd", products.F.col("line_total_usd").cast("decimal(18,2)"))
+    bridge = spark.createDataFrame([(1, 7), (2, 7), (2, 8)], "product_id long, category_id long")
+    categories = spark.createDataFrame([(7, "a"), (8, "b")], "category_id long, category_name string")
+    found = products.category_performance(items, bridge, categories)
+    got = [(r[0], r[1], r[2], float(r[3]), float(r[4])) for r in found.collect()]
+    assert got == [("a", 2, 6, 7.0, 2.33), ("b", 1, 3, 2.0, 2.0)] and "RepartitionByExpression" in plan(found)
+
+
 def test_sample_is_sought_by_the_first_column(spark):
     kind = "k long, v string"
     for rows in ([(3, "c"), (1, "b"), (1, "a"), (2, "z"), (1, "d")], [(None, "n"), (5, "x"), (None, "m"), (4, "y")],
