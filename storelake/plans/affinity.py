@@ -32,9 +32,12 @@ MIN_SUPPORT, TOP = 3, 20
 ORDINARY_BASKET = 100
 # Order ids that may be broadcast: 8 MB. The number is counted before.
 BROADCAST_IDS = 1_000_000
-SALTS = 64
 # Hash buckets that tell apart huge orders of one size.
 BUCKETS = 1024
+# Orders of more lines are few, at most one for so many lines; their ids are broadcast, so that no join on orders is skewed.
+GIANT = 20_000
+# Pairs that a task forms, more or less, before it hands on their counts.
+PAIRS_PER_TASK = 500_000
 # Products with the most lines, whose pairs set the support floor of a top list.
 PROBES = 64
 
@@ -45,7 +48,10 @@ def baskets(items: DataFrame) -> DataFrame:
     return lines.filter(F.col("order_id").isNotNull() & F.col("product_id").isNotNull()).distinct()
 
 
-def _paired(lines: DataFrame) -> DataFrame:
+def _paired(lines: DataFrame, tasks: int = 1) -> DataFrame:
+    """Pairs of each order with their counts. With more than one of ``tasks`` the orders are dealt to so many."""
+    if tasks > 1:
+        lines = lines.repartition(tasks, "order_id")
     a = lines.select("order_id", F.col("product_id").alias("a"))
     b = lines.select("order_id", F.col("product_id").alias("b"))
     together = a.join(b, "order_id").filter("a < b")
@@ -53,14 +59,18 @@ def _paired(lines: DataFrame) -> DataFrame:
 
 
 def _split(lines: DataFrame, ids: DataFrame, few: bool) -> tuple[DataFrame, DataFrame]:
-    """Lines of ordinary and of huge orders. Too many ids to broadcast meet salted lines instead."""
+    """Lines of ordinary and of huge orders; a few ids are broadcast."""
     if few:
-        small, huge = F.broadcast(ids), F.broadcast(ids)
-        return lines.join(small, "order_id", "left_anti"), lines.join(huge, "order_id", "left_semi")
-    salted = lines.withColumn("salt", F.pmod(F.xxhash64("product_id"), F.lit(SALTS)).cast("int"))
-    copies = ids.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    keys = ["order_id", "salt"]
-    return (salted.join(copies, keys, "left_anti").drop("salt"), salted.join(copies, keys, "left_semi").drop("salt"))
+        ids = F.broadcast(ids)
+    return lines.join(ids, "order_id", "left_anti"), lines.join(ids, "order_id", "left_semi")
+
+
+def _with_size(lines: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Lines with the ``item_count`` of their huge order, NULL in an ordinary one. Each line moves once."""
+    giants = F.broadcast(sizes.filter(F.col("item_count") > GIANT))
+    others = sizes.filter(F.col("item_count") <= GIANT)
+    rest = lines.join(giants, "order_id", "left_anti").join(others, "order_id", "left")
+    return rest.unionByName(lines.join(giants, "order_id"))
 
 
 def _left_out(huge: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
@@ -70,7 +80,8 @@ def _left_out(huge: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
     (a product has few different ones: their sum is at most its lines), then, where ``most`` falls among
     orders of one size, by their hash. Leaving out fewer than ``most`` is safe.
     """
-    sized = huge.join(sizes, "order_id").withColumn("bucket", F.pmod(F.xxhash64("order_id"), F.lit(BUCKETS)))
+    sized = huge if "item_count" in huge.columns else huge.join(sizes, "order_id")
+    sized = sized.withColumn("bucket", F.pmod(F.xxhash64("order_id"), F.lit(BUCKETS)))
     by_size = Window.partitionBy("product_id").orderBy(F.desc("item_count"))
     counted = sized.groupBy("product_id", "item_count").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "upto", F.sum("n").over(by_size))
@@ -107,18 +118,27 @@ def pair_support(lines: DataFrame, orders: DataFrame, support: int = MIN_SUPPORT
                  broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """``a, b, n``: product pairs in at least ``support`` orders, from distinct basket lines.
 
-    Counts the huge orders first, one narrow column scan, to choose the plan.
+    Counts the huge orders and the pairs first, one narrow column scan, to choose the plan.
     """
     sizes = orders.filter(F.col("item_count") > ordinary).select("order_id", "item_count")
-    n_huge = sizes.count()
+    n = F.col("item_count")
+    # The pairs of a huge order are mostly left out; the number only says how many tasks form them.
+    formed = F.least(n * (n - 1) / 2, n * ORDINARY_BASKET)
+    n_huge, pairs = orders.agg(F.count_if(n > ordinary), F.coalesce(F.sum(formed), F.lit(0.0))).first()
+    tasks = 1 + int(pairs / PAIRS_PER_TASK)
     if n_huge == 0:
-        return _paired(lines).filter(F.col("n") >= support)
-
-    small, huge = _split(lines, sizes.select("order_id"), few=n_huge <= broadcast_ids)
-    huge = written(huge)  # Read five times.
+        return _paired(lines, tasks).filter(F.col("n") >= support)
+
+    if n_huge <= broadcast_ids:
+        small, huge = _split(lines, sizes.select("order_id"), few=True)
+        huge = written(huge)  # Read five times.
+    else:
+        known = written(_with_size(lines, sizes))
+        small, huge = known.filter("item_count is null").drop("item_count"), known.filter("item_count is not null")
     left_out = _left_out(huge, sizes, support - 1)
+    huge = huge.select("order_id", "product_id")
     kept = huge.join(left_out, ["order_id", "product_id"], "left_anti")
-    found = _reachable(_paired(small.unionByName(kept)), huge, support)
+    found = _reachable(_paired(small.unionByName(kept), tasks), huge, support)
     late = _late(found.filter("reach > 0").select("a", "b"), left_out, huge)
     total = found.select("a", "b", "n").unionAll(late).groupBy("a", "b").agg(F.sum("n").alias("n"))
     return total.filter(F.col("n") >= support)

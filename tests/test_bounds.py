@@ -18,6 +18,20 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_lines_meet_the_sizes_of_their_orders_once(spark, monkeypatch):
+    monkeypatch.setattr(affinity, "GIANT", 3)
+    lines = spark.createDataFrame([(1, p) for p in range(5)] + [(2, 1), (2, 2), (3, 1)], "order_id long, product_id long")
+    sizes = spark.createDataFrame([(1, 5), (2, 2)], "order_id long, item_count long")
+    got = sorted((r["order_id"], r["product_id"], r["item_count"]) for r in affinity._with_size(lines, sizes).collect())
+    assert got == [(1, p, 5) for p in range(5)] + [(2, 1, 2), (2, 2, 2), (3, 1, None)]
+
+
+def test_pairs_are_formed_in_the_tasks_asked_for(spark):
+    lines = spark.createDataFrame([(o, p) for o in range(4) for p in (1, 2)], "order_id long, product_id long")
+    found = affinity._paired(lines, 7)
+    assert [tuple(r) for r in found.collect()] == [(1, 2, 4)] and "RepartitionByExpression" in plan(found)
+
+
 def test_orders_of_categories_are_dealt_to_tasks(spark, monkeypatch):
     monkeypatch.setattr(products, "LINES_PER_TASK", 2)
     items = spark.createDataFrame([(1, 1, 2, 1.0), (1, 2, 3, 2.0), (2, 1, None, None), (None, 1, 1, 4.0), (3, 9, 1, 1.0)],
