@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from storelake.functions.dates import iso_weekday
 from storelake.functions.money import MONEY, dollars
-from storelake.operators.joins import left_join_optional
+from storelake.operators.joins import expected_small, left_join_found, left_join_optional
 
 # Default date spine, segment thresholds and low-stock limit.
 SPINE = (dt.date(2020, 1, 1), dt.date(2030, 12, 31))
@@ -37,14 +37,25 @@ def fact_order_items(
 ) -> DataFrame:
     """Lines priced at the variant's current price, else the product's, else zero.
 
-    ``orders`` gives the times of lines staged without them.
+    ``orders`` gives the times of lines staged without them. Where neither price list is small enough to broadcast,
+    each would move every line: then prices are looked up once for each pair of references that occurs, and the lines
+    move once, to meet their pair.
     """
     dated = items if orders is None else items.join(orders.select("order_id", "created_at", "updated_at"), "order_id")
     variant_price = variants.select("variant_id", F.col("price_usd").alias("variant_price"))
     product_price = products.select("product_id", F.col("price_usd").alias("product_price"))
-    priced = left_join_optional(dated, variant_price, "variant_id", "order_item_id")
-    priced = priced.join(product_price, "product_id", "left")
     unit = F.coalesce("variant_price", "product_price", F.lit(0).cast(MONEY))
+
+    def with_prices(rows: DataFrame, row_key: str) -> DataFrame:
+        return left_join_optional(rows, variant_price, "variant_id", row_key).join(product_price, "product_id", "left")
+
+    if expected_small(variant_price) or expected_small(product_price):
+        priced = with_prices(dated, "order_item_id")
+    else:
+        pairs = items.select("product_id", "variant_id").distinct()
+        found = with_prices(pairs, "product_id").select("product_id", "variant_id", unit.alias("_unit"))
+        priced = left_join_found(dated, found, ["product_id", "variant_id"], "order_item_id")
+        unit = F.coalesce("_unit", F.lit(0).cast(MONEY))
     return priced.select(
         "order_item_id", "order_id", "product_id", "variant_id", "quantity",
         unit.alias("unit_price_usd"), (F.col("quantity") * unit).cast(MONEY).alias("line_total_usd"),

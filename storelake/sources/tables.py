@@ -28,6 +28,7 @@ from storelake.sources.types import align_to_schema, synced_schema
 
 _LOAD = "load_id"
 _BUCKET = "key_bucket"
+_CODEC = "zstd"  # Ids and amounts hardly repeat, so a codec with entropy coding saves a good part of what is written.
 _local_roots: dict[str, str] = {}
 
 
@@ -284,7 +285,7 @@ class TableStore:
     def _written(self, df: DataFrame, name: str) -> tuple[DataFrame, str]:
         """The batch as a written table, since the merge reads it several times."""
         folder = f"batches/{uuid.uuid4().hex}"
-        df.write.parquet(f"{self._home(name)}/{folder}")
+        df.write.parquet(f"{self._home(name)}/{folder}", compression=_CODEC)
         return self.spark.read.schema(df.schema).parquet(f"{self._home(name)}/{folder}"), folder
 
     def _target(self, current: dict, df: DataFrame, mode: str, keys: Sequence[str]) -> tuple[T.StructType, bool]:
@@ -301,10 +302,10 @@ class TableStore:
         if spread:
             df, parts = df.withColumn(_BUCKET, _bucket(spread)), [_BUCKET, *parts]
         if not parts:
-            df.write.parquet(target)
+            df.write.parquet(target, compression=_CODEC)
             return [load]
         # Rebalancing gives each partition files of the advisory size and splits a hot partition.
-        df.hint("rebalance", *parts).write.partitionBy(*parts).parquet(target)
+        df.hint("rebalance", *parts).write.partitionBy(*parts).parquet(target, compression=_CODEC)
         return [f"{load}/{d}" for d in self._names(target) if "=" in d]
 
     def _publish(self, df: DataFrame, name: str, parts: list[str], dirs: list[str], batches: list[str],

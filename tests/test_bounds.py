@@ -8,6 +8,8 @@ import json
 from pyspark.sql import types as T
 
 from storelake.functions.dates import moment
+from storelake.operators import marts
+from storelake.operators.joins import left_join_found
 from storelake.plans import affinity, products
 from storelake.plans.models import Lake
 from storelake.sources import inspect
@@ -67,3 +69,63 @@ def test_changed_fragments_are_found_by_written_ids(spark):
     late = w.raw["orders"].filter(w.raw["orders"]["updatedAt"] >= moment(mark, T.TimestampNTZType())).select("id")
     assert changed.count() == w.raw["order_fragments"].join(late, "id", "left_semi").count() > 0
     assert any("/sorted/" in f for f in changed.inputFiles())
+
+
+def test_large_price_lists_are_sought_once_for_each_pair_of_references(spark, tmp_path):
+    lines = [("a", 1, 1, 11, 2), ("b", 1, 1, None, 3), ("c", 2, None, 11, 1), ("d", 2, None, None, 4), ("e", 2, 9, 99, 5),
+             ("f", 3, 2, 21, None), ("g", 3, 2, 12, 1), ("g", 3, 2, 12, 1), (None, 1, 1, 11, 7), ("h", 8, 1, 11, 1), ("i", None, 1, 11, 1)]
+    items = spark.createDataFrame(lines, "order_item_id string, order_id long, product_id long, variant_id long, quantity int")
+    now = dt.datetime(2024, 1, 1)
+    orders = spark.createDataFrame([(i, now, now) for i in (1, 2, 3)], "order_id long, created_at timestamp_ntz, updated_at timestamp_ntz")
+
+    def stored(name, rows):
+        df = spark.createDataFrame(rows, f"{name} long, price_usd double")
+        df.withColumn("price_usd", products.F.col("price_usd").cast("decimal(18,2)")).write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    # A variant without a price, ids that occur twice, and one that is NULL.
+    variants = stored("variant_id", [(11, 1.5), (12, 3.0), (12, 4.0), (21, None), (None, 8.0)])
+    known = stored("product_id", [(1, 1.0), (2, 2.0), (2, 2.5), (None, 9.0)])
+    saved, got = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), {}
+    try:
+        for limit in ("10MB", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            facts = marts.fact_order_items(items, orders, variants, known)
+            got[limit] = sorted(map(tuple, facts.collect()), key=repr)
+            untimed = marts.fact_order_items(items.join(orders, "order_id"), None, variants, known)
+            assert sorted(map(tuple, untimed.collect()), key=repr) == got[limit]
+            assert ("Aggregate [product_id" in plan(facts)) == (limit == "-1")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    few, many = got.values()
+    assert few == many
+    prices = sorted((r[0] or "", float(r[5])) for r in many)
+    assert prices == [("", 1.5), ("a", 1.5), ("b", 1.0), ("c", 1.5), ("d", 0.0), ("e", 0.0), ("f", 2.0), ("f", 2.5)] + [
+        ("g", p) for p in (3.0, 3.0, 3.0, 3.0, 4.0, 4.0, 4.0, 4.0)]
+
+
+def test_lines_without_references_are_spread(spark):
+    n, settings = 8000, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    left = spark.range(n).selectExpr("id row", "if(id % 10 = 0, id % 7, null) a", "if(id % 20 = 0, 1L, null) b")
+    found = left.select("a", "b").distinct().selectExpr("a", "b", "coalesce(a, 0) + coalesce(b, 100) v")
+    saved = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = left_join_found(left, found, ["a", "b"], "row")
+        rows = joined.select("row", "a", "b", "v").collect()
+        sizes = [r[0] for r in joined.groupBy(products.F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert len(rows) == len({r["row"] for r in rows}) == n == sum(sizes) and max(sizes) < n / 2
+    assert all(r["v"] == (None if r["a"] is None else r["a"] + (r["b"] or 100)) for r in rows)
+
+
+def test_stored_tables_are_written_in_a_dense_codec(spark, store):
+    rows = spark.range(10).selectExpr("id", "id % 2 part", "timestamp_ntz'2024-01-01' updatedAt")
+    for name, parts in (("plain", []), ("parted", ["part"])):
+        store.replace(rows, name, parts, ["id"])
+        store.merge(rows.filter("id < 3"), name, ["id"])
+        files = store.read(name).inputFiles()
+        assert files and all(f.endswith(".zstd.parquet") for f in files) and store.read(name).count() == 10
