@@ -17,18 +17,24 @@ def table_summary(tables: Mapping[str, DataFrame], sample: int = 3) -> DataFrame
     """Fields and records per table, and its first rows as JSON texts, in the order of its columns from the first on.
 
     A stored table is counted from its file footers. The sample is a top-k: the first column alone shows how far
-    it can reach, and the others are computed and compared for the rows up to there.
+    it can reach, and the others are computed and compared for the rows up to there. Counts and samples meet in one
+    aggregate, and the reach is the only subquery of a table: Spark runs subqueries on a bounded set of threads (16), and
+    as many that wait for inner ones leave none to run these.
     """
-    def summary(name: str, df: DataFrame) -> DataFrame:
+    def parts(position: int, name: str, df: DataFrame) -> list[DataFrame]:
         columns = [F.col(f"`{c}`") for c in df.columns]
+        about = [F.lit(position).alias("position"), F.lit(name).alias("table_name"), F.lit(len(columns)).alias("fields")]
         reach = df.select(columns[0].alias("v")).orderBy("v").limit(sample).agg(F.max("v")).scalar()
         # NULLs come first; with NULLs only, the reach is NULL.
-        first = df.filter(columns[0].isNull() | (columns[0] <= reach)).orderBy(*columns).limit(sample).select(F.to_json(F.struct(*columns)).alias("text"))
-        texts = first.agg(F.sort_array(F.collect_list("text"))).scalar()
-        return df.agg(F.count(F.lit(1)).alias("records")).select(
-            F.lit(name).alias("table_name"), F.lit(len(columns)).alias("fields"), "records", texts.alias("sample"))
-
-    return _union([summary(name, df) for name, df in tables.items()])
+        first = df.filter(columns[0].isNull() | (columns[0] <= reach)).orderBy(*columns).limit(sample)
+        return [df.agg(F.count(F.lit(1)).alias("records")).select(*about, "records", F.lit(None).cast("string").alias("text")),
+                first.select(*about, F.lit(0).cast("bigint"), F.to_json(F.struct(*columns)))]
+
+    found = _union([part for i, (name, df) in enumerate(tables.items()) for part in parts(i, name, df)])
+    # A row for each table, in the order given.
+    return found.groupBy("position", "table_name", "fields").agg(
+        F.max("records").alias("records"), F.sort_array(F.collect_list("text")).alias("sample"),
+    ).coalesce(1).sortWithinPartitions("position").drop("position")
 
 
 def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:

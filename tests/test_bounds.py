@@ -61,6 +61,16 @@ def test_sample_is_sought_by_the_first_column(spark):
     assert plan(report).count("Sort [") > 1
 
 
+def test_summary_of_many_tables_does_not_wait_for_itself(spark):
+    tables = {f"t{i}": spark.createDataFrame([(j, "x") for j in range(i)], "k long, v string") for i in range(20)}
+    report = inspect.table_summary(tables)
+    # A subquery inside another waits for a thread; with 16 outer ones there is none, and the query never ends.
+    subqueries = report._jdf.queryExecution().optimizedPlan().subqueriesAll()
+    assert all(subqueries.apply(i).subqueriesAll().isEmpty() for i in range(subqueries.size()))
+    assert [tuple(r) for r in report.collect()] == [
+        (f"t{i}", 2, i, [f'{{"k":{j},"v":"x"}}' for j in range(min(i, 3))]) for i in range(20)]
+
+
 def test_changed_fragments_are_found_by_written_ids(spark):
     w = workspace(spark, "/root/testdata/sf0.001")
     lake = Lake(w.raw, w.fresh_store(), AS_OF, SPINE)
